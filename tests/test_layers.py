@@ -1,0 +1,175 @@
+"""Bronze, silver, gold and reports on the golden feed."""
+
+import datetime as dt
+
+import pytest
+
+from clickstrata.operators import daily, gold
+from clickstrata.operators.reports import REPORTS
+from clickstrata.operators.silver import to_silver
+from clickstrata.plans import gold_sql, report_sql
+from clickstrata.schemas import BRONZE, GOLD, SILVER
+from clickstrata.sources import bronze
+from tests import golden
+
+
+@pytest.fixture(scope="module")
+def feed(tmp_path_factory):
+    return golden.write_feed(tmp_path_factory.mktemp("feed"))
+
+
+@pytest.fixture(scope="module")
+def silver(spark, feed):
+    return to_silver(bronze.well_formed(bronze.scan(spark, feed))).cache()
+
+
+def fields(schema):
+    return [(field.name, field.dataType) for field in schema.fields]
+
+
+def test_bronze_keeps_padded_arrival_keys_and_prunes_by_cutoff(spark, feed):
+    good = bronze.well_formed(bronze.scan(spark, feed))
+    assert fields(good.schema) == fields(BRONZE)
+    assert good.count() == 9
+    assert {row.day for row in good.collect()} == {"04", "05"}
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert bronze.well_formed(bronze.scan(spark, feed, cutoff="2024")).count() == 10
+
+
+def test_malformed_lines_are_kept_apart(spark, feed):
+    refused = bronze.malformed(bronze.scan(spark, feed)).collect()
+    assert [row.raw_line for row in refused] == ["{bad json"]
+    assert (refused[0].year, refused[0].day) == ("2025", "04")
+
+
+def test_type_mismatch_is_malformed(spark, tmp_path):
+    line = golden.event("2025-12-04T09:00:00Z", "u1", "s1", "purchase", *golden.E1, "x", 1.0)
+    golden.write_file(tmp_path, golden.DEC4, [line, golden.LINES[golden.DEC4][0]])
+    lines = bronze.scan(spark, str(tmp_path))
+    refused, good = bronze.malformed(lines), bronze.well_formed(lines)
+    assert [row.raw_line for row in refused.collect()] == [line]
+    # The verdict must not depend on the columns a query asks for.
+    assert (refused.count(), good.count()) == (1, 1)
+    assert refused.select("day").collect() == [("04",)]
+    assert good.groupBy("event_type").count().collect() == [("page_view", 1)]
+    assert good.where("event_type = 'purchase'").select("user_id").collect() == []
+    assert good.where("quantity IS NULL").select("day").count() == 1
+
+
+def test_inventory_and_readiness(spark, feed, tmp_path):
+    hours = bronze.inventory(bronze.scan(spark, feed)).collect()
+    assert {(r.day, r.hour): (r.files, r.lines) for r in hours} == {
+        ("04", "09"): (1, 8),
+        ("04", "23"): (1, 1),
+        ("05", "01"): (1, 1),
+    }
+    assert all(row.bytes > 0 for row in hours)
+    files = bronze.listing(spark, feed)
+    state = bronze.readiness(files).first()
+    assert (state.files, state.ready) == (4, False)
+    assert state.bytes == sum(row.length for row in files.collect())
+    assert state.newest_arrival == "2025-12-05-01-00"
+    for minute in range(0, 60, 5):
+        golden.write_file(tmp_path, f"year=2025/month=01/day=02/hour=03/minute={minute:02d}", ["{}"])
+    assert bronze.readiness(bronze.listing(spark, str(tmp_path))).first().ready
+
+
+def test_silver_schema_and_nulls(silver):
+    assert fields(silver.schema) == fields(SILVER)
+    by_type = {}
+    for row in silver.collect():
+        by_type.setdefault(row.event_type, []).append(row)
+    (search,) = by_type["search"]
+    assert search.product_id is None and search.category is None and search.quantity is None
+    assert search.search_query == "desk lamp" and search.revenue == 0.0
+    assert all(r.search_query is None for t, rs in by_type.items() if t != "search" for r in rs)
+    assert {row.revenue for row in by_type["purchase"]} == {59.98, 10.0, None}
+    (unreadable,) = [row for row in by_type["page_view"] if row.timestamp == "nope"]
+    assert unreadable.timestamp_parsed is None and unreadable.year is None
+    (late,) = [row for row in by_type["page_view"] if row.user_id == "u1" and row.day == 5]
+    assert (late.year, late.month, late.event_hour) == (2025, 12, 0)
+
+
+def test_timestamp_forms(spark):
+    texts = ["2025-01-01T00:30:00.123Z", "2025-01-01T00:30:00.123456+00:00",
+             "2025-01-01T00:30:00-08:00", "bad", "", None]
+    bronze_rows = [(text, *[None] * 13) for text in texts]
+    parsed = to_silver(spark.createDataFrame(bronze_rows, BRONZE)).collect()
+    assert [row.event_hour for row in parsed] == [0, 0, 8, None, None, None]
+    assert parsed[1].timestamp_parsed == dt.datetime(2025, 1, 1, 0, 30, 0, 123456)
+    assert all(row.revenue == 0.0 for row in parsed)
+
+
+@pytest.mark.parametrize("name", GOLD)
+def test_gold(spark, silver, name):
+    table = gold.TABLES[name](silver)
+    assert fields(table.schema) == fields(GOLD[name])
+    assert golden.rows(table) == golden.GOLD[name]
+    assert golden.rows(gold_sql.select(spark, name, silver)) == golden.GOLD[name]
+    source, build = daily.FROM_DAILY[name]
+    rolled_up = build(daily.DAILY[source](silver))
+    assert golden.rows(rolled_up.select(GOLD[name].names)) == golden.GOLD[name]
+    assert fields(gold_sql.select(spark, name, silver).schema) == fields(GOLD[name])
+
+
+def test_gold_reading_order(silver):
+    def read(name, **kwargs):
+        return [tuple(r) for r in gold.ordered(name, gold.TABLES[name](silver), **kwargs).collect()]
+
+    assert [r[0] for r in read("hourly_revenue")] == sorted(r[0] for r in golden.GOLD["hourly_revenue"])
+    days = [r[0] for r in read("user_activity")]
+    assert days == [None, golden.D4, golden.D5]
+    assert [r[0] for r in read("user_activity", newest_first=True)] == days[::-1]
+    assert [r[0] for r in read("category_performance", newest_first=True)][0] == golden.D5
+
+
+def test_approximate_users(silver):
+    exact = golden.rows(gold.user_activity(silver))
+    assert golden.rows(gold.user_activity(silver, approximate=True)) == exact
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_report_sql_equals_report(spark, silver, name):
+    source, build = REPORTS[name]
+    table = gold.TABLES[source](silver)
+    expected = build(table)
+    twin = report_sql.over_frame(spark, name, table)
+    assert fields(twin.schema) == fields(expected.schema)
+    assert twin.collect() == expected.collect()
+
+
+def test_report_rows(silver):
+    def report(name):
+        source, build = REPORTS[name]
+        return [tuple(row) for row in build(gold.TABLES[source](silver)).collect()]
+
+    assert report("conversion_funnel") == [
+        ("p_1001", "electronics", 3, 1, 2, 33.33, 200.0, 66.67)
+    ]
+    assert report("top_products") == [("p_1001", "electronics", 3)]
+    assert [row[0] for row in report("hourly_revenue")] == [
+        "2025-12-04 09:00:00", "2025-12-04 10:00:00", "2025-12-05 01:00:00"
+    ]
+    categories = [row[1] for row in report("category_performance") if row[0] == golden.D4]
+    assert categories == ["books"] + ["electronics"] * 4 + [None]
+    assert report("user_activity") == [
+        (golden.D5, 2, 2, 2, 1.0, 1.0), (golden.D4, 3, 3, 6, 2.0, 2.0), (None, 1, 1, 1, 1.0, 1.0)
+    ]
+
+
+def test_report_without_users_has_no_ratio(spark):
+    table = spark.createDataFrame([(golden.D4, 0, 0, 7)], GOLD["user_activity"])
+    (row,) = REPORTS["user_activity"][1](table).collect()
+    assert row.events_per_user is None and row.events_per_session is None
+
+
+def test_rankings_settle_ties_and_cut(spark):
+    views = [(f"p_{n:04d}", "toys", 5) for n in range(30, 0, -1)]
+    top = REPORTS["top_products"][1](spark.createDataFrame(views, GOLD["product_views"]))
+    assert [row.product_id for row in top.collect()] == [f"p_{n:04d}" for n in range(1, 11)]
+    funnel = [(f"p_{n:04d}", "toys", n % 3, 0, 1, 0.0, 0.0, 0.0) for n in range(60)]
+    best = REPORTS["conversion_funnel"][1](spark.createDataFrame(funnel, GOLD["conversion_funnel"]))
+    shown = best.collect()
+    assert len(shown) == 20 and all(row.views == 2 for row in shown)
+    assert "TakeOrderedAndProject" in best._jdf.queryExecution().executedPlan().toString()
