@@ -7,35 +7,30 @@ from pyspark.sql import Column, functions as F
 
 def event_time(text: str) -> Column:
     """ISO-8601 text as a timestamp; text that is no timestamp becomes NULL."""
-    return F.try_to_timestamp(F.col(text))
+    return F.try_to_timestamp(text)
 
 
 def purchase_revenue() -> Column:
     """Price times quantity for a purchase (NULL if either is NULL), 0.0 for the rest."""
-    return F.when(F.col("event_type") == "purchase", F.col("price") * F.col("quantity")).otherwise(
-        F.lit(0.0)
-    )
+    return F.expr("CASE WHEN event_type = 'purchase' THEN price * quantity ELSE 0.0D END")
 
 
 def hour_label(date: str, hour: str) -> Column:
     """``yyyy-MM-dd HH:00:00`` from a date and an hour; NULL if either is NULL."""
-    return F.concat(
-        F.date_format(date, "yyyy-MM-dd"),
-        F.lit(" "),
-        F.lpad(F.col(hour).cast("string"), 2, "0"),
-        F.lit(":00:00"),
+    return F.expr(
+        f"date_format({date}, 'yyyy-MM-dd') || ' ' || lpad(CAST({hour} AS STRING), 2, '0') || ':00:00'"
     )
 
 
 def rate(part: str, whole: str) -> Column:
     """part / whole, and 0.0 where whole is zero."""
-    return F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0))
+    return F.expr(f"coalesce(try_divide({part}, {whole}), 0.0D)")
 
 
 def percent(fraction: str) -> Column:
-    return F.round(F.col(fraction) * 100, 2)
+    return F.expr(f"round({fraction} * 100, 2)")
 
 
 def per(total: str, count: str) -> Column:
     """total / count to two places; NULL where count is zero."""
-    return F.round(F.try_divide(F.col(total).cast("double"), F.col(count).cast("double")), 2)
+    return F.expr(f"round(try_divide(CAST({total} AS DOUBLE), CAST({count} AS DOUBLE)), 2)")

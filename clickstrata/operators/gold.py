@@ -19,9 +19,7 @@ PRODUCT = ("product_id", "category")
 
 
 def shaped(name: str, frame: DataFrame) -> DataFrame:
-    return frame.select(
-        [F.col(field.name).cast(field.dataType).alias(field.name) for field in GOLD[name].fields]
-    )
+    return frame.select(GOLD[name].names)
 
 
 def with_rates(steps: DataFrame) -> DataFrame:

@@ -2,27 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickstrata.operators import gold
 from clickstrata.operators.daily import DAILY, FROM_DAILY
+from clickstrata.session import overridden, partitions_for
 from clickstrata.sources import gold_store
+from clickstrata.sources.lake import on_days
+
+
+def _together[T](jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent jobs at once, so that the tail of one overlaps the next."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
 
+def refresh_daily(silver: DataFrame, root: str, days: list[int | None] | None = None) -> None:
+    """Compute the daily tables, all of them or the given days: three column-pruned scans.
 
-def refresh_daily(silver: DataFrame, root: str, only_these_days: bool = False) -> None:
-    """Compute the daily tables for the days in ``silver``: three column-pruned scans."""
-    for name, build in DAILY.items():
-        gold_store.write_daily(name, build(silver), root, only_these_days)
+    The number of shuffle partitions follows the amount of data; only distinct
+    users and sessions make a shuffle that grows with it.
+    """
+    ids = silver.select("event_date", "user_id", "session_id")
+    partitions = partitions_for(ids, None if days is None else len(days))
+    spread = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+    chosen = silver if days is None else on_days(silver, days)
+    with overridden(silver.sparkSession, spread):
+        _together(
+            {
+                name: lambda name=name, build=build: gold_store.write_daily(
+                    name, build(chosen), root, only_these_days=days is not None
+                )
+                for name, build in DAILY.items()
+            }
+        )
 
 
 def publish(spark: SparkSession, root: str) -> dict[str, int]:
     """Overwrite the five gold tables from the daily ones; returns their row counts."""
-    return {
-        name: gold_store.write_table(
-            name, build(gold_store.read_daily(spark, daily, root)), root
-        )
-        for name, (daily, build) in FROM_DAILY.items()
-    }
+    return _together(
+        {
+            name: lambda name=name, daily=daily, build=build: gold_store.write_table(
+                name, build(gold_store.read_daily(spark, daily, root)), root
+            )
+            for name, (daily, build) in FROM_DAILY.items()
+        }
+    )
 
 
 def build_gold(silver: DataFrame, root: str) -> dict[str, int]:

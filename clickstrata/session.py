@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Hours and days are cut in this zone.
@@ -33,3 +36,44 @@ def working_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def overridden(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Run a block under other runtime settings and put the old ones back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+# Bytes a shuffle partition should hold, and the most partitions worth having.
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 20_000
+
+
+def partitions_for(frame: DataFrame, days: int | None = None) -> int:
+    """Shuffle partitions for an aggregation over a frame: by the size of its files.
+
+    Spark's estimate follows the columns a frame reads but not the days it
+    selects, so a selection of days gets no more than the session's own number
+    for each. Adaptive execution joins what turns out small, so this may be
+    generous.
+    """
+    stats = frame._jdf.queryExecution().optimizedPlan().stats()
+    size = int(str(stats.sizeInBytes()))
+    least = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = MOST_PARTITIONS if days is None else min(MOST_PARTITIONS, least * max(1, days))
+    return max(least, min(most, math.ceil(size / PARTITION_BYTES)))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

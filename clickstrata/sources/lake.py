@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickstrata.schemas import DAY_KEYS, LAKE, QUARANTINE_ZONE, SILVER, SILVER_ZONE, ZONE
+from clickstrata.session import overridden
 
 
 def read_silver(spark: SparkSession, lake: str) -> DataFrame:
@@ -57,19 +58,25 @@ def read_silver_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(root).select(SILVER.names)
 
 
+# Rows of a compacted file before encoding; a file ends up a fraction of this.
+COMPACT_BYTES = "1g"
+
+
 def compact(silver: DataFrame, root: str) -> None:
     """Rewrite the days in ``silver`` as few, larger files under another root.
 
     The rebalance splits a crowded day over several files and joins thin ones.
     Rows are sorted by event type inside a file, so that a filter on it skips
-    most pages. Days already there are replaced, so a rerun changes nothing.
+    most of the file. Days already there are replaced, so a rerun changes nothing.
     """
-    (
-        silver.hint("rebalance", *[F.col(key) for key in DAY_KEYS])
-        .sortWithinPartitions(*DAY_KEYS, "event_type", "timestamp_parsed")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*DAY_KEYS)
-        .parquet(root)
-    )
+    size = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": COMPACT_BYTES}
+    with overridden(silver.sparkSession, size):
+        (
+            silver.hint("rebalance", *[F.col(key) for key in DAY_KEYS])
+            .sortWithinPartitions(*DAY_KEYS, "event_type", "timestamp_parsed")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(*DAY_KEYS)
+            .parquet(root)
+        )

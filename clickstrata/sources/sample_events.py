@@ -8,9 +8,9 @@ the test tables a few per hour, so their arrivals are filed by the hour.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstrata.schemas import ARRIVAL_KEYS, BRONZE, CATEGORIES, EVENT_FIELDS, SEARCH_PHRASES
+from clickstrata.schemas import ARRIVAL_KEYS, CATEGORIES, EVENT_FIELDS, SEARCH_PHRASES
 
 # How the table's event kinds stand for the feed's.
 EVENT_TYPE_OF = {
@@ -30,45 +30,43 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
+def _literal_list(values: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{value}'" for value in values) + ")"
 
 
 def bronze_frame(events: DataFrame) -> DataFrame:
     """The feed's fourteen columns, with event_id kept in front."""
-    kinds = F.create_map(*[F.lit(text) for pair in EVENT_TYPE_OF.items() for text in pair])
-    base = events.select(
+    kinds = " ".join(f"WHEN '{theirs}' THEN '{ours}'" for theirs, ours in EVENT_TYPE_OF.items())
+    base = events.selectExpr(
         "event_id",
         "user_id",
         "value",
-        F.col("ts").cast("timestamp").alias("at"),
-        F.element_at(kinds, F.col("event_type")).alias("event_type"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "CAST(ts AS TIMESTAMP) AS at",
+        f"CASE event_type {kinds} END AS event_type",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    is_search = F.col("event_type") == "search"
-    has_price = F.col("event_type").isin("add_to_cart", "remove_from_cart", "purchase")
-    six_hour_block = F.dayofyear("at") * 10 + F.floor(F.hour("at") / 6)
-    product_number = (F.col("k") % 6 + 1) * 1000 + F.col("k") % 5 + 1
+    has_price = "event_type IN ('add_to_cart', 'remove_from_cart', 'purchase')"
     columns = {
-        "timestamp": F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"),
-        "user_id": F.concat(F.lit("u_"), "user_id"),
-        "session_id": F.concat_ws("_", F.lit("s"), "user_id", six_hour_block),
-        "event_type": F.col("event_type"),
-        "product_id": F.when(~is_search, F.concat(F.lit("p_"), product_number)),
-        "quantity": F.when(has_price, F.col("event_id") % 5 + 1),
-        "price": F.when(has_price, F.col("value")),
-        "category": F.when(~is_search, _pick(CATEGORIES, F.col("k") % 6)),
-        "search_query": F.when(is_search, _pick(SEARCH_PHRASES, F.col("event_id") % 8)),
-        "year": F.date_format("at", "yyyy"),
-        "month": F.date_format("at", "MM"),
-        "day": F.date_format("at", "dd"),
-        "hour": F.date_format("at", "HH"),
-        "minute": F.lit("00"),
+        "timestamp": "date_format(at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\")",
+        "user_id": "'u_' || user_id",
+        # One session per user and six-hour block of the year.
+        "session_id": "'s_' || user_id || '_' || (10 * dayofyear(at) + hour(at) DIV 6)",
+        "event_type": "event_type",
+        "product_id": "CASE WHEN event_type <> 'search' "
+        "THEN 'p_' || ((k % 6 + 1) * 1000 + k % 5 + 1) END",
+        "quantity": f"CASE WHEN {has_price} THEN CAST(event_id % 5 + 1 AS INT) END",
+        "price": f"CASE WHEN {has_price} THEN value END",
+        "category": "CASE WHEN event_type <> 'search' "
+        f"THEN {_literal_list(CATEGORIES)}[k % 6] END",
+        "search_query": "CASE WHEN event_type = 'search' "
+        f"THEN {_literal_list(SEARCH_PHRASES)}[CAST(event_id % 8 AS INT)] END",
+        "year": "date_format(at, 'yyyy')",
+        "month": "date_format(at, 'MM')",
+        "day": "date_format(at, 'dd')",
+        "hour": "date_format(at, 'HH')",
+        "minute": "'00'",
     }
-    return base.select(
-        "event_id",
-        *[columns[field.name].cast(field.dataType).alias(field.name) for field in BRONZE.fields],
-    )
+    return base.selectExpr("event_id", *[f"{rule} AS `{name}`" for name, rule in columns.items()])
 
 
 def bronze_lines(feed: DataFrame) -> DataFrame:

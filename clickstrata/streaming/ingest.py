@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from clickstrata.operators.silver import to_lake
 from clickstrata.schemas import DAY_KEYS, DEFAULT_CUTOFF_YEAR, QUARANTINE_ZONE, ZONE
-from clickstrata.session import configure
+from clickstrata.session import configure, overridden, path_exists
 from clickstrata.sources import bronze
 
 _METRICS = "ingest"
@@ -46,9 +46,12 @@ def run_ingest(
     checkpoint together with a new lake folder.
     """
     configure(spark)
-    kept = spark.conf.get(_PROGRESS_KEPT)
-    spark.conf.set(_PROGRESS_KEPT, "10000")
-    try:
+    if path_exists(spark, f"{lake}/_spark_metadata") and not path_exists(
+        spark, f"{checkpoint}/offsets"
+    ):
+        # The sink numbers its batches and would take the new ones for old.
+        raise ValueError(f"{lake} was filled under another checkpoint; use a new lake folder")
+    with overridden(spark, {_PROGRESS_KEPT: "10000"}):
         lines = bronze.stream(spark, source, cutoff, max_files_per_trigger, **source_options)
         counted = to_lake(lines).observe(
             _METRICS,
@@ -65,8 +68,6 @@ def run_ingest(
             .start()
         )
         query.awaitTermination()
-    finally:
-        spark.conf.set(_PROGRESS_KEPT, kept)
     counts = [p.observedMetrics[_METRICS] for p in query.recentProgress
               if _METRICS in p.observedMetrics]
     return IngestResult(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickstrata.plans.build_gold import publish, refresh_daily
-from clickstrata.session import configure
+from clickstrata.session import configure, path_exists
 from clickstrata.sources import lake as lake_store
 
 # Above this many days in one batch, listing them costs more than reading all.
@@ -26,18 +26,16 @@ def run_refresh(spark: SparkSession, lake: str, gold: str, checkpoint: str) -> d
     row counts of the published tables, or nothing if silver had no news.
     """
     configure(spark)
+    if not path_exists(spark, f"{lake}/_spark_metadata"):
+        return {}
     counts: dict[str, int] = {}
 
     def refresh(batch: DataFrame, _batch_id: int) -> None:
         days = touched_days(batch)
-        # The caller's session, not the batch's: adaptive execution is off in the latter.
-        silver = lake_store.read_silver(spark, lake)
-        if days is None:
-            refresh_daily(silver, gold)
-        elif days:
-            refresh_daily(lake_store.on_days(silver, days), gold, only_these_days=True)
-        else:
+        if days == []:
             return
+        # The caller's session, not the batch's: adaptive execution is off in the latter.
+        refresh_daily(lake_store.read_silver(spark, lake), gold, days)
         counts.update(publish(spark, gold))
 
     query = (

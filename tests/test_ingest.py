@@ -7,6 +7,7 @@ import pytest
 from clickstrata.operators import gold
 from clickstrata.plans.build_gold import build_gold, build_gold_directly
 from clickstrata.schemas import GOLD, QUARANTINE_ZONE, SILVER, SILVER_ZONE
+from clickstrata.session import partitions_for
 from clickstrata.sources import gold_store, lake
 from clickstrata.streaming.ingest import IngestResult, run_ingest
 from clickstrata.streaming.refresh import run_refresh, touched_days
@@ -121,6 +122,52 @@ def test_reset_needs_new_marks_and_a_new_lake(spark, tmp_path, pipe):
     assert golden.rows(lake.read_silver(spark, str(tmp_path / "lake2"))) == golden.rows(pipe.silver())
 
 
+def test_new_marks_on_a_filled_lake_are_refused(spark, tmp_path, pipe):
+    golden.write_feed(pipe.feed)
+    pipe.ingest()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run_ingest(spark, pipe.feed, pipe.lake, str(tmp_path / "marks2"))
+    assert pipe.silver().count() == 9
+
+
+def test_nothing_arrived_yet(pipe):
+    Path(pipe.feed).mkdir()
+    assert pipe.refresh() == {}
+    assert pipe.ingest() == IngestResult(lines=0, refused=0)
+    assert pipe.refresh() == {}
+    golden.write_feed(pipe.feed)
+    assert pipe.ingest().accepted == 9
+    pipe.refresh()
+    assert pipe.tables() == golden.GOLD
+
+
+def test_settings_are_put_back(pipe):
+    keys = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.streaming.numRecentProgressUpdates",
+    )
+    before = [pipe.spark.conf.get(key, None) for key in keys]
+    golden.write_feed(pipe.feed)
+    pipe.ingest()
+    pipe.refresh()
+    lake.compact(pipe.silver(), f"{pipe.gold}/compact")
+    assert [pipe.spark.conf.get(key, None) for key in keys] == before
+
+
+def test_shuffle_partitions_grow_with_the_files(pipe, monkeypatch):
+    golden.write_feed(pipe.feed)
+    pipe.ingest()
+    assert partitions_for(pipe.silver()) == 8
+    monkeypatch.setattr("clickstrata.session.PARTITION_BYTES", 100)
+    whole = partitions_for(pipe.silver())
+    assert 8 < partitions_for(pipe.silver().select("event_date")) < whole
+    assert partitions_for(pipe.silver(), days=1) == 8
+    assert partitions_for(pipe.silver(), days=3) == 24
+    monkeypatch.setattr("clickstrata.session.PARTITION_BYTES", 0.001)
+    assert partitions_for(pipe.silver()) == 20_000
+
+
 def test_cutoff_is_a_parameter(pipe):
     golden.write_feed(pipe.feed)
     assert pipe.ingest(cutoff="2024").accepted == 10
