@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from clickstrata.operators import gold
@@ -14,10 +15,11 @@ from clickstrata.sources import gold_store
 from clickstrata.sources.lake import on_days
 
 
-def _together[T](jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
+def _together[T](spark: SparkSession, jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Submit independent jobs at once, so that the tail of one overlaps the next."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}
 
 
@@ -33,24 +35,26 @@ def refresh_daily(silver: DataFrame, root: str, days: list[int | None] | None =
     chosen = silver if days is None else on_days(silver, days)
     with overridden(silver.sparkSession, spread):
         _together(
+            silver.sparkSession,
             {
                 name: lambda name=name, build=build: gold_store.write_daily(
                     name, build(chosen), root, only_these_days=days is not None
                 )
                 for name, build in DAILY.items()
-            }
+            },
         )
 
 
 def publish(spark: SparkSession, root: str) -> dict[str, int]:
     """Overwrite the five gold tables from the daily ones; returns their row counts."""
     return _together(
+        spark,
         {
             name: lambda name=name, daily=daily, build=build: gold_store.write_table(
                 name, build(gold_store.read_daily(spark, daily, root)), root
             )
             for name, (daily, build) in FROM_DAILY.items()
-        }
+        },
     )
 
 

@@ -98,10 +98,10 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
 
     Only the folder listing is used; no file is opened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(root)
-    keys = [F.lpad(F.col(key).cast("string"), 4 if key == "year" else 2, "0").alias(key)
-            for key in ARRIVAL_KEYS]
-    return files.select(*keys, "path", "length", F.col("modificationTime").alias("modified"))
+    widths = {key: 4 if key == "year" else 2 for key in ARRIVAL_KEYS}
+    keys = [f"lpad(CAST({key} AS STRING), {width}, '0') AS {key}" for key, width in widths.items()]
+    files = spark.read.format("binaryFile").load(root)
+    return files.selectExpr(*keys, "path", "length", "modificationTime AS modified")
 
 
 def readiness(files: DataFrame, needed: int = READY_FILES) -> DataFrame:

@@ -3,12 +3,14 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickstrata.operators import gold
+from clickstrata.operators.silver import to_silver
 from clickstrata.plans.build_gold import build_gold, build_gold_directly
 from clickstrata.schemas import GOLD, QUARANTINE_ZONE, SILVER, SILVER_ZONE
 from clickstrata.session import partitions_for
-from clickstrata.sources import gold_store, lake
+from clickstrata.sources import gold_store, lake, sample_events
 from clickstrata.streaming.ingest import IngestResult, run_ingest
 from clickstrata.streaming.refresh import run_refresh, touched_days
 from tests import golden
@@ -248,6 +250,22 @@ def test_compaction_keeps_rows_and_can_be_repeated(pipe, tmp_path):
     assert lake.read_silver_files(pipe.spark, root).count() == 9
 
 
+def test_compaction_splits_a_crowded_day(spark, tmp_path, monkeypatch):
+    feed = sample_events.bronze_frame(sample_events.read_events(spark, "/root/testdata/sf0.1"))
+    crowded = to_silver(feed.drop("event_id").repartition(8)).withColumns(
+        {"year": F.lit(2025), "month": F.lit(12), "day": F.lit(4)}
+    )
+    monkeypatch.setattr(lake, "COMPACT_BYTES", "2m")
+    root = str(tmp_path / "compact")
+    lake.compact(crowded, root)
+    files = list(Path(root).rglob("*.parquet"))
+    assert len(files) > 2
+    assert lake.read_silver_files(spark, root).count() == 100_000
+    for path in files:
+        kinds = [row[0] for row in spark.read.parquet(str(path)).select("event_type").collect()]
+        assert kinds == sorted(kinds)
+
+
 def test_batch_silver_sink_appends(spark, tmp_path, pipe):
     golden.write_feed(pipe.feed)
     pipe.ingest()
