@@ -89,17 +89,16 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "user_activity": user_activity,
 }
 
-_BY_DAY = ("category_performance", "user_activity")
-
-
 def ordered(name: str, table: DataFrame, newest_first: bool = False) -> DataFrame:
-    """A table in its reading order, with ties settled; daily tables from either end."""
-    day = F.desc("event_date") if newest_first and name in _BY_DAY else F.asc("event_date")
+    """A table in its reading order, ties settled; the daily tables from either end.
+
+    The funnel has no order of its own.
+    """
+    day = F.desc("event_date") if newest_first else F.asc("event_date")
     keys: dict[str, list[Column]] = {
-        "conversion_funnel": [F.asc("product_id"), F.asc("category")],
         "hourly_revenue": [F.asc("event_datetime")],
         "product_views": [F.desc("view_count"), F.asc("product_id"), F.asc("category")],
         "category_performance": [day, F.asc("category"), F.asc("event_type")],
         "user_activity": [day],
     }
-    return table.orderBy(*keys[name])
+    return table.orderBy(*keys[name]) if name in keys else table

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickstrata.sources.catalog import identifier, text
+
 SELECTS = {
     "conversion_funnel": """
         WITH steps AS (
@@ -60,11 +62,14 @@ def create_table(
     spark: SparkSession, name: str, events: str, database: str = "gold", root: str | None = None
 ) -> None:
     """Build a gold table once from the named silver table or view; an existing one stays."""
-    place = f"LOCATION '{root}/{name}'" if root else ""
-    query = SELECTS[name].format(events=events)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING PARQUET {place} AS {query}")
+    place = f"LOCATION {text(f'{root}/{name}')}" if root else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {identifier(database, name)} USING PARQUET {place} "
+        f"AS {SELECTS[name].format(events=events)}"
+    )
 
 
 def refill_table(spark: SparkSession, name: str, events: str, database: str = "gold") -> None:
     """Replace the rows of an existing gold table."""
-    spark.sql(f"INSERT OVERWRITE TABLE {database}.{name} {SELECTS[name].format(events=events)}")
+    query = SELECTS[name].format(events=events)
+    spark.sql(f"INSERT OVERWRITE TABLE {identifier(database, name)} {query}")

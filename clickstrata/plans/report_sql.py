@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickstrata.sources.catalog import identifier
+
 # Report: the gold table it reads, and the query.
 QUERIES = {
     "conversion_funnel": (
@@ -64,4 +66,4 @@ def over_frame(spark: SparkSession, name: str, table: DataFrame) -> DataFrame:
 
 def over_catalog(spark: SparkSession, name: str, database: str = "gold") -> DataFrame:
     source, query = QUERIES[name]
-    return spark.sql(query.format(table=f"{database}.{source}"))
+    return spark.sql(query.format(table=identifier(database, source)))

@@ -18,33 +18,33 @@ from clickstrata.schemas import (
 LAYERS = ("bronze", "silver", "gold")
 
 
-def _name(*parts: str) -> str:
+def identifier(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
-def _text(value: str) -> str:
+def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _columns(schema) -> str:
-    return ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    return ", ".join(f"{identifier(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def create_databases(spark: SparkSession, names=LAYERS, location: str | None = None) -> None:
     for name in names:
-        place = f" LOCATION {_text(f'{location}/{name}')}" if location else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(name)}{place}")
+        place = f" LOCATION {text(f'{location}/{name}')}" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(name)}{place}")
 
 
 def register_bronze(
     spark: SparkSession, root: str, database: str = "bronze", table: str = "events"
 ) -> None:
     """The raw feed as a partitioned table; call again to pick up new arrival folders."""
-    full = _name(database, table)
+    full = identifier(database, table)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {full} ({_columns(BRONZE_READ)}) USING JSON "
-        f"OPTIONS (mode 'PERMISSIVE', columnNameOfCorruptRecord {_text(CORRUPT_COLUMN)}) "
-        f"PARTITIONED BY ({', '.join(map(_name, ARRIVAL_KEYS))}) LOCATION {_text(root)}"
+        f"OPTIONS (mode 'PERMISSIVE', columnNameOfCorruptRecord {text(CORRUPT_COLUMN)}) "
+        f"PARTITIONED BY ({', '.join(map(identifier, ARRIVAL_KEYS))}) LOCATION {text(root)}"
     )
     spark.sql(f"MSCK REPAIR TABLE {full}")
 
@@ -54,8 +54,8 @@ def register_silver(
 ) -> None:
     """Silver as a view on the lake folder, so committed days are visible at once."""
     spark.sql(
-        f"CREATE OR REPLACE VIEW {_name(database, table)} AS "
-        f"SELECT {', '.join(map(_name, SILVER.names))} FROM parquet.{_name(lake)} "
+        f"CREATE OR REPLACE VIEW {identifier(database, table)} AS "
+        f"SELECT {', '.join(map(identifier, SILVER.names))} FROM parquet.{identifier(lake)} "
         f"WHERE {ZONE} = '{SILVER_ZONE}'"
     )
 
@@ -63,9 +63,9 @@ def register_silver(
 def register_gold(spark: SparkSession, root: str, database: str = "gold") -> None:
     """The five published tables. They have no partitions to repair, only files to refresh."""
     for name, schema in GOLD.items():
-        full = _name(database, name)
+        full = identifier(database, name)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {full} ({_columns(schema)}) "
-            f"USING PARQUET LOCATION {_text(f'{root}/{name}')}"
+            f"USING PARQUET LOCATION {text(f'{root}/{name}')}"
         )
         spark.sql(f"REFRESH TABLE {full}")

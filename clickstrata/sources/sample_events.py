@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstrata.schemas import ARRIVAL_KEYS, CATEGORIES, EVENT_FIELDS, SEARCH_PHRASES
+from clickstrata.session import partitions_for
 
 # How the table's event kinds stand for the feed's.
 EVENT_TYPE_OF = {
@@ -91,9 +92,8 @@ def bronze_lines(feed: DataFrame) -> DataFrame:
 
 def write_bronze(lines: DataFrame, root: str, mode: str = "append") -> None:
     """Gzipped line files, one per arrival slot and chunk of ids."""
-    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        lines.repartition(tasks, *ARRIVAL_KEYS, "chunk")
+        lines.repartition(partitions_for(lines), *ARRIVAL_KEYS, "chunk")
         .drop("chunk")
         .write.mode(mode)
         .partitionBy(*ARRIVAL_KEYS)

@@ -116,6 +116,32 @@ def test_several_batches_are_counted_together(pipe):
     assert pipe.silver().count() == 9
 
 
+def test_many_batches_outlive_the_compaction_of_the_file_logs(pipe):
+    event = golden.LINES[golden.DEC4][0]
+    for minute in range(0, 60, 5):
+        slot = f"year=2025/month=12/day=04/hour=09/minute={minute:02d}"
+        golden.write_file(pipe.feed, slot, [event.replace("09:05:00Z", f"09:{minute:02d}:00Z")])
+    assert pipe.ingest(max_files_per_trigger=1).lines == 12
+    assert list((Path(pipe.lake) / "_spark_metadata").glob("*.compact"))
+    pipe.refresh()
+    assert pipe.tables()["user_activity"] == {(golden.D4, 1, 1, 12)}
+    golden.write_file(pipe.feed, golden.DEC5, [event])
+    assert pipe.ingest().lines == 1
+    pipe.refresh()
+    assert pipe.tables()["user_activity"] == {(golden.D4, 1, 1, 13)}
+
+
+def test_finished_files_can_be_archived(pipe, tmp_path):
+    archive = tmp_path / "archive"
+    options = {"cleanSource": "archive", "sourceArchiveDir": str(archive)}
+    golden.write_feed(pipe.feed, FIRST)
+    pipe.ingest(**options)
+    golden.write_feed(pipe.feed, (golden.DEC4_LATE, golden.DEC5))
+    pipe.ingest(**options)
+    assert pipe.ingest(**options).lines == 0
+    assert list(archive.rglob("*.gz")) and pipe.silver().count() == 9
+
+
 def test_reset_needs_new_marks_and_a_new_lake(spark, tmp_path, pipe):
     golden.write_feed(pipe.feed)
     pipe.ingest()
