@@ -28,7 +28,9 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--feed", required=True)
     ingest.add_argument("--lake", required=True)
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--cutoff", default=DEFAULT_CUTOFF_YEAR, help="first arrival year")
+    ingest.add_argument(
+        "--cutoff", default=DEFAULT_CUTOFF_YEAR, help="first arrival year; empty for all files"
+    )
     ingest.add_argument("--files-per-batch", type=int)
 
     refresh = jobs.add_parser("refresh", help="recompute the days that got new events")
@@ -70,7 +72,12 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
                   f"{'ready' if state.ready else 'not ready'}")
         case "ingest":
             result = run_ingest(
-                spark, args.feed, args.lake, args.checkpoint, args.cutoff, args.files_per_batch
+                spark,
+                args.feed,
+                args.lake,
+                args.checkpoint,
+                args.cutoff or None,
+                args.files_per_batch,
             )
             print(f"{result.lines} lines read, {result.accepted} accepted, {result.refused} refused"
                   if result.lines else "no new data")

@@ -27,16 +27,24 @@ _READ_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLU
 _MAX_FILE_AGE = "36500d"
 
 
-def scan(spark: SparkSession, root: str, cutoff: str = DEFAULT_CUTOFF_YEAR) -> DataFrame:
-    """All lines that arrived in or after the cutoff year (compared as text)."""
+def _arrived_since(lines: DataFrame, cutoff: str | None) -> DataFrame:
+    return lines if cutoff is None else lines.where(F.col("year") >= cutoff)
+
+
+def scan(spark: SparkSession, root: str, cutoff: str | None = DEFAULT_CUTOFF_YEAR) -> DataFrame:
+    """All lines that arrived in or after the cutoff year (compared as text).
+
+    None takes all; so it does for files outside arrival folders, whose arrival
+    keys are NULL.
+    """
     lines = spark.read.schema(BRONZE_READ).options(**_READ_OPTIONS).json(root)
-    return lines.where(F.col("year") >= cutoff)
+    return _arrived_since(lines, cutoff)
 
 
 def stream(
     spark: SparkSession,
     root: str,
-    cutoff: str = DEFAULT_CUTOFF_YEAR,
+    cutoff: str | None = DEFAULT_CUTOFF_YEAR,
     max_files_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
@@ -54,7 +62,7 @@ def stream(
         .options(**options)
         .json(root)
     )
-    return lines.where(F.col("year") >= cutoff)
+    return _arrived_since(lines, cutoff)
 
 
 def _every_field_is_read() -> Column:

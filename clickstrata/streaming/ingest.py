@@ -10,6 +10,7 @@ from clickstrata.operators.silver import to_lake
 from clickstrata.schemas import DAY_KEYS, DEFAULT_CUTOFF_YEAR, QUARANTINE_ZONE, ZONE
 from clickstrata.session import configure, overridden, path_exists
 from clickstrata.sources import bronze
+from clickstrata.sources.lake import CODEC
 
 _METRICS = "ingest"
 
@@ -34,7 +35,7 @@ def run_ingest(
     source: str,
     lake: str,
     checkpoint: str,
-    cutoff: str = DEFAULT_CUTOFF_YEAR,
+    cutoff: str | None = DEFAULT_CUTOFF_YEAR,
     max_files_per_trigger: int | None = None,
     **source_options: str,
 ) -> IngestResult:
@@ -63,6 +64,7 @@ def run_ingest(
             .outputMode("append")
             .partitionBy(ZONE, *DAY_KEYS)
             .option("path", lake)
+            .option("compression", CODEC)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()

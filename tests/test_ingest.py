@@ -10,7 +10,7 @@ from clickstrata.operators.silver import to_silver
 from clickstrata.plans.build_gold import build_gold, build_gold_directly
 from clickstrata.schemas import GOLD, QUARANTINE_ZONE, SILVER, SILVER_ZONE
 from clickstrata.session import partitions_for
-from clickstrata.sources import gold_store, lake, sample_events
+from clickstrata.sources import bronze, gold_store, lake, sample_events
 from clickstrata.streaming.ingest import IngestResult, run_ingest
 from clickstrata.streaming.refresh import run_refresh, touched_days
 from tests import golden
@@ -201,6 +201,16 @@ def test_cutoff_is_a_parameter(pipe):
     assert pipe.ingest(cutoff="2024").accepted == 10
 
 
+def test_files_outside_arrival_folders(pipe):
+    golden.write_file(pipe.feed, ".", golden.LINES[golden.DEC4])
+    assert bronze.well_formed(bronze.scan(pipe.spark, pipe.feed)).count() == 0
+    lines = bronze.scan(pipe.spark, pipe.feed, cutoff=None)
+    assert bronze.well_formed(lines).where("year IS NULL").count() == 7
+    assert pipe.ingest(cutoff=None) == IngestResult(lines=8, refused=1)
+    assert pipe.silver().where("day = 4").count() == 6
+    assert lake.read_quarantine(pipe.spark, pipe.lake).where("day IS NULL").count() == 1
+
+
 def test_refresh_follows_ingest_day_by_day(pipe):
     golden.write_feed(pipe.feed, FIRST)
     pipe.ingest()
