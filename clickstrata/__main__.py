@@ -13,7 +13,7 @@ from clickstrata.schemas import DEFAULT_CUTOFF_YEAR, READY_FILES
 from clickstrata.session import configure
 from clickstrata.sources import bronze, catalog, gold_store, lake
 from clickstrata.streaming.ingest import run_ingest
-from clickstrata.streaming.refresh import run_refresh
+from clickstrata.streaming.refresh import run_compaction, run_refresh
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -39,17 +39,20 @@ def _parser() -> argparse.ArgumentParser:
     refresh.add_argument("--checkpoint", required=True)
 
     rebuild = jobs.add_parser("rebuild", help="recompute all gold tables")
-    rebuild.add_argument("--lake", required=True)
+    silver = rebuild.add_mutually_exclusive_group(required=True)
+    silver.add_argument("--lake")
+    silver.add_argument("--compacted", help="folder of compacted silver")
     rebuild.add_argument("--gold", required=True)
 
-    compact = jobs.add_parser("compact", help="rewrite days of silver as few large files")
+    compact = jobs.add_parser("compact", help="rewrite days with new events as few large files")
     compact.add_argument("--lake", required=True)
     compact.add_argument("--into", required=True)
-    compact.add_argument("--days", type=int, nargs="+", help="as 20240131; all if left out")
+    compact.add_argument("--checkpoint", required=True)
 
     register = jobs.add_parser("register", help="create databases, tables and views")
     register.add_argument("--feed")
     register.add_argument("--lake")
+    register.add_argument("--compacted")
     register.add_argument("--gold")
 
     report = jobs.add_parser("report", help="show or save a report")
@@ -84,16 +87,23 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         case "refresh":
             print(run_refresh(spark, args.lake, args.gold, args.checkpoint) or "no new data")
         case "rebuild":
-            print(build_gold(lake.read_silver(spark, args.lake), args.gold) or "no data")
+            silver = (
+                lake.read_silver(spark, args.lake)
+                if args.lake
+                else lake.read_silver_files(spark, args.compacted)
+            )
+            print(build_gold(silver, args.gold) or "no data")
         case "compact":
-            silver = lake.read_silver(spark, args.lake)
-            lake.compact(lake.on_days(silver, args.days) if args.days else silver, args.into)
+            if not run_compaction(spark, args.lake, args.into, args.checkpoint):
+                print("no new data")
         case "register":
             catalog.create_databases(spark)
             if args.feed:
                 catalog.register_bronze(spark, args.feed)
             if args.lake:
                 catalog.register_silver(spark, args.lake)
+            if args.compacted:
+                catalog.register_compacted(spark, args.compacted)
             if args.gold:
                 catalog.register_gold(spark, args.gold)
         case "report":

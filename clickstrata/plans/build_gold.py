@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from clickstrata.sources import gold_store
 from clickstrata.sources.lake import on_days
 
 
-def _together[T](spark: SparkSession, jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
+def _together(spark: SparkSession, jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
     """Submit independent jobs at once, so that the tail of one overlaps the next."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(jobs)) as pool:

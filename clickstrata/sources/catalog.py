@@ -8,6 +8,7 @@ from clickstrata.schemas import (
     ARRIVAL_KEYS,
     BRONZE_READ,
     CORRUPT_COLUMN,
+    DAY_KEYS,
     GOLD,
     SILVER,
     SILVER_ZONE,
@@ -60,6 +61,22 @@ def register_silver(
     )
 
 
+def register_compacted(
+    spark: SparkSession, root: str, database: str = "silver", table: str = "compacted_events"
+) -> None:
+    """Compacted silver as a partitioned table; call again to pick up new days.
+
+    The catalog knows its partitions, so a query on a few days lists only those.
+    """
+    full = identifier(database, table)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {full} ({_columns(SILVER)}) USING PARQUET "
+        f"PARTITIONED BY ({', '.join(map(identifier, DAY_KEYS))}) LOCATION {text(root)}"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {full}")
+    spark.sql(f"REFRESH TABLE {full}")
+
+
 def register_gold(spark: SparkSession, root: str, database: str = "gold") -> None:
     """The five published tables. They have no partitions to repair, only files to refresh."""
     for name, schema in GOLD.items():

@@ -1,7 +1,9 @@
-"""Keep gold up to date with silver: recompute the days that got new events."""
+"""Keep gold and compacted silver up to date: recompute the days that got new events."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickstrata.plans.build_gold import publish, refresh_daily
@@ -11,39 +13,72 @@ from clickstrata.sources import lake as lake_store
 # Above this many days in one batch, listing them costs more than reading all.
 MAX_LISTED_DAYS = 5_000
 
+Days = list[int | None] | None
+
 
-def touched_days(batch: DataFrame, most: int = MAX_LISTED_DAYS) -> list[int | None] | None:
+def touched_days(batch: DataFrame, most: int = MAX_LISTED_DAYS) -> Days:
     """Day numbers in a batch, or None if there are more than ``most``."""
     rows = batch.select(lake_store.day_number().alias("day")).distinct().limit(most + 1).collect()
     return None if len(rows) > most else [row.day for row in rows]
 
 
-def run_refresh(spark: SparkSession, lake: str, gold: str, checkpoint: str) -> dict[str, int]:
-    """Bring gold up to date with everything committed to the lake since the last run.
+def _on_news(
+    spark: SparkSession, lake: str, checkpoint: str, act: Callable[[DataFrame, Days], None]
+) -> bool:
+    """Call ``act`` with all of silver and the days that got rows since the last run.
 
-    Touched days are computed anew from all their rows and replace the stored
-    ones, so repeating a batch after a crash gives the same tables. Returns the
-    row counts of the published tables, or nothing if silver had no news.
+    Days is None if they are too many to list. Whatever ``act`` does is repeated
+    after a crash, so it has to replace, not add. False if there was no news.
     """
     configure(spark)
     if not path_exists(spark, f"{lake}/_spark_metadata"):
-        return {}
-    counts: dict[str, int] = {}
+        return False
+    news = []
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
+    def handle(batch: DataFrame, _batch_id: int) -> None:
         days = touched_days(batch)
         if days == []:
             return
         # The caller's session, not the batch's: adaptive execution is off in the latter.
-        refresh_daily(lake_store.read_silver(spark, lake), gold, days)
-        counts.update(publish(spark, gold))
+        act(lake_store.read_silver(spark, lake), days)
+        news.append(days)
 
     query = (
         lake_store.stream_silver(spark, lake)
-        .writeStream.foreachBatch(refresh)
+        .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return bool(news)
+
+
+def run_refresh(spark: SparkSession, lake: str, gold: str, checkpoint: str) -> dict[str, int]:
+    """Bring gold up to date with everything committed to the lake since the last run.
+
+    Touched days are computed anew from all their rows and replace the stored
+    ones. Returns the row counts of the published tables, or nothing if silver
+    had no news.
+    """
+    counts: dict[str, int] = {}
+
+    def refresh(silver: DataFrame, days: Days) -> None:
+        refresh_daily(silver, gold, days)
+        counts.update(publish(spark, gold))
+
+    _on_news(spark, lake, checkpoint, refresh)
     return counts
+
+
+def run_compaction(spark: SparkSession, lake: str, into: str, checkpoint: str) -> bool:
+    """Rewrite the days that got rows since the last run as few large files.
+
+    After a run the compacted copy holds all silver rows committed by then.
+    False if there were no new ones.
+    """
+
+    def rewrite(silver: DataFrame, days: Days) -> None:
+        lake_store.compact(silver if days is None else lake_store.on_days(silver, days), into)
+
+    return _on_news(spark, lake, checkpoint, rewrite)

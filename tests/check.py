@@ -36,7 +36,8 @@ def compare(frame, con, sql):
         return f"columns: {ours} != {theirs}"
     names = sorted(ours)
     left = sorted((tuple(r) for r in frame.select(names).collect()), key=repr)
-    right = sorted(con.sql(f"SELECT {', '.join(f'\"{n}\"' for n in names)} FROM ({sql})").fetchall(), key=repr)
+    quoted = ", ".join('"' + name + '"' for name in names)
+    right = sorted(con.sql(f"SELECT {quoted} FROM ({sql})").fetchall(), key=repr)
     if len(left) != len(right):
         return f"rows: {len(left)} != {len(right)}"
     wrong = [(a, b) for a, b in zip(left, right) if a != b]
@@ -53,6 +54,7 @@ def main():
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

@@ -49,6 +49,19 @@ def test_silver_view_sees_committed_rows(spark, layers):
     assert spark.sql("SELECT count(*) FROM silver.events WHERE day = 5").first()[0] == 2
 
 
+def test_compacted_table_knows_its_days(spark, layers):
+    root = str(layers / "compact")
+    silver = lake.read_silver(spark, str(layers / "lake"))
+    lake.compact(lake.on_days(silver, [20251204, None]), root)
+    catalog.register_compacted(spark, root)
+    assert spark.table("silver.compacted_events").count() == 7
+    lake.compact(lake.on_days(silver, [20251205]), root)
+    catalog.register_compacted(spark, root)
+    table = spark.table("silver.compacted_events")
+    assert golden.rows(table) == golden.rows(silver) and table.columns == silver.columns
+    assert spark.sql("SHOW PARTITIONS silver.compacted_events").count() == 3
+
+
 @pytest.mark.parametrize("name", GOLD)
 def test_gold_tables(spark, layers, name):
     assert golden.rows(spark.table(f"gold.{name}")) == golden.GOLD[name]

@@ -12,7 +12,7 @@ from clickstrata.schemas import GOLD, QUARANTINE_ZONE, SILVER, SILVER_ZONE
 from clickstrata.session import partitions_for
 from clickstrata.sources import bronze, gold_store, lake, sample_events
 from clickstrata.streaming.ingest import IngestResult, run_ingest
-from clickstrata.streaming.refresh import run_refresh, touched_days
+from clickstrata.streaming.refresh import run_compaction, run_refresh, touched_days
 from tests import golden
 
 FIRST = (golden.DEC4, golden.OLD)
@@ -286,6 +286,29 @@ def test_compaction_keeps_rows_and_can_be_repeated(pipe, tmp_path):
     assert lake.read_silver_files(pipe.spark, root).count() == 9
 
 
+def test_compaction_follows_ingest_day_by_day(pipe, tmp_path):
+    root, marks = str(tmp_path / "compact"), str(tmp_path / "compact_marks")
+
+    def compact():
+        return run_compaction(pipe.spark, pipe.lake, root, marks)
+
+    def compacted():
+        return golden.rows(lake.read_silver_files(pipe.spark, root))
+
+    assert not compact()
+    golden.write_feed(pipe.feed, FIRST)
+    pipe.ingest()
+    assert compact() and compacted() == golden.rows(pipe.silver())
+    files = set(Path(root).rglob("*.parquet"))
+    golden.write_feed(pipe.feed, (golden.DEC4_LATE, golden.DEC5))
+    pipe.ingest()
+    assert compact() and compacted() == golden.rows(pipe.silver())
+    assert files < set(Path(root).rglob("*.parquet"))
+    forget_last_commit(marks)
+    assert compact() and compacted() == golden.rows(pipe.silver())
+    assert not compact()
+
+
 def test_compaction_splits_a_crowded_day(spark, tmp_path, monkeypatch):
     feed = sample_events.bronze_frame(sample_events.read_events(spark, "/root/testdata/sf0.1"))
     crowded = to_silver(feed.drop("event_id").repartition(8)).withColumns(

@@ -24,13 +24,16 @@ def test_pipeline_by_jobs(spark, tmp_path, capsys):
     refresh = ("refresh", "--lake", silver, "--gold", gold, "--checkpoint", tmp_path / "gold_marks")
     assert "'user_activity': 3" in job(*refresh)
     assert job(*refresh) == "no new data\n"
-    rebuilt = tmp_path / "rebuilt"
-    job("rebuild", "--lake", silver, "--gold", rebuilt)
+    compacted = tmp_path / "compact"
+    compact = ("compact", "--lake", silver, "--into", compacted, "--checkpoint", tmp_path / "cm")
+    assert job(*compact) == ""
+    assert job(*compact) == "no new data\n"
+    assert lake.read_silver_files(spark, str(compacted)).count() == 9
+    job("rebuild", "--lake", silver, "--gold", tmp_path / "rebuilt")
+    job("rebuild", "--compacted", compacted, "--gold", tmp_path / "rebuilt2")
     for name, rows in golden.GOLD.items():
-        for root in (gold, str(rebuilt)):
+        for root in (gold, str(tmp_path / "rebuilt"), str(tmp_path / "rebuilt2")):
             assert golden.rows(gold_store.read_table(spark, name, root)) == rows
-    job("compact", "--lake", silver, "--into", tmp_path / "compact", "--days", 20251204, 20251205)
-    assert lake.read_silver_files(spark, str(tmp_path / "compact")).count() == 8
     assert "|p_1001    |electronics|3         |" in job("report", "top_products", "--gold", gold)
     job("report", "user_activity", "--gold", gold, "--into", tmp_path / "report")
     assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() == 3
