@@ -104,11 +104,16 @@ def inventory(lines: DataFrame) -> DataFrame:
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """One row per file: arrival keys, path, length, modification time.
 
-    Only the folder listing is used; no file is opened.
+    Only the folder listing is used; no file is opened. Arrival keys are NULL for
+    files outside arrival folders.
     """
-    widths = {key: 4 if key == "year" else 2 for key in ARRIVAL_KEYS}
-    keys = [f"lpad(CAST({key} AS STRING), {width}, '0') AS {key}" for key, width in widths.items()]
     files = spark.read.format("binaryFile").load(root)
+    keys = [
+        f"lpad(CAST({key} AS STRING), {4 if key == 'year' else 2}, '0') AS {key}"
+        if key in files.columns
+        else f"CAST(NULL AS STRING) AS {key}"
+        for key in ARRIVAL_KEYS
+    ]
     return files.selectExpr(*keys, "path", "length", "modificationTime AS modified")
 
 
@@ -117,6 +122,6 @@ def readiness(files: DataFrame, needed: int = READY_FILES) -> DataFrame:
     return files.agg(
         F.count("*").alias("files"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-        F.max(F.concat_ws("-", *ARRIVAL_KEYS)).alias("newest_arrival"),
+        F.max(F.expr(" || '-' || ".join(ARRIVAL_KEYS))).alias("newest_arrival"),
         (F.count("*") >= needed).alias("ready"),
     )

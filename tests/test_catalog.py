@@ -5,7 +5,7 @@ import pytest
 from clickstrata.operators.reports import REPORTS
 from clickstrata.plans import gold_sql, report_sql
 from clickstrata.plans.build_gold import build_gold
-from clickstrata.schemas import GOLD
+from clickstrata.schemas import GOLD, SILVER
 from clickstrata.sources import catalog, gold_store, lake
 from clickstrata.streaming.ingest import run_ingest
 from tests import golden
@@ -47,6 +47,21 @@ def test_bronze_table_finds_new_folders_on_repair(spark, layers):
 def test_silver_view_sees_committed_rows(spark, layers):
     assert spark.table("silver.events").count() == 9
     assert spark.sql("SELECT count(*) FROM silver.events WHERE day = 5").first()[0] == 2
+    # Types as found in the files and folder names, not as declared.
+    found = spark.table("silver.events").schema
+    assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in SILVER]
+
+
+def test_other_questions_of_silver_and_gold(spark, layers):
+    spent = spark.sql(
+        "SELECT user_id, round(sum(revenue), 2) AS spent FROM silver.events "
+        "WHERE event_date = DATE'2025-12-04' GROUP BY user_id HAVING spent > 0 ORDER BY spent DESC"
+    )
+    assert [tuple(row) for row in spent.collect()] == [("u1", 59.98), ("u2", 10.0)]
+    best = spark.sql(
+        "SELECT product_id, purchases FROM gold.conversion_funnel ORDER BY purchases DESC LIMIT 1"
+    )
+    assert tuple(best.first()) == ("p_1001", 2)
 
 
 def test_compacted_table_knows_its_days(spark, layers):

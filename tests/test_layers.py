@@ -75,6 +75,14 @@ def test_inventory_and_readiness(spark, feed, tmp_path):
     assert bronze.readiness(bronze.listing(spark, str(tmp_path))).first().ready
 
 
+def test_readiness_of_an_empty_or_flat_folder(spark, tmp_path):
+    state = bronze.readiness(bronze.listing(spark, str(tmp_path))).first()
+    assert tuple(state) == (0, 0, None, False)
+    golden.write_file(tmp_path, ".", ["{}"])
+    state = bronze.readiness(bronze.listing(spark, str(tmp_path)), needed=1).first()
+    assert (state.files, state.newest_arrival, state.ready) == (1, None, True)
+
+
 def test_silver_schema_and_nulls(silver):
     assert fields(silver.schema) == fields(SILVER)
     by_type = {}
