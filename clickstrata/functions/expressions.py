@@ -17,9 +17,8 @@ def purchase_revenue() -> Column:
 
 def hour_label(date: str, hour: str) -> Column:
     """``yyyy-MM-dd HH:00:00`` from a date and an hour; NULL if either is NULL."""
-    return F.expr(
-        f"date_format({date}, 'yyyy-MM-dd') || ' ' || lpad(CAST({hour} AS STRING), 2, '0') || ':00:00'"
-    )
+    day = f"date_format({date}, 'yyyy-MM-dd')"
+    return F.expr(f"{day} || ' ' || lpad(CAST({hour} AS STRING), 2, '0') || ':00:00'")
 
 
 def rate(part: str, whole: str) -> Column:

@@ -89,6 +89,7 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "user_activity": user_activity,
 }
 
+
 def ordered(name: str, table: DataFrame, newest_first: bool = False) -> DataFrame:
     """A table in its reading order, ties settled; the daily tables from either end.
 

@@ -49,7 +49,8 @@ def day_and_hour(event):
 def expected(events):
     steps = defaultdict(Counter)
     views, categories, purchases = Counter(), Counter(), Counter()
-    revenue, users, sessions, totals = defaultdict(list), defaultdict(set), defaultdict(set), Counter()
+    revenue, totals = defaultdict(list), Counter()
+    users, sessions = defaultdict(set), defaultdict(set)
     for event in events:
         day, hour = day_and_hour(event)
         product, kind = (event["product_id"], event["category"]), event["event_type"]

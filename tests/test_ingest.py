@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clickstrata.operators import gold
@@ -145,9 +146,10 @@ def test_finished_files_can_be_archived(pipe, tmp_path):
 def test_reset_needs_new_marks_and_a_new_lake(spark, tmp_path, pipe):
     golden.write_feed(pipe.feed)
     pipe.ingest()
-    again = run_ingest(spark, pipe.feed, str(tmp_path / "lake2"), str(tmp_path / "marks2"))
+    new_lake = str(tmp_path / "lake2")
+    again = run_ingest(spark, pipe.feed, new_lake, str(tmp_path / "marks2"))
     assert again == IngestResult(lines=10, refused=1)
-    assert golden.rows(lake.read_silver(spark, str(tmp_path / "lake2"))) == golden.rows(pipe.silver())
+    assert golden.rows(lake.read_silver(spark, new_lake)) == golden.rows(pipe.silver())
 
 
 def test_new_marks_on_a_filled_lake_are_refused(spark, tmp_path, pipe):
@@ -196,6 +198,27 @@ def test_shuffle_partitions_grow_with_the_files(pipe, monkeypatch):
     assert partitions_for(pipe.silver()) == 20_000
 
 
+def test_files_before_the_cutoff_are_not_opened(pipe):
+    golden.write_feed(pipe.feed)
+    unreadable = Path(pipe.feed) / golden.OLD / "events.jsonl.gz"
+    unreadable.write_bytes(b"this is not gzip")
+    assert pipe.ingest().lines == 10
+    assert bronze.scan(pipe.spark, pipe.feed).select("user_id").count() == 10
+    assert bronze.well_formed(bronze.scan(pipe.spark, pipe.feed)).count() == 9
+
+
+def test_unreadable_file_stops_ingest_and_is_taken_in_once_repaired(pipe):
+    golden.write_feed(pipe.feed)
+    broken = Path(pipe.feed) / golden.DEC5 / "events.jsonl.gz"
+    whole = broken.read_bytes()
+    broken.write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(StreamingQueryException):
+        pipe.ingest()
+    broken.write_bytes(whole)
+    assert pipe.ingest().accepted == 9
+    assert pipe.silver().count() == 9
+
+
 def test_cutoff_is_a_parameter(pipe):
     golden.write_feed(pipe.feed)
     assert pipe.ingest(cutoff="2024").accepted == 10

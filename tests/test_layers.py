@@ -70,8 +70,9 @@ def test_inventory_and_readiness(spark, feed, tmp_path):
     assert (state.files, state.ready) == (4, False)
     assert state.bytes == sum(row.length for row in files.collect())
     assert state.newest_arrival == "2025-12-05-01-00"
+    hour = "year=2025/month=01/day=02/hour=03"
     for minute in range(0, 60, 5):
-        golden.write_file(tmp_path, f"year=2025/month=01/day=02/hour=03/minute={minute:02d}", ["{}"])
+        golden.write_file(tmp_path, f"{hour}/minute={minute:02d}", ["{}"])
     assert bronze.readiness(bronze.listing(spark, str(tmp_path))).first().ready
 
 
@@ -125,7 +126,8 @@ def test_gold_reading_order(silver):
     def read(name, **kwargs):
         return [tuple(r) for r in gold.ordered(name, gold.TABLES[name](silver), **kwargs).collect()]
 
-    assert [r[0] for r in read("hourly_revenue")] == sorted(r[0] for r in golden.GOLD["hourly_revenue"])
+    hours = sorted(row[0] for row in golden.GOLD["hourly_revenue"])
+    assert [row[0] for row in read("hourly_revenue")] == hours
     days = [r[0] for r in read("user_activity")]
     assert days == [None, golden.D4, golden.D5]
     assert [r[0] for r in read("user_activity", newest_first=True)] == days[::-1]

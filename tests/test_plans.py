@@ -49,7 +49,7 @@ def test_cleaning_is_one_pass_without_shuffle(spark, stored):
         ("user_activity", {"event_date", "user_id", "session_id"}, 2, ""),
     ],
 )
-def test_gold_reads_little_and_combines_before_the_shuffle(stored, name, columns, exchanges, pushed):
+def test_gold_reads_little_and_combines_early(stored, name, columns, exchanges, pushed):
     table = gold.TABLES[name](stored[1])
     text = plan(table)
     assert columns_read(table) == columns
