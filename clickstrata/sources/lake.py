@@ -8,7 +8,7 @@ obeys that log: files of a batch that did not finish are not seen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clickstrata.schemas import DAY_KEYS, LAKE, QUARANTINE_ZONE, SILVER, SILVER_ZONE, ZONE
 from clickstrata.session import overridden
@@ -52,10 +52,19 @@ def on_days(silver: DataFrame, days: list[int | None]) -> DataFrame:
     return silver.where(wanted | F.col("year").isNull() if None in days else wanted)
 
 
-def write_silver(silver: DataFrame, root: str) -> None:
-    """Batch form of the silver sink: append, Parquet by event day."""
-    writer = silver.write.mode("append").partitionBy(*DAY_KEYS)
+def write_silver(silver: DataFrame, root: str) -> int:
+    """Batch form of the silver sink: append, Parquet by event day.
+
+    Returns the number of rows, counted while writing; without rows nothing is
+    written. Unlike the streaming sink it does not know what it wrote before.
+    """
+    if silver.isEmpty():
+        return 0
+    rows = Observation()
+    counted = silver.observe(rows, F.count("*").alias("rows"))
+    writer = counted.write.mode("append").partitionBy(*DAY_KEYS)
     writer.option("compression", CODEC).parquet(root)
+    return rows.get["rows"]
 
 
 def read_silver_files(spark: SparkSession, root: str) -> DataFrame:

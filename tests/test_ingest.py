@@ -352,6 +352,8 @@ def test_batch_silver_sink_appends(spark, tmp_path, pipe):
     golden.write_feed(pipe.feed)
     pipe.ingest()
     root = str(tmp_path / "silver")
+    assert lake.write_silver(pipe.silver().where("day = 77"), root) == 0
+    assert not Path(root).exists()
     for times in (1, 2):
-        lake.write_silver(pipe.silver(), root)
+        assert lake.write_silver(pipe.silver(), root) == 9
         assert lake.read_silver_files(spark, root).count() == 9 * times
