@@ -234,6 +234,32 @@ def test_files_outside_arrival_folders(pipe):
     assert lake.read_quarantine(pipe.spark, pipe.lake).where("day IS NULL").count() == 1
 
 
+def test_timestamps_far_off(pipe, tmp_path):
+    texts = ["0001-01-01T00:00:00Z", "1500-02-28T23:00:00Z", "1969-12-31T23:59:59Z",
+             "9999-12-31T23:59:59Z", "+12345-01-01T05:00:00Z", "2025-02-30T00:00:00Z"]
+    lines = [golden.event(t, "u1", "s1", "purchase", *golden.E1, 1, 2.0) for t in texts]
+    golden.write_file(pipe.feed, golden.DEC4, lines)
+    assert pipe.ingest() == IngestResult(lines=6, refused=0)
+    pipe.refresh()
+    assert run_compaction(pipe.spark, pipe.lake, str(tmp_path / "compact"), str(tmp_path / "cm"))
+    tables = {
+        name: gold_store.read_table(pipe.spark, name, pipe.gold) for name in GOLD
+    }
+    assert golden.rows(tables["hourly_revenue"]) == {
+        ("0001-01-01 00:00:00", 2.0, 1),
+        ("1500-02-28 23:00:00", 2.0, 1),
+        ("1969-12-31 23:00:00", 2.0, 1),
+        ("9999-12-31 23:00:00", 2.0, 1),
+        ("+12345-01-01 05:00:00", 2.0, 1),
+        (None, 2.0, 1),
+    }
+    days = tables["user_activity"].selectExpr("CAST(event_date AS STRING)", "total_events")
+    assert {row[0] for row in days.collect()} == {
+        "0001-01-01", "1500-02-28", "1969-12-31", "9999-12-31", "+12345-01-01", None
+    }
+    assert lake.read_silver_files(pipe.spark, str(tmp_path / "compact")).count() == 6
+
+
 def test_refresh_follows_ingest_day_by_day(pipe):
     golden.write_feed(pipe.feed, FIRST)
     pipe.ingest()
