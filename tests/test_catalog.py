@@ -2,11 +2,13 @@
 
 import pytest
 
+from clickstrata.operators.gold import TABLES
 from clickstrata.operators.reports import REPORTS
+from clickstrata.operators.silver import to_silver
 from clickstrata.plans import gold_sql, report_sql
 from clickstrata.plans.build_gold import build_gold
 from clickstrata.schemas import GOLD, SILVER
-from clickstrata.sources import catalog, gold_store, lake
+from clickstrata.sources import bronze, catalog, gold_store, lake
 from clickstrata.streaming.ingest import run_ingest
 from tests import golden
 
@@ -31,6 +33,15 @@ def test_databases(spark, layers):
     assert names >= {"bronze", "silver", "gold"}
 
 
+def test_bronze_table_can_be_cleaned_like_the_folder(spark, layers):
+    lines = spark.table("bronze.events").where("year >= '2025' AND day < '06'")
+    assert bronze.malformed(lines).select("raw_line").collect() == [("{bad json",)]
+    silver = to_silver(bronze.well_formed(lines))
+    assert golden.rows(silver) == golden.rows(spark.table("silver.events"))
+    for name, build in TABLES.items():
+        assert golden.rows(build(silver)) == golden.GOLD[name]
+
+
 def test_bronze_table_finds_new_folders_on_repair(spark, layers):
     def hours():
         return {row[0] for row in spark.sql("SHOW PARTITIONS bronze.events").collect()}
