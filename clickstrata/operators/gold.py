@@ -69,16 +69,31 @@ def category_performance(silver: DataFrame) -> DataFrame:
 def user_activity(silver: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct users and sessions and all events per day.
 
-    The exact form shuffles one row per distinct user or session of a task,
-    keyed by day and id, so no day is counted in one place. ``approximate``
-    trades that shuffle for a sketch per day.
+    Each id is deduplicated by itself, keyed by day and id, so no day is counted
+    in one place, and the two results, a row per day each, are put together.
+    Two COUNT(DISTINCT) in one aggregation would triple the rows and hold both
+    sets of ids at once. ``approximate`` needs one pass and a sketch per day.
     """
-    distinct: Callable[[str], Column] = F.approx_count_distinct if approximate else F.countDistinct
-    return silver.groupBy("event_date").agg(
-        distinct("user_id").alias("unique_users"),
-        distinct("session_id").alias("unique_sessions"),
-        F.count("*").alias("total_events"),
+    if approximate:
+        return silver.groupBy("event_date").agg(
+            F.approx_count_distinct("user_id").alias("unique_users"),
+            F.approx_count_distinct("session_id").alias("unique_sessions"),
+            F.count("*").alias("total_events"),
+        )
+    users = (
+        silver.groupBy("event_date", "user_id")
+        .agg(F.count("*").alias("events"))
+        .groupBy("event_date")
+        .agg(F.count("user_id").alias("unique_users"), F.sum("events").alias("total_events"))
     )
+    sessions = (
+        silver.select(F.col("event_date").alias("day"), "session_id")
+        .distinct()
+        .groupBy("day")
+        .agg(F.count("session_id").alias("unique_sessions"))
+    )
+    same_day = F.col("event_date").eqNullSafe(F.col("day"))
+    return shaped("user_activity", users.join(sessions, same_day))
 
 
 TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
