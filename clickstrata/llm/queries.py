@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstrata.llm import pii, quality, sharding
+from clickstrata.llm import pattern_packing, pii, quality, sharding, token_output
 from clickstrata.llm.common import table
 
 SHARDS = 40
@@ -26,6 +26,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.assess(table(spark, sf_dir, "documents"))
     return judged.drop("cleaned")
@@ -42,10 +46,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
+    "op5_token_output": op5_token_output,
     "op6_quality": op6_quality,
     "op8_pii": op8_pii,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
