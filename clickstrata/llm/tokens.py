@@ -6,19 +6,56 @@ ids are those of its words in a row, and each distinct word is encoded once.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterable
 
-import numpy as np
-
 TOKENIZER = "word_bpe_49k.json"
-# Words remembered by a worker; beyond that it forgets them all and goes on.
+# Words, and parts of words, remembered by a worker.
 REMEMBERED = 200_000
 # Characters handled at once.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
+
+# Words of these characters are normalized and split here, which is faster; the
+# rules are the tokenizer's own. Any other word goes through the tokenizer whole.
+SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The visible character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + at) for at, b in enumerate(hidden)}
+
+
+class PartIds(dict):
+    """The ids of the parts of normalized words."""
 
+    def __init__(self, model):
+        self.tokenize = model.tokenize
+        self.letters = byte_letters()
+        self.earlier: dict[str, bytes] = {}
 
-class WordIds:
-    """Encodes texts to little-endian unsigned 32-bit ids."""
+    def __missing__(self, part: str) -> bytes:
+        ids = self.earlier.get(part)
+        if ids is None:
+            shown = part
+            if not part.isascii():
+                shown = "".join(map(self.letters.__getitem__, part.encode()))
+            ids = array("I", [token.id for token in self.tokenize(shown)]).tobytes()
+        self[part] = ids
+        return ids
+
+    def trim(self) -> None:
+        """Forget what was not used lately."""
+        if len(self) > REMEMBERED:
+            self.earlier = dict(self)
+            self.clear()
+
+
+class WordIds(dict):
+    """Encodes texts to little-endian unsigned 32-bit ids; remembers the ids of words."""
 
     def __init__(self, tokenizer: str | None = None):
         from tokenizers import Tokenizer
@@ -30,37 +67,26 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer)
         # The strings of special tokens are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.parts = PartIds(self.tokenizer.model)
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isascii() and text.isprintable() or SIMPLE.fullmatch(text):
+            ids = b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = array("I", found).tobytes()
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        self.parts.trim()
+        of = self.__getitem__
         # bytes.split() cuts at ASCII white space, which the tokenizer drops.
-        words = [text.encode().split() for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new: set[bytes] = set()
-        for own in words:
-            new.update(own)
-        new.difference_update(self.known)
-        for some in _batches(new, 20_000):
-            coded = self.tokenizer.encode_batch_fast(
-                [word.decode() for word in some], add_special_tokens=False
-            )
-            for word, code in zip(some, coded):
-                self.known[word] = np.asarray(code.ids, dtype="<u4").tobytes()
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, own)) for own in words]
-
-
-def _batches(items: Iterable, size: int) -> Iterable[list]:
-    some: list = []
-    for item in items:
-        some.append(item)
-        if len(some) == size:
-            yield some
-            some = []
-    if some:
-        yield some
+        return [b"".join(map(of, text.encode().split())) for text in texts]
 
 
 def slices(batch, text: str = "text", at_once: int = AT_ONCE) -> Iterable[tuple[int, list[str]]]:
