@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import TypeVar
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickstrata.session import working_dir
@@ -9,6 +14,8 @@ from clickstrata.session import working_dir
 # Words are runs of anything but ASCII white space.
 SPACES = r"[\x20\x09-\x0D]+"
 
+T = TypeVar("T")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,3 +46,12 @@ def text_of(column: str = "text") -> Column:
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
+
+
+def shared(spark: SparkSession, value: T) -> Callable[[], T]:
+    """Broadcast a value of bounded size; call the result in a task to get it.
+
+    Classes of this package travel with the value.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)

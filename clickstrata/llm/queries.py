@@ -6,12 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstrata.llm import pattern_packing, pii, quality, sharding, token_output
+from clickstrata.llm import (
+    decontamination,
+    pattern_packing,
+    pii,
+    quality,
+    sharding,
+    token_output,
+    toxicity,
+)
 from clickstrata.llm.common import table
 
 SHARDS = 40
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, field).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(docs, items)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
     return dealt.select(
@@ -51,6 +76,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
     "op4_sharding": op4_sharding,
     "op5_token_output": op5_token_output,
     "op6_quality": op6_quality,
