@@ -1,12 +1,12 @@
 """Toxic spans by a linear-chain conditional random field.
 
 A token is a word in lower case, letters and digits only; a sentence is a chain.
-Each token is labelled toxic or not: emission weights for the word, its ends
-and its length, hashed into one table, and transition weights. Training labels for
-tokens come from the labels of documents: in a toxic document, the words whose
-contexts are far more often those of toxic documents are the toxic tokens.
-(Contexts are counted, a word with the one before it, so that copies of one text
-count once.) Forward-backward marginals give the offending spans; their
+Each token is labelled toxic or not: emission weights for the word, its
+beginnings, its end and its length, hashed into one table, and transition weights.
+Training labels for tokens come from the labels of documents: in a toxic document,
+the toxic tokens are the words which, or beginnings of which, have contexts far more
+often in toxic documents than in others. (Contexts are counted, a word with the one
+before it, so that copies of one text count once.) Forward-backward marginals give the offending spans; their
 largest value and the sum of the larger ones give the document's score, calibrated to the share
 of toxic documents.
 
@@ -21,7 +21,6 @@ no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,10 +38,13 @@ SAMPLE_CLEAN = 3000
 SAMPLE_CHARS = 20_000
 TABLE_BITS = 18
 STEPS = 40
-# A toxic word has this many contexts in toxic documents, and its log odds there
-# against others, less two standard errors, are at least this.
+# A toxic word or beginning has this many contexts in toxic documents, and its log odds there
+# against others, less some standard errors, are at least this.
 LEAST_CONTEXTS = 5
-LEAST_LOG_ODDS = 2.0
+LEAST_LOG_ODDS = 1.5
+ERRORS = 1.5
+# Bytes of the beginnings that are features; at most 8 fit a hash input.
+BEGINNINGS = (3, 4, 5, 6, 7)
 # Marginals from here on add to a document's sum: many faint ones are no sign.
 LEAST_COUNTED = 0.2
 SENTENCE_ENDS = np.zeros(256, dtype=bool)
@@ -61,6 +63,8 @@ class Chains:
     """Tokens in sentence order: features, and where sentences begin, longest first."""
 
     words: Words
+    # Hashes of each token's word and its beginnings.
+    units: list[np.ndarray]
     features: list[np.ndarray]
     starts: np.ndarray
     lengths: np.ndarray
@@ -73,22 +77,27 @@ def chains_of(texts: Texts) -> Chains:
     data = words.data
     shift = np.uint64(64 - TABLE_BITS)
 
-    def slot(value: np.ndarray, salt: int) -> np.ndarray:
-        return (mixed(value * np.uint64(2) + np.uint64(salt * 0x10001)) >> shift).astype(np.int64)
+    def slot(value: np.ndarray) -> np.ndarray:
+        return (value >> shift).astype(np.int64)
 
-    def ends(back: bool) -> np.ndarray:
-        value = np.zeros(n, dtype=np.uint64)
-        for k in range(3):
-            at = words.ends - 1 - k if back else words.starts + k
-            inside = (at >= words.starts) & (at < words.ends)
-            byte = np.where(inside, data[np.where(inside, at, 0)] if len(data) else 0, 0)
-            value = value * np.uint64(257) + byte.astype(np.uint64)
-        return value
+    def byte(at: np.ndarray) -> np.ndarray:
+        inside = (at >= words.starts) & (at < words.ends)
+        return np.where(inside, data[np.where(inside, at, 0)], 0).astype(np.uint64)
+
+    def salted(value: np.ndarray, salt: int) -> np.ndarray:
+        return mixed(value ^ np.uint64(salt << 58))
 
+    units = [words.hashes]
+    end = value = np.zeros(n, dtype=np.uint64)
+    if n:
+        for k in range(max(BEGINNINGS)):
+            value = value | byte(words.starts + k) << np.uint64(8 * k)
+            if k + 1 in BEGINNINGS:
+                units.append(salted(value, 2 + k))
+        for k in range(3):
+            end = end | byte(words.ends - 1 - k) << np.uint64(8 * k)
     length = np.minimum(words.ends - words.starts, 15).astype(np.uint64)
-    features = [
-        slot(words.hashes, 1), slot(ends(False), 2), slot(ends(True), 3), slot(length, 4)
-    ]
+    features = [slot(salted(length, 1)), slot(salted(end, 0)), *map(slot, units)]
     # A sentence ends where the byte after a word, as written, says so.
     follows = np.zeros(n, dtype=bool)
     if n:
@@ -100,7 +109,7 @@ def chains_of(texts: Texts) -> Chains:
     starts = np.flatnonzero(begins)
     lengths = np.diff(np.append(starts, n))
     order = np.argsort(-lengths, kind="stable")
-    return Chains(words, features, starts[order], lengths[order], texts)
+    return Chains(words, units, features, starts[order], lengths[order], texts)
 
 
 @dataclass
@@ -192,35 +201,27 @@ def spans_of(chains: Chains, p: np.ndarray, least: float = 0.5) -> dict[int, lis
     return found
 
 
-def toxic_words(batches: list[tuple[Chains, np.ndarray]]) -> np.ndarray:
-    """Hashes of the words that mark toxic documents."""
-    contexts: list[np.ndarray] = [[], []]
-    for chains, labels in batches:
-        h, rows = chains.words.hashes, chains.words.rows
-        before = np.concatenate([[np.uint64(0)], h[:-1]])
-        before[chains.words.bounds[:-1][np.diff(chains.words.bounds) > 0]] = 0
-        pairs = np.stack([h, before], axis=1)
-        for label in (0, 1):
-            contexts[label].append(pairs[labels[rows] == label])
+def toxic_units(batches: list[tuple[Chains, np.ndarray]]) -> np.ndarray:
+    """Hashes of the words and beginnings that mark toxic documents."""
     counts, totals = [], []
     for label in (0, 1):
-        pairs = np.unique(np.concatenate(contexts[label]), axis=0)
-        counts.append(Counter(dict(zip(*np.unique(pairs[:, 0], return_counts=True)))))
-        totals.append(len(pairs))
-    clean, toxic = counts
-    odds = np.log((totals[0] + 1) / (totals[1] + 1))
-    return np.array(
-        [
-            word
-            for word, n in toxic.items()
-            if n >= LEAST_CONTEXTS
-            and np.log((n + 0.5) / (clean[word] + 0.5))
-            + odds
-            - 2 * np.sqrt(1 / (n + 0.5) + 1 / (clean[word] + 0.5))
-            >= LEAST_LOG_ODDS
-        ],
-        dtype=np.uint64,
-    )
+        pairs, units = [], []
+        for chains, labels in batches:
+            words = chains.words
+            before = np.concatenate([[np.uint64(0)], words.hashes[:-1]])
+            before[words.bounds[:-1][np.diff(words.bounds) > 0]] = 0
+            mine = labels[words.rows] == label
+            pairs.append(mixed(words.hashes + before * np.uint64(3))[mine])
+            units.append(np.stack(chains.units)[:, mine])
+        _, first = np.unique(np.concatenate(pairs), return_index=True)
+        counts.append(np.unique(np.concatenate(units, axis=1)[:, first], return_counts=True))
+        totals.append(len(first))
+    (known, clean), (found, n) = counts
+    at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
+    others = np.where(known[at] == found, clean[at], 0) if len(known) else np.zeros(len(found))
+    odds = np.log((n + 0.5) / (others + 0.5)) + np.log((totals[0] + 1) / (totals[1] + 1))
+    sure = odds - ERRORS * np.sqrt(1 / (n + 0.5) + 1 / (others + 0.5))
+    return found[(n >= LEAST_CONTEXTS) & (sure >= LEAST_LOG_ODDS)]
 
 
 def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
@@ -233,9 +234,10 @@ def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
         (chains_of(some), labels_all[some.first : some.first + len(some)])
         for some in texts_of(batch)
     ]
-    marked = toxic_words(batches)
+    marked = toxic_units(batches)
     goals = [
-        np.isin(c.words.hashes, marked) & (y[c.words.rows] == 1) for c, y in batches
+        np.any([np.isin(unit, marked) for unit in c.units], axis=0) & (y[c.words.rows] == 1)
+        for c, y in batches
     ]
     size = 1 << TABLE_BITS
     field = Field(np.zeros(size), np.zeros(3), np.zeros(3))
@@ -243,7 +245,7 @@ def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
     rate = (sum(int(g.sum()) for g in goals) + 1) / (tokens + 2)
     # Every token has a length, so these slots start as the constant.
     for c, _ in batches:
-        field.emission[c.features[3]] = np.log(rate / (1 - rate))
+        field.emission[c.features[0]] = np.log(rate / (1 - rate))
     moments = [np.zeros(size + 3), np.zeros(size + 3)]
     for step in range(1, STEPS + 1):
         slope, turn = np.zeros(size), np.zeros(3)
