@@ -33,9 +33,9 @@ from clickstrata.llm.wordtable import Texts, Words, mixed, texts_of, words_of
 
 FOLDS = 5
 # The bounded sample: documents of each label, and the longest that are drawn.
-SAMPLE_TOXIC = 1500
-SAMPLE_CLEAN = 3000
-SAMPLE_CHARS = 20_000
+SAMPLE_TOXIC = 1200
+SAMPLE_CLEAN = 2000
+SAMPLE_CHARS = 8000
 TABLE_BITS = 18
 STEPS = 40
 # A toxic word or beginning has this many contexts in toxic documents, and its log odds there
@@ -78,7 +78,7 @@ def chains_of(texts: Texts) -> Chains:
     shift = np.uint64(64 - TABLE_BITS)
 
     def slot(value: np.ndarray) -> np.ndarray:
-        return (value >> shift).astype(np.int64)
+        return (value >> shift).astype(np.int32)
 
     def byte(at: np.ndarray) -> np.ndarray:
         inside = (at >= words.starts) & (at < words.ends)
@@ -239,6 +239,8 @@ def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
         np.any([np.isin(unit, marked) for unit in c.units], axis=0) & (y[c.words.rows] == 1)
         for c, y in batches
     ]
+    for c, _ in batches:
+        c.units.clear()
     size = 1 << TABLE_BITS
     field = Field(np.zeros(size), np.zeros(3), np.zeros(3))
     tokens = max(1, sum(map(len, goals)))
