@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstrata.llm import (
     decontamination,
+    jaccard,
     pattern_packing,
     pii,
     quality,
@@ -71,6 +72,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_output": op5_token_output,
     "op6_quality": op6_quality,
     "op8_pii": op8_pii,
+    "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }
 
