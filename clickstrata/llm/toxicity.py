@@ -295,14 +295,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     totals = dict(marks.groupBy("mark").count().collect())
     if len(totals) < 2:
         return None
-    short = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    short = short.where(F.length("text").between(1, SAMPLE_CHARS))
-    known = short.join(marks, "doc_id")
     texts, wanted = [], []
     for mark, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
-        drawn = known.where(F.col("mark") == mark)
-        drawn = drawn.orderBy(F.xxhash64("doc_id"), "text").limit(most)
-        for row in drawn.select("text").collect():
+        # The ids are drawn first: at most so many, so they can be broadcast.
+        drawn = marks.where(F.col("mark") == mark).select("doc_id").distinct()
+        drawn = drawn.orderBy(F.xxhash64("doc_id")).limit(most)
+        known = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        known = known.where(F.length("text").between(1, SAMPLE_CHARS))
+        known = known.join(F.broadcast(drawn), "doc_id", "left_semi")
+        for row in known.orderBy(F.xxhash64("doc_id"), "text").limit(most).collect():
             texts.append(row.text)
             wanted.append(mark)
     return fit(texts, wanted, totals[1] / (totals[0] + totals[1]))
