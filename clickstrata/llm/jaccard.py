@@ -14,8 +14,9 @@ cost least.
 
 Sets that are equal are one class and are searched once. Short lists give all their
 pairs. Long ones first give a star, which joins most members of a group of near
-copies; only members still in different components are then paired, so a group of
-thousands does not give all its pairs. Candidates are checked against the whole
+copies; only members still in different components are then compared, so a group of
+thousands does not give all its pairs. (Those are compared in blocks of bounded size.)
+Candidates are checked against the whole
 sets. Sets and elements are compared by 64-bit hashes.
 
 Defined results: a document without words, null or empty, has an empty set and is
@@ -31,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clickstrata.llm.common import store
 from clickstrata.llm.components import components
@@ -47,6 +48,9 @@ LIST_COST = 8
 MOST_LIGHT = 40
 # Lists up to this long give all their pairs.
 SHORT_LIST = 4
+# A block of a family of lists: elements, and sets.
+BLOCK_ELEMENTS = 1 << 18
+BLOCK_SETS = 512
 
 _ONE = np.uint64(1)
 
@@ -352,6 +356,81 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").mapInArrow(run, "x long, y long")
 
 
+def settled(
+    members: DataFrame, named: DataFrame, classes: DataFrame, sets: DataFrame
+) -> DataFrame:
+    """Links (x, y) between members of one long list that are in different components.
+
+    Lists that are not all one component are put together into families; a family is
+    compared block by block, each pair of blocks in one task of bounded size. Blocks
+    that lie in one and the same component are not compared.
+    """
+    placed = store(
+        members.join(named, members["x"] == named["node"], "left").select(
+            "key", "x", F.coalesce("component", "x").alias("component")
+        ),
+        "members",
+    )
+    lists = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("x").alias("y")
+    )
+    open_ = placed.join(lists.where(F.col("low") < F.col("high")), "key")
+    families = components(open_.select("x", "y")).toDF("x", "family")
+    people = (
+        open_.select("x", "component")
+        .distinct()
+        .join(families, "x")
+        .join(classes.select(F.col("print").alias("x"), "n"), "x")
+    )
+    order = Window.partitionBy("family").orderBy("component", "n", "x")
+    load = F.sum(F.greatest("n", F.lit(BLOCK_ELEMENTS // BLOCK_SETS))).over(order)
+    people = store(people.withColumn("block", F.floor(load / BLOCK_ELEMENTS)), "families")
+    blocks = people.groupBy("family", "block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    other = blocks.toDF("family", "second", "low2", "high2")
+    apart = (F.col("low") < F.col("high")) | (F.col("low2") < F.col("high2"))
+    tasks = blocks.join(other, "family").where(
+        (F.col("block") <= F.col("second")) & (apart | (F.col("low") != F.col("low2")))
+    )
+    tasks = tasks.select("family", F.col("block").alias("one"), F.col("second").alias("two"))
+    sides = tasks.withColumn("block", F.explode(F.array_distinct(F.array("one", "two"))))
+    rows = (
+        sides.join(people, ["family", "block"])
+        .join(sets.withColumnRenamed("print", "x"), "x")
+        .select("family", "one", "two", "block", "x", "component", "elements")
+    )
+    return rows.groupBy("family", "one", "two").applyInArrow(block_links, "x long, y long")
+
+
+def block_links(table: pa.Table) -> pa.Table:
+    """Links within a block or between two, one for each set and other component."""
+    sets = [np.frombuffer(e.as_buffer(), dtype=np.uint64) for e in table["elements"]]
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Elements of one set only are no overlap.
+    shared_column = np.cumsum(counts > 1) - 1
+    inside = counts[column] > 1
+    owner, column = owner[inside], shared_column[column[inside]]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, int(shared_column[-1]) + 1, 2048):
+        here = (column >= low) & (column < low + 2048)
+        has = np.zeros((len(sets), 2048), dtype=np.float32)
+        has[owner[here], column[here] - low] = 1
+        both += has @ has.T
+    similar = BASE * both >= TOP * (sizes[:, None] + sizes[None, :] - both)
+    component = table["component"].to_numpy()
+    block = table["block"].to_numpy()
+    similar &= component[:, None] != component[None, :]
+    if len(np.unique(block)) > 1:
+        similar &= block[:, None] != block[None, :]
+    a, b = np.nonzero(similar)
+    _, first = np.unique(np.stack([a, component[b]]), axis=1, return_index=True)
+    x = table["x"].to_numpy()
+    return pa.table({"x": pa.array(x[a[first]], pa.int64()), "y": pa.array(x[b[first]], pa.int64())})
+
+
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, set size and component of every document."""
     own = store(prints(docs), "prints")
@@ -375,25 +454,7 @@ def linked(docs: DataFrame) -> DataFrame:
     links = store(verified(pairs, sets), "similar")
 
     if not members.isEmpty():
-        # Members of one long list that are not joined yet, each with those of other components.
-        named = components(links)
-        placed = store(
-            members.join(named, members["x"] == named["node"], "left").select(
-                "key", "x", F.coalesce("component", "x").alias("component")
-            ),
-            "members",
-        )
-        split = placed.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        split = split.where(F.col("low") < F.col("high")).select("key")
-        open_ = placed.join(split, "key", "left_semi")
-        other = open_.select("key", F.col("x").alias("y"), F.col("component").alias("other"))
-        rest = open_.join(other, "key").where(
-            (F.col("x") < F.col("y")) & (F.col("component") != F.col("other"))
-        )
-        rest = near(rest.select("x", "y")).exceptAll(pairs)
-        links = links.unionAll(verified(rest, sets))
+        links = links.unionAll(settled(members, components(links), classes, sets))
 
     by_print = classes.select("print", "id")
     named = (
