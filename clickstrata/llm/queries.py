@@ -13,6 +13,7 @@ from clickstrata.llm import (
     pii,
     quality,
     sharding,
+    substrings,
     token_output,
     toxicity,
 )
@@ -38,6 +39,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, items)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "intervals"
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
     return dealt.select(
@@ -83,6 +90,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
+    "op3_substrings": op3_substrings,
     "op4_sharding": op4_sharding,
     "op5_token_output": op5_token_output,
     "op6_quality": op6_quality,
