@@ -490,6 +490,22 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def spare(docs: DataFrame) -> DataFrame:
-    """The ids of documents that a component can do without: all but its least."""
-    return linked(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+def representatives(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the least id, with all its columns.
+
+    Of rows with one id the least stays. Rows with a null id all stay.
+    """
+    found = linked(docs)
+    spare = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
+    repeated = found.groupBy("doc_id").count().where(
+        (F.col("count") > 1) & F.col("doc_id").isNotNull()
+    )
+    repeated = store(repeated.select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    row = F.min(F.struct(*docs.columns)).alias("row")
+    single = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(row)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionAll(
+        single.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    )

@@ -119,9 +119,10 @@ def _kinded(hits: Column, kind: int) -> Column:
     )
 
 
-def search(docs: DataFrame) -> DataFrame:
-    """doc_id, the base spans, and all candidates with their features."""
-    frame = docs.select("doc_id", text_of().alias("text"))
+def search(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, the base spans, and all candidates with their context; whole: the row as well."""
+    row = [F.struct(*docs.columns).alias("row")] if whole else []
+    frame = docs.select("doc_id", text_of().alias("text"), *row)
     frame = computed(frame, **base_spans())
     gates = {"email": F.col("text").rlike(r"@|[(\[{]at[)\]}]"), "ip": None, "digits": None}
     frame = computed(
@@ -153,7 +154,9 @@ def search(docs: DataFrame) -> DataFrame:
             ),
         ),
     )
-    return frame.select("doc_id", "base", with_context.alias("candidates"))
+    return frame.select(
+        "doc_id", "base", with_context.alias("candidates"), *(["row"] if whole else [])
+    )
 
 
 def features_of(x: Column) -> dict[str, Column]:
@@ -231,9 +234,8 @@ def select_spans(found: DataFrame, model: Trees) -> DataFrame:
             x["value"].alias("value"),
         ),
     )
-    return frame.select(
-        "doc_id", "base", F.array_sort(F.concat(F.col("base"), added)).alias("spans")
-    )
+    spans = F.array_sort(F.concat(F.col("base"), added))
+    return frame.withColumn("spans", spans).drop("candidates", "extra")
 
 
 def as_text(spans: str) -> Column:
@@ -278,3 +280,15 @@ def mask(text: Column, spans: Column) -> Column:
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))),
     )
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The documents with their spans masked; a column n_chars follows the new text."""
+    model = fit_selector(store(search(docs), "pii"))
+    found = select_spans(search(docs, whole=True), model)
+    found = computed(found, masked=mask(F.col("row.text").cast("string"), F.col("spans")))
+    new = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        changed = F.char_length("masked").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.size("spans") > 0, changed).otherwise(F.col("row.n_chars"))
+    return found.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

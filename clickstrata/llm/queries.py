@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstrata.llm import (
     decontamination,
+    html_text,
     jaccard,
     pattern_packing,
     pii,
@@ -68,6 +69,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("cleaned")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.extracted(pages, html_text.train(pages))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_token_output": op5_token_output,
     "op6_quality": op6_quality,
+    "op7_html_text": op7_html_text,
     "op8_pii": op8_pii,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
