@@ -107,9 +107,9 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def segments(wanted: DataFrame) -> DataFrame:
-    """(spread, doc_id, kind, place, words): the segments of the anchors asked for.
+    """(spread, doc_id, kind, places, words): the segments of the anchors asked for.
 
-    ``wanted`` has doc_id, text, kind, and the shared and very common anchors.
+    Equal segments of one document are one row. ``wanted`` has doc_id, text, kind, and the shared and very common anchors.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,22 +131,22 @@ def segments(wanted: DataFrame) -> DataFrame:
                     new[1:] = (places[1:] != places[:-1]) | single[1:]
                     begins = np.flatnonzero(new)
                     stops = np.append(begins[1:], len(places))
+                    own: dict[tuple[int, bytes], list[int]] = defaultdict(list)
                     for a, b in zip(*(x[np.isin(anchor[begins], shared)] for x in (begins, stops))):
                         text = b" ".join(words[a : b + WINDOW - 1])
                         spread = int(anchor[a])
                         if single[a]:
                             spread = digest([text])
-                        rows.append((spread, doc_id, kind, int(a), text))
+                        own[spread, text].append(int(a))
+                    rows += [(s, doc_id, kind, at, text) for (s, text), at in own.items()]
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *(pa.array(c, pa.int64()) for c in list(zip(*rows))[:4]),
-                            pa.array([r[4] for r in rows], pa.binary()),
-                        ],
-                        ["spread", "doc_id", "kind", "place", "words"],
-                    )
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
-    return wanted.mapInArrow(run, "spread long, doc_id long, kind long, place long, words binary")
+    names = ["spread", "doc_id", "kind", "places", "words"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    schema = "spread long, doc_id long, kind long, places array<long>, words binary"
+    return wanted.mapInArrow(run, schema)
 
 
 REPEATS = "doc_id long, kind long, start long, end long"
@@ -158,7 +158,7 @@ def repeats(shard: pa.Table) -> pa.Table:
     for row, words in enumerate(shard["words"].to_pylist()):
         uses[words].append(row)
     ids, kinds = shard["doc_id"].to_numpy(), shard["kind"].to_numpy()
-    places = shard["place"].to_numpy()
+    places = shard["places"].to_pylist()
     number: dict[bytes, int] = {}
     symbols, starts = [0], []
     for words in uses:
@@ -183,9 +183,9 @@ def repeats(shard: pa.Table) -> pa.Table:
         for row in rows:
             hit = np.concatenate([[False], owner < ids[row], [False]])
             edges = np.flatnonzero(hit[1:] != hit[:-1])
-            for a, b in zip(edges[::2], edges[1::2]):
-                start = int(places[row] + a)
-                out.append((ids[row], kinds[row], start, int(places[row] + b) + WINDOW - 1))
+            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                for place in places[row]:
+                    out.append((ids[row], kinds[row], place + a, place + b + WINDOW - 1))
     columns = zip(*out) if out else ([], [], [], [])
     names = ["doc_id", "kind", "start", "end"]
     return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns)})
