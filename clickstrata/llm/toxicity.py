@@ -33,9 +33,9 @@ from clickstrata.llm.wordtable import Texts, Words, mixed, texts_of, words_of
 
 FOLDS = 5
 # The bounded sample: documents of each label, and the longest that are drawn.
-SAMPLE_TOXIC = 1200
-SAMPLE_CLEAN = 2000
-SAMPLE_CHARS = 8000
+SAMPLE_TOXIC = 1000
+SAMPLE_CLEAN = 1600
+SAMPLE_CHARS = 6000
 TABLE_BITS = 18
 STEPS = 40
 # A toxic word or beginning has this many contexts in toxic documents, and its log odds there
@@ -203,25 +203,32 @@ def spans_of(chains: Chains, p: np.ndarray, least: float = 0.5) -> dict[int, lis
 
 def toxic_units(batches: list[tuple[Chains, np.ndarray]]) -> np.ndarray:
     """Hashes of the words and beginnings that mark toxic documents."""
-    counts, totals = [], []
+    chosen, totals = [], []
     for label in (0, 1):
-        pairs, units = [], []
+        pairs = []
         for chains, labels in batches:
             words = chains.words
             before = np.concatenate([[np.uint64(0)], words.hashes[:-1]])
             before[words.bounds[:-1][np.diff(words.bounds) > 0]] = 0
             mine = labels[words.rows] == label
             pairs.append(mixed(words.hashes + before * np.uint64(3))[mine])
-            units.append(np.stack(chains.units)[:, mine])
-        _, first = np.unique(np.concatenate(pairs), return_index=True)
-        counts.append(np.unique(np.concatenate(units, axis=1)[:, first], return_counts=True))
+        # One token of each context.
+        first = np.unique(np.concatenate(pairs), return_index=True)[1]
+        chosen.append(first)
         totals.append(len(first))
-    (known, clean), (found, n) = counts
-    at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-    others = np.where(known[at] == found, clean[at], 0) if len(known) else np.zeros(len(found))
-    odds = np.log((n + 0.5) / (others + 0.5)) + np.log((totals[0] + 1) / (totals[1] + 1))
-    sure = odds - ERRORS * np.sqrt(1 / (n + 0.5) + 1 / (others + 0.5))
-    return found[(n >= LEAST_CONTEXTS) & (sure >= LEAST_LOG_ODDS)]
+    marked = []
+    for kind in range(1 + len(BEGINNINGS)):
+        counts = []
+        for label, first in enumerate(chosen):
+            own = [c.units[kind][labels[c.words.rows] == label] for c, labels in batches]
+            counts.append(np.unique(np.concatenate(own)[first], return_counts=True))
+        (known, clean), (found, n) = counts
+        at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
+        others = np.where(known[at] == found, clean[at], 0) if len(known) else 0 * n
+        odds = np.log((n + 0.5) / (others + 0.5)) + np.log((totals[0] + 1) / (totals[1] + 1))
+        sure = odds - ERRORS * np.sqrt(1 / (n + 0.5) + 1 / (others + 0.5))
+        marked.append(found[(n >= LEAST_CONTEXTS) & (sure >= LEAST_LOG_ODDS)])
+    return np.concatenate(marked)
 
 
 def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
@@ -230,10 +237,9 @@ def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
     if len(set(labels)) < 2:
         return None
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-    batches = [
-        (chains_of(some), labels_all[some.first : some.first + len(some)])
-        for some in texts_of(batch)
-    ]
+    batches = []
+    for some in texts_of(batch):
+        batches.append((chains_of(some), labels_all[some.first : some.first + len(some)]))
     marked = toxic_units(batches)
     goals = [
         np.any([np.isin(unit, marked) for unit in c.units], axis=0) & (y[c.words.rows] == 1)
@@ -241,6 +247,7 @@ def fit(texts: list[str], labels: list[int], share: float) -> Field | None:
     ]
     for c, _ in batches:
         c.units.clear()
+        c.words.places = None
     size = 1 << TABLE_BITS
     field = Field(np.zeros(size), np.zeros(3), np.zeros(3))
     tokens = max(1, sum(map(len, goals)))
