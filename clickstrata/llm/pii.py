@@ -27,7 +27,7 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # The generators of further candidates, and the kind their spans get.
 SPELLED_EMAIL = (
@@ -120,9 +120,12 @@ def _kinded(hits: Column, kind: int) -> Column:
 
 
 def search(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """doc_id, the base spans, and all candidates with their context; whole: the row as well."""
-    row = [F.struct(*docs.columns).alias("row")] if whole else []
-    frame = docs.select("doc_id", text_of().alias("text"), *row)
+    """doc_id, the base spans, and all candidates with their context; whole: all columns as well.
+
+    Those are called own_0, own_1, ... so that they clash with none.
+    """
+    own = [F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(docs.columns)] if whole else []
+    frame = docs.select("doc_id", text_of().alias("text"), *own)
     frame = computed(frame, **base_spans())
     gates = {"email": F.col("text").rlike(r"@|[(\[{]at[)\]}]"), "ip": None, "digits": None}
     frame = computed(
@@ -155,7 +158,10 @@ def search(docs: DataFrame, whole: bool = False) -> DataFrame:
         ),
     )
     return frame.select(
-        "doc_id", "base", with_context.alias("candidates"), *(["row"] if whole else [])
+        "doc_id",
+        "base",
+        with_context.alias("candidates"),
+        *(c for c in frame.columns if c.startswith("own_")),
     )
 
 
@@ -286,9 +292,10 @@ def redacted(docs: DataFrame) -> DataFrame:
     """The documents with their spans masked; a column n_chars follows the new text."""
     model = fit_selector(store(search(docs), "pii"))
     found = select_spans(search(docs, whole=True), model)
-    found = computed(found, masked=mask(F.col("row.text").cast("string"), F.col("spans")))
-    new = {"text": F.col("masked")}
-    if "n_chars" in docs.columns:
+    own = {c: F.col(f"own_{i}") for i, c in enumerate(docs.columns)}
+    found = computed(found, masked=mask(own["text"].cast("string"), F.col("spans")))
+    new = own | {"text": F.col("masked")}
+    if "n_chars" in own:
         changed = F.char_length("masked").cast(docs.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(F.size("spans") > 0, changed).otherwise(F.col("row.n_chars"))
-    return found.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
+        new["n_chars"] = F.when(F.size("spans") > 0, changed).otherwise(own["n_chars"])
+    return found.select(*(new[c].alias(c) for c in docs.columns))
