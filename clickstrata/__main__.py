@@ -115,7 +115,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             if args.into:
                 gold_store.write_report(report, args.into, args.format)
             else:
-                report.show(100, truncate=False)
+                report.show(max(1, report.count()), truncate=False)
 
 
 if __name__ == "__main__":

@@ -44,12 +44,20 @@ SELECTS = {
         GROUP BY event_date, category, event_type
     """,
     "user_activity": """
-        SELECT event_date,
-               count(DISTINCT user_id) AS unique_users,
-               count(DISTINCT session_id) AS unique_sessions,
-               count(*) AS total_events
-        FROM {events}
-        GROUP BY event_date
+        WITH users AS (
+            SELECT event_date, user_id, count(*) AS n
+            FROM {events} GROUP BY event_date, user_id
+        ), sessions AS (
+            SELECT DISTINCT event_date, session_id FROM {events}
+        ), by_user AS (
+            SELECT event_date, count(user_id) AS unique_users, sum(n) AS total_events
+            FROM users GROUP BY event_date
+        ), by_session AS (
+            SELECT event_date, count(session_id) AS unique_sessions
+            FROM sessions GROUP BY event_date
+        )
+        SELECT by_user.event_date, unique_users, unique_sessions, total_events
+        FROM by_user JOIN by_session ON by_user.event_date <=> by_session.event_date
     """,
 }
 

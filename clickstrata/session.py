@@ -54,9 +54,8 @@ def overridden(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-# Bytes a shuffle partition should hold, and the most partitions worth having.
+# Bytes a shuffle partition should hold.
 PARTITION_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 20_000
 
 
 def partitions_for(frame: DataFrame, days: int | None = None) -> int:
@@ -70,10 +69,22 @@ def partitions_for(frame: DataFrame, days: int | None = None) -> int:
     stats = frame._jdf.queryExecution().optimizedPlan().stats()
     size = int(str(stats.sizeInBytes()))
     least = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = MOST_PARTITIONS if days is None else min(MOST_PARTITIONS, least * max(1, days))
-    return max(least, min(most, math.ceil(size / PARTITION_BYTES)))
+    wanted = math.ceil(size / PARTITION_BYTES)
+    return max(least, wanted if days is None else min(least * max(1, days), wanted))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def files_beside_folders(spark: SparkSession, root: str) -> list[str]:
+    """Files directly in a folder that holds other folders too; none if it holds only files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    entries = [e for e in files.listStatus(folder) if e.getPath().getName()[0] not in "._"]
+    if not any(entry.isDirectory() for entry in entries):
+        return []
+    return [entry.getPath().toString() for entry in entries if entry.isFile()]

@@ -19,6 +19,7 @@ from clickstrata.schemas import (
     EVENT_FIELDS,
     READY_FILES,
 )
+from clickstrata.session import files_beside_folders
 
 _READ_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
@@ -37,10 +38,23 @@ def scan(spark: SparkSession, root: str, cutoff: str | None = DEFAULT_CUTOFF_YEA
     None takes all; so it does for files outside arrival folders, whose arrival
     keys are NULL.
     """
-    lines = spark.read.schema(BRONZE_READ).options(**_READ_OPTIONS).json(root)
+    reader = spark.read.schema(BRONZE_READ).options(**_READ_OPTIONS)
+    lines = reader.json(root)
+    # Folder discovery passes over files beside the folders.
+    if cutoff is None and (beside := files_beside_folders(spark, root)):
+        lines = lines.unionByName(reader.json(beside))
     return _arrived_since(lines, cutoff)
 
 
+def refuse_mixed(spark: SparkSession, root: str) -> None:
+    """Stop before a stream marks files as seen that folder discovery would pass over."""
+    if beside := files_beside_folders(spark, root):
+        raise ValueError(
+            f"{root} holds arrival folders and, beside them, files that would be lost "
+            f"({', '.join(beside[:3])}, ...): move them into an arrival folder"
+        )
+
+
 def stream(
     spark: SparkSession,
     root: str,
@@ -107,6 +121,12 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     Only the folder listing is used; no file is opened. Arrival keys are NULL for
     files outside arrival folders.
     """
+    files = _listed(spark, root)
+    beside = files_beside_folders(spark, root)
+    return files.unionAll(_listed(spark, beside)) if beside else files
+
+
+def _listed(spark: SparkSession, root: str | list[str]) -> DataFrame:
     files = spark.read.format("binaryFile").load(root)
     keys = [
         f"lpad(CAST({key} AS STRING), {4 if key == 'year' else 2}, '0') AS {key}"

@@ -14,7 +14,7 @@ from clickstrata.sources.lake import CODEC
 
 _METRICS = "ingest"
 
-# Progress reports kept per run; a run of more batches would lose its first counts.
+# Progress reports kept per run. All are: each batch has its share of the counts.
 _PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
 
 
@@ -47,12 +47,13 @@ def run_ingest(
     checkpoint together with a new lake folder.
     """
     configure(spark)
+    bronze.refuse_mixed(spark, source)
     if path_exists(spark, f"{lake}/_spark_metadata") and not path_exists(
         spark, f"{checkpoint}/offsets"
     ):
         # The sink numbers its batches and would take the new ones for old.
         raise ValueError(f"{lake} was filled under another checkpoint; use a new lake folder")
-    with overridden(spark, {_PROGRESS_KEPT: "10000"}):
+    with overridden(spark, {_PROGRESS_KEPT: str(2**31 - 1)}):
         lines = bronze.stream(spark, source, cutoff, max_files_per_trigger, **source_options)
         counted = to_lake(lines).observe(
             _METRICS,

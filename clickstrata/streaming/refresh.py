@@ -10,16 +10,17 @@ from clickstrata.plans.build_gold import publish, refresh_daily
 from clickstrata.session import configure, path_exists
 from clickstrata.sources import lake as lake_store
 
-# Above this many days in one batch, listing them costs more than reading all.
-MAX_LISTED_DAYS = 5_000
-
 Days = list[int | None] | None
 
 
-def touched_days(batch: DataFrame, most: int = MAX_LISTED_DAYS) -> Days:
-    """Day numbers in a batch, or None if there are more than ``most``."""
-    rows = batch.select(lake_store.day_number().alias("day")).distinct().limit(most + 1).collect()
-    return None if len(rows) > most else [row.day for row in rows]
+def touched_days(batch: DataFrame, most: int | None = None) -> Days:
+    """Day numbers in a batch; None if there are more than ``most``, where that is given.
+
+    There are as many as days with news, a small number for each.
+    """
+    days = batch.select(lake_store.day_number().alias("day")).distinct()
+    rows = (days if most is None else days.limit(most + 1)).collect()
+    return None if most is not None and len(rows) > most else [row.day for row in rows]
 
 
 def _on_news(

@@ -169,6 +169,6 @@ def statements() -> dict[str, str]:
         for key in (f"gold_{name}", f"gold_{name}_sql", f"refresh_{name}"):
             sql[key] = f"WITH {_SILVER} {query}"
     for name, (source, query) in _REPORTS.items():
-        for key in (f"report_{name}", f"report_{name}_sql"):
+        for key in (f"report_{name}", f"report_{name}_sql", f"report_{name}_stored"):
             sql[key] = f"WITH {_SILVER}, gold AS ({_GOLD[source]}) {query}"
     return sql

@@ -7,6 +7,7 @@ import pytest
 from clickstrata.operators import gold
 from clickstrata.operators.daily import DAILY
 from clickstrata.operators.reports import REPORTS
+from clickstrata.plans import gold_sql
 from clickstrata.operators.silver import to_lake, to_silver
 from clickstrata.schemas import GOLD
 from clickstrata.sources import bronze, lake
@@ -92,3 +93,7 @@ def test_rankings_are_top_k_without_a_full_sort(spark):
         source, build = REPORTS[name]
         text = plan(build(spark.createDataFrame([], GOLD[source]).repartition(2)))
         assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_sql_user_activity_counts_each_id_once(spark, stored):
+    assert "Expand" not in plan(gold_sql.select(spark, "user_activity", stored[1]))
