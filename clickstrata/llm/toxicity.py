@@ -50,6 +50,8 @@ LEAST_COUNTED = 0.2
 SENTENCE_ENDS = np.zeros(256, dtype=bool)
 SENTENCE_ENDS[list(b".!?\n")] = True
 
+# What a fitted field consists of.
+PARTS = ("emission", "transition", "calibration")
 SCHEMA = "doc_id long, score double, spans array<struct<start:int,end:int>>"
 
 
@@ -295,14 +297,18 @@ def logistic(rows: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> np.nda
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Field | None:
-    """Fit on a bounded sample of the labelled documents outside the held-out fold."""
+    """Fit on a bounded sample of the labelled documents outside the held-out fold.
+
+    One task fits; only the field comes to the driver, a few megabytes.
+    """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.select("doc_id", (F.col("toxic") == 1).cast("int").alias("mark"))
     marks = marks.where(~held_out())
     totals = dict(marks.groupBy("mark").count().collect())
     if len(totals) < 2:
         return None
-    texts, wanted = [], []
+    share = totals[1] / (totals[0] + totals[1])
+    samples = []
     for mark, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
         # The ids are drawn first: at most so many, so they can be broadcast.
         drawn = marks.where(F.col("mark") == mark).select("doc_id").distinct()
@@ -310,10 +316,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
         known = docs.select("doc_id", F.col("text").cast("string").alias("text"))
         known = known.where(F.length("text").between(1, SAMPLE_CHARS))
         known = known.join(F.broadcast(drawn), "doc_id", "left_semi")
-        for row in known.orderBy(F.xxhash64("doc_id"), "text").limit(most).collect():
-            texts.append(row.text)
-            wanted.append(mark)
-    return fit(texts, wanted, totals[1] / (totals[0] + totals[1]))
+        known = known.select(F.xxhash64("doc_id").alias("draw"), "text", F.lit(mark).alias("mark"))
+        samples.append(known.orderBy("draw", "text").limit(most))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [tuple(row.values()) for batch in batches for row in batch.to_pylist()]
+        rows.sort(key=lambda row: (-row[2], row[0], row[1]))
+        field = fit([row[1] for row in rows], [row[2] for row in rows], share)
+        if field is not None:
+            parts = (field.emission, field.transition, field.calibration)
+            columns = [pa.array([part.tobytes()], pa.binary()) for part in parts]
+            yield pa.RecordBatch.from_arrays(columns, list(PARTS))
+
+    sample = samples[0].union(samples[1]).coalesce(1)
+    schema = ", ".join(f"{name} binary" for name in PARTS)
+    row = sample.mapInArrow(learn, schema).first()
+    return row and Field(*(np.frombuffer(part) for part in row))
 
 
 def scored(docs: DataFrame, field: Field | None) -> DataFrame:
