@@ -99,31 +99,33 @@ def malformed(lines: DataFrame) -> DataFrame:
     )
 
 
-def inventory(lines: DataFrame) -> DataFrame:
-    """Files, lines and bytes per arrival hour. Counting lines unpacks every file."""
-    per_file = lines.groupBy(
-        *ARRIVAL_KEYS,
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_modification_time").alias("written"),
-    ).agg(F.count("*").alias("lines"))
-    return per_file.groupBy("year", "month", "day", "hour").agg(
+def inventory(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """Files, lines and bytes per arrival hour, from a listing and a scan of the same folder.
+
+    Counting lines unpacks every file. A file without lines counts as a file.
+    """
+    counts = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("lines")
+    )
+    return files.join(counts, "file", "left").groupBy("year", "month", "day", "hour").agg(
         F.count("*").alias("files"),
-        F.sum("lines").alias("lines"),
-        F.sum("size").alias("bytes"),
-        F.max("written").alias("newest"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
+        F.sum("length").alias("bytes"),
+        F.max("modified").alias("newest"),
     )
 
 
-def listing(spark: SparkSession, root: str) -> DataFrame:
+def listing(spark: SparkSession, root: str, cutoff: str | None = None) -> DataFrame:
     """One row per file: arrival keys, path, length, modification time.
 
-    Only the folder listing is used; no file is opened. Arrival keys are NULL for
-    files outside arrival folders.
+    Only the folder listing is used; no file is opened. The cutoff selects as in
+    ``scan``. Arrival keys are NULL for files outside arrival folders; ``file`` is
+    the path as scans name it.
     """
     files = _listed(spark, root)
-    beside = files_beside_folders(spark, root)
-    return files.unionAll(_listed(spark, beside)) if beside else files
+    if cutoff is None and (beside := files_beside_folders(spark, root)):
+        files = files.unionAll(_listed(spark, beside))
+    return _arrived_since(files, cutoff)
 
 
 def _listed(spark: SparkSession, root: str | list[str]) -> DataFrame:
@@ -134,7 +136,13 @@ def _listed(spark: SparkSession, root: str | list[str]) -> DataFrame:
         else f"CAST(NULL AS STRING) AS {key}"
         for key in ARRIVAL_KEYS
     ]
-    return files.selectExpr(*keys, "path", "length", "modificationTime AS modified")
+    return files.selectExpr(
+        *keys,
+        "path",
+        "length",
+        "modificationTime AS modified",
+        "_metadata.file_path AS file",
+    )
 
 
 def readiness(files: DataFrame, needed: int = READY_FILES) -> DataFrame:

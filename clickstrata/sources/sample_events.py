@@ -4,6 +4,10 @@ The table has event_id, ts, user_id, event_type, value and a JSON ``props``
 with one number ``k``. Everything here is a per-row rule, so the feed grows
 with the table. The live feed brings some 600,000 events per five-minute file,
 the test tables a few per hour, so their arrivals are filed by the hour.
+
+Some events arrive hours later, so often on another day, or lie in a folder of an
+earlier year; some have a time that cannot be read or no price; one product is
+bought and never viewed.
 """
 
 from __future__ import annotations
@@ -22,6 +26,15 @@ EVENT_TYPE_OF = {
     "signup": "search",
 }
 
+# Which event ids make the feed uneven, as remainders of a divisor.
+LATE = "event_id % 4 = 3"
+LATE_HOURS = 5
+LONG_BEFORE = "event_id % 101 = 50"
+LONG_BEFORE_YEAR = "2023"
+WITHOUT_TIME = "event_id % 97 = 13"
+WITHOUT_PRICE = "event_id % 89 = 7"
+NEVER_VIEWED = "event_id % 53 = 5"
+
 # No file holds more than this many consecutive event ids, so that a crowded
 # arrival slot is written by several tasks.
 IDS_PER_FILE = 600_000
@@ -45,26 +58,29 @@ def bronze_frame(events: DataFrame) -> DataFrame:
         "CAST(ts AS TIMESTAMP) AS at",
         f"CASE event_type {kinds} END AS event_type",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"timestampadd(HOUR, IF({LATE}, {LATE_HOURS}, 0), CAST(ts AS TIMESTAMP)) AS arrived",
     )
     has_price = "event_type IN ('add_to_cart', 'remove_from_cart', 'purchase')"
     columns = {
-        "timestamp": "date_format(at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\")",
+        "timestamp": f"IF({WITHOUT_TIME}, 'no time', "
+        "date_format(at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\"))",
         "user_id": "'u_' || user_id",
         # One session per user and six-hour block of the year.
         "session_id": "'s_' || user_id || '_' || (10 * dayofyear(at) + hour(at) DIV 6)",
         "event_type": "event_type",
-        "product_id": "CASE WHEN event_type <> 'search' "
+        "product_id": f"CASE WHEN event_type = 'purchase' AND {NEVER_VIEWED} THEN 'p_9001' "
+        "WHEN event_type <> 'search' "
         "THEN 'p_' || ((k % 6 + 1) * 1000 + k % 5 + 1) END",
         "quantity": f"CASE WHEN {has_price} THEN CAST(event_id % 5 + 1 AS INT) END",
-        "price": f"CASE WHEN {has_price} THEN value END",
+        "price": f"CASE WHEN {has_price} AND NOT {WITHOUT_PRICE} THEN value END",
         "category": "CASE WHEN event_type <> 'search' "
         f"THEN {_literal_list(CATEGORIES)}[k % 6] END",
         "search_query": "CASE WHEN event_type = 'search' "
         f"THEN {_literal_list(SEARCH_PHRASES)}[CAST(event_id % 8 AS INT)] END",
-        "year": "date_format(at, 'yyyy')",
-        "month": "date_format(at, 'MM')",
-        "day": "date_format(at, 'dd')",
-        "hour": "date_format(at, 'HH')",
+        "year": f"IF({LONG_BEFORE}, '{LONG_BEFORE_YEAR}', date_format(arrived, 'yyyy'))",
+        "month": "date_format(arrived, 'MM')",
+        "day": "date_format(arrived, 'dd')",
+        "hour": "date_format(arrived, 'HH')",
         "minute": "'00'",
     }
     return base.selectExpr("event_id", *[f"{rule} AS `{name}`" for name, rule in columns.items()])

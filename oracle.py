@@ -5,7 +5,10 @@ from __future__ import annotations
 # The bronze feed derived from the events table, then clean events and gold tables.
 _FEED = """
 raw AS (
-    SELECT event_id, ts, user_id, value, CAST(props ->> 'k' AS INTEGER) AS k,
+    SELECT event_id, ts, user_id, value,
+           ts + CASE WHEN event_id % 4 = 3 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END
+               AS arrived,
+           CAST(props ->> 'k' AS INTEGER) AS k,
            CASE event_type WHEN 'view' THEN 'page_view'
                            WHEN 'click' THEN 'add_to_cart'
                            WHEN 'error' THEN 'remove_from_cart'
@@ -13,18 +16,21 @@ raw AS (
                            WHEN 'signup' THEN 'search' END AS kind
     FROM events
 ),
-feed AS (
+arrivals AS (
     SELECT event_id,
-           strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS "timestamp",
-           ts,
+           CASE WHEN event_id % 97 = 13 THEN 'no time'
+                ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS "timestamp",
+           CASE WHEN event_id % 97 <> 13 THEN ts END AS event_ts,
            'u_' || user_id AS user_id,
            's_' || user_id || '_' || (10 * dayofyear(ts) + hour(ts) // 6) AS session_id,
            kind AS event_type,
-           CASE WHEN kind <> 'search'
+           CASE WHEN kind = 'purchase' AND event_id % 53 = 5 THEN 'p_9001'
+                WHEN kind <> 'search'
                 THEN 'p_' || ((k % 6 + 1) * 1000 + k % 5 + 1) END AS product_id,
            CASE WHEN kind IN ('add_to_cart', 'remove_from_cart', 'purchase')
                 THEN CAST(event_id % 5 + 1 AS INTEGER) END AS quantity,
            CASE WHEN kind IN ('add_to_cart', 'remove_from_cart', 'purchase')
+                     AND event_id % 89 <> 7
                 THEN value END AS price,
            CASE WHEN kind <> 'search'
                 THEN ['electronics', 'clothing', 'home', 'books', 'sports', 'toys'][k % 6 + 1]
@@ -33,20 +39,23 @@ feed AS (
                 THEN ['wireless headphones', 'running shoes', 'coffee maker', 'python books',
                       'yoga mat', 'laptop stand', 'winter jacket', 'desk lamp'][event_id % 8 + 1]
            END AS search_query,
-           strftime(ts, '%Y') AS "year", strftime(ts, '%m') AS "month",
-           strftime(ts, '%d') AS "day", strftime(ts, '%H') AS "hour", '00' AS "minute"
+           CASE WHEN event_id % 101 = 50 THEN '2023' ELSE strftime(arrived, '%Y') END AS "year",
+           strftime(arrived, '%m') AS "month", strftime(arrived, '%d') AS "day",
+           strftime(arrived, '%H') AS "hour", '00' AS "minute"
     FROM raw
-)"""
+),
+feed AS (SELECT * FROM arrivals WHERE "year" >= '2024')"""
 
 _SILVER = f"""{_FEED},
 silver AS (
-    SELECT "timestamp", ts AS timestamp_parsed, CAST(ts AS DATE) AS event_date,
-           CAST(hour(ts) AS INTEGER) AS event_hour, user_id, session_id, event_type,
+    SELECT "timestamp", event_ts AS timestamp_parsed, CAST(event_ts AS DATE) AS event_date,
+           CAST(hour(event_ts) AS INTEGER) AS event_hour, user_id, session_id, event_type,
            product_id, quantity, price,
            CASE WHEN event_type = 'purchase' THEN price * quantity ELSE 0.0e0 END AS revenue,
            category, search_query,
-           CAST(year(ts) AS INTEGER) AS "year", CAST(month(ts) AS INTEGER) AS "month",
-           CAST(day(ts) AS INTEGER) AS "day"
+           CAST(year(event_ts) AS INTEGER) AS "year",
+           CAST(month(event_ts) AS INTEGER) AS "month",
+           CAST(day(event_ts) AS INTEGER) AS "day"
     FROM feed
 )"""
 

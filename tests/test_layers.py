@@ -8,7 +8,7 @@ from clickstrata.operators import daily, gold
 from clickstrata.operators.reports import REPORTS
 from clickstrata.operators.silver import to_silver
 from clickstrata.plans import gold_sql, report_sql
-from clickstrata.schemas import BRONZE, GOLD, SILVER
+from clickstrata.schemas import BRONZE, DEFAULT_CUTOFF_YEAR, GOLD, SILVER
 from clickstrata.sources import bronze
 from tests import golden
 
@@ -58,7 +58,8 @@ def test_type_mismatch_is_malformed(spark, tmp_path):
 
 
 def test_inventory_and_readiness(spark, feed, tmp_path):
-    hours = bronze.inventory(bronze.scan(spark, feed)).collect()
+    since = bronze.listing(spark, feed, DEFAULT_CUTOFF_YEAR)
+    hours = bronze.inventory(since, bronze.scan(spark, feed)).collect()
     assert {(r.day, r.hour): (r.files, r.lines) for r in hours} == {
         ("04", "09"): (1, 8),
         ("04", "23"): (1, 1),
@@ -76,6 +77,17 @@ def test_inventory_and_readiness(spark, feed, tmp_path):
     assert bronze.readiness(bronze.listing(spark, str(tmp_path))).first().ready
 
 
+def test_a_file_without_lines_is_a_file(spark, tmp_path):
+    hour = "year=2025/month=01/day=02/hour=03"
+    golden.write_file(tmp_path, f"{hour}/minute=00", ["{}", "{}"])
+    golden.write_file(tmp_path, f"{hour}/minute=05", [])
+    golden.write_file(tmp_path, "year=2025/month=01/day=02/hour=04/minute=00", [])
+    files, lines = bronze.listing(spark, str(tmp_path)), bronze.scan(spark, str(tmp_path), None)
+    hours = bronze.inventory(files, lines).collect()
+    assert {r.hour: (r.files, r.lines) for r in hours} == {"03": (2, 2), "04": (1, 0)}
+    assert bronze.readiness(files).first().files == 3
+
+
 def test_readiness_of_an_empty_or_flat_folder(spark, tmp_path):
     state = bronze.readiness(bronze.listing(spark, str(tmp_path))).first()
     assert tuple(state) == (0, 0, None, False)

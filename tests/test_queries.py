@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from clickstrata.schemas import FUNNEL_STEPS
+from clickstrata.sources import sample_events
 from tests.check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -53,21 +54,57 @@ def test_activity_counts_silver_rows_per_day(spark):
     assert {tuple(r) for r in silver.collect()} == {tuple(r) for r in activity.collect()}
 
 
+@pytest.mark.parametrize(
+    "rule", ["LATE", "LONG_BEFORE", "WITHOUT_TIME", "WITHOUT_PRICE", "NEVER_VIEWED"]
+)
+def test_the_feed_has_rows_of_each_rule(spark, rule):
+    feed = sample_events.bronze_frame(sample_events.read_events(spark, SF_DIR))
+    purchases = feed.where("event_type = 'purchase'")
+    assert not purchases.where(getattr(sample_events, rule)).isEmpty()
+
+
+def test_uneven_rows_reach_the_layers(spark):
+    lines, silver = table(spark, "bronze_scan"), table(spark, "ingest_incremental")
+    read = sample_events.read_events(spark, SF_DIR)
+    assert lines.count() == silver.count() < read.count()
+    assert not silver.where("event_date IS NULL").isEmpty()
+    assert not silver.where("event_type = 'purchase' AND revenue IS NULL").isEmpty()
+    arrivals = lines.selectExpr("make_date(year, month, day) AS arrived", "timestamp")
+    assert not arrivals.where("arrived > try_to_date(left(timestamp, 10))").isEmpty()
+    unseen = table(spark, "gold_conversion_funnel").where("views = 0")
+    assert not unseen.isEmpty()
+    report = table(spark, "report_conversion_funnel")
+    assert report.join(unseen, ["product_id", "category"]).isEmpty()
+
+
+def first(value):
+    """NULL before all others."""
+    return (value is not None, value or "")
+
+
+def latest(day):
+    """Later days first, NULL after all others."""
+    return (day is None, -day.toordinal() if day else 0)
+
+
 @pytest.mark.parametrize(
     ("key", "order"),
     [
-        ("gold_hourly_revenue", lambda r: r.event_datetime),
+        ("gold_hourly_revenue", lambda r: first(r.event_datetime)),
         ("gold_product_views", lambda r: (-r.view_count, r.product_id)),
-        ("gold_category_performance", lambda r: (r.event_date, r.category or "", r.event_type)),
-        ("gold_user_activity", lambda r: r.event_date),
+        (
+            "gold_category_performance",
+            lambda r: (first(r.event_date), r.category or "", r.event_type),
+        ),
+        ("gold_user_activity", lambda r: first(r.event_date)),
         ("report_conversion_funnel", lambda r: (-r.purchases, -r.views, r.product_id)),
-        ("report_hourly_revenue", lambda r: r.hour),
+        ("report_hourly_revenue", lambda r: first(r.hour)),
         ("report_top_products", lambda r: (-r.view_count, r.product_id)),
         (
             "report_category_performance",
-            lambda r: (-r.event_date.toordinal(), r.category or "~", -r.event_count, r.event_type),
+            lambda r: (latest(r.event_date), r.category or "~", -r.event_count, r.event_type),
         ),
-        ("report_user_activity", lambda r: -r.event_date.toordinal()),
+        ("report_user_activity", lambda r: latest(r.event_date)),
     ],
 )
 def test_order(spark, key, order):
