@@ -89,7 +89,7 @@ def grow(rows: list[tuple], features: list[str], depth: int, least: float) -> No
 
 
 def fit(
-    counted: list[tuple[dict[str, int], int, int]],
+    counted: list[tuple[dict[str, int], float, float]],
     features: list[str],
     rounds: int = 20,
     depth: int = 3,
@@ -99,7 +99,7 @@ def fit(
     """Boosted trees for (vector, positives, negatives) rows.
 
     The threshold is the lowest score at which the share of positives among all
-    rows scored as high or higher is ``precision``. Without rows of both kinds
+    rows scored as high or higher is ``precision``, and one half at least. Without rows of both kinds
     nothing can be told apart: the model then never selects.
     """
     positives = sum(p for _, p, _ in counted)
@@ -130,7 +130,7 @@ def fit(
     for at, (margin, (_, p, n)) in enumerate(ranked):
         hits, misses = hits + p, misses + n
         last = at + 1 == len(ranked) or ranked[at + 1][0] < margin
-        if last and hits >= precision * (hits + misses):
+        if last and margin >= 0 and hits >= precision * (hits + misses):
             threshold = sigmoid(margin)
     model.threshold = min(threshold, 1.0) - 1e-9
     return model

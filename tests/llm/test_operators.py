@@ -239,6 +239,32 @@ def test_pii(spark, texts):
     assert "@mail.example.com" not in masked[301]
 
 
+def test_pii_adds_what_base_forms_lack(spark):
+    planted = [
+        ("email", "write to {} for more", f"name{c} (at) host{c} (dot) co (dot) uk") for c in "abcdef"
+    ]
+    planted += [("phone", "please call {} today", f"030 12{n}4567") for n in range(5)]
+    planted += [("phone", "at {} or later", f"(555) 01{n}-9999") for n in range(5)]
+    other = [
+        "order #1234567{}", "since 2024-01-1{} here", "a ratio of 3.1415926{} or so", "AB12345678{}",
+        "look @ this{}. Then go", "run 411111111111111{}",
+    ]
+    rows, wanted = [], {}
+    for at, (kind, around, value) in enumerate(planted):
+        start = around.index("{}")
+        rows.append((at, around.format(value)))
+        wanted[at] = f"{kind}:{start}:{start + len(value)}"
+    rows += [(100 + i, text.format(2 + i % 3)) for i, text in enumerate(other * 3)]
+    # Few certain spans: one added for 99 of them would be none.
+    rows += [(200 + i, f"mail a{i}@b.org or +49 30 123456{i} now") for i in range(5)]
+    found = pii.detect(frame(spark, rows)).select("doc_id", pii.as_text("spans").alias("s"))
+    got = {r.doc_id: r.s for r in found.collect()}
+    assert {i: s for i, s in got.items() if i < 100} == wanted
+    assert not any(s for i, s in got.items() if 100 <= i < 200)
+    two = frame(spark, [(1, "pay 7536784127813050 4845168114407329 now")])
+    assert pii.detect(two).select(pii.as_text("spans")).first()[0] == "card:4:20,card:21:37"
+
+
 def brute_repeat_words(words):
     grams = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
     gone = set()
