@@ -5,15 +5,17 @@ starts in a document with a smaller id are removed.
 
 Of the eight-word runs in a window the one with the smallest hash is its anchor, so
 equal windows have equal anchors. Neighbouring windows with one anchor form a
-segment. Segments whose anchor occurs in two different texts are dealt to shards by
-anchor: windows that could be equal meet. A shard indexes its segments in an FM-index
-over exact words and streams them through it: backward search, widened to the window
+segment. Equal segments of all documents are one, under the smallest document id that
+holds it; every other holder repeats it whole. Segments whose anchor occurs in two
+different texts are dealt to shards by anchor: windows that could be equal meet. A shard
+indexes its segments in an FM-index over exact words and streams them through it: backward search, widened to the window
 length at each step, finds for each window all places where it occurs, and the
 smallest document id among them. Intervals that belong to a smaller id are reported.
 
 Texts with equal words are one class, searched once, under its smallest id; further
 copies are repeated whole if they hold a window. An anchor in very many texts has its
-segments cut into single windows, which are dealt by their own hash.
+segments cut into single windows. These need no shard: they are equal or have nothing
+in common. Their holders are dealt by a salt as well, so no task has all of them.
 
 Defined results: a document with fewer than 50 words, null or empty, keeps all;
 rows with a null id keep all and take nothing from others; rows with the same id
@@ -107,7 +109,7 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def segments(wanted: DataFrame) -> DataFrame:
-    """(spread, doc_id, kind, places, words): the segments of the anchors asked for.
+    """The segments of the anchors asked for: anchor, digest, whether cut, holder, places, words.
 
     Equal segments of one document are one row. ``wanted`` has doc_id, text, kind, and the shared and very common anchors.
     """
@@ -131,44 +133,43 @@ def segments(wanted: DataFrame) -> DataFrame:
                     new[1:] = (places[1:] != places[:-1]) | single[1:]
                     begins = np.flatnonzero(new)
                     stops = np.append(begins[1:], len(places))
-                    own: dict[tuple[int, bytes], list[int]] = defaultdict(list)
+                    own: dict[tuple[int, bool, bytes], list[int]] = defaultdict(list)
                     for a, b in zip(*(x[np.isin(anchor[begins], shared)] for x in (begins, stops))):
                         text = b" ".join(words[a : b + WINDOW - 1])
-                        spread = int(anchor[a])
-                        if single[a]:
-                            spread = digest([text])
-                        own[spread, text].append(int(a))
-                    rows += [(s, doc_id, kind, at, text) for (s, text), at in own.items()]
+                        own[int(anchor[a]), bool(single[a]), text].append(int(a))
+                    rows += [
+                        (s, digest([text]), cut, doc_id, kind, at, text.count(b" ") + 1, text)
+                        for (s, cut, text), at in own.items()
+                    ]
                 if rows:
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["spread", "doc_id", "kind", "places", "words"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-    schema = "spread long, doc_id long, kind long, places array<long>, words binary"
+    names = ["spread", "mark", "cut", "doc_id", "kind", "places", "size", "words"]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    types += [pa.int64(), pa.binary()]
+    schema = (
+        "spread long, mark long, cut boolean, doc_id long, kind long, places array<long>, "
+        "size long, words binary"
+    )
     return wanted.mapInArrow(run, schema)
 
 
-REPEATS = "doc_id long, kind long, start long, end long"
+REPEATS = "spread long, mark long, least long, start long, end long"
 
 
 def repeats(shard: pa.Table) -> pa.Table:
-    """The intervals of a shard's segments that occur under a smaller document id."""
-    uses: dict[bytes, list[int]] = defaultdict(list)
-    for row, words in enumerate(shard["words"].to_pylist()):
-        uses[words].append(row)
-    ids, kinds = shard["doc_id"].to_numpy(), shard["kind"].to_numpy()
-    places = shard["places"].to_pylist()
+    """The intervals of a shard's different segments that occur under a smaller document id."""
+    least = shard["least"].to_numpy()
     number: dict[bytes, int] = {}
     symbols, starts = [0], []
-    for words in uses:
+    for words in shard["words"].to_pylist():
         starts.append(len(symbols))
         # The symbol 0 stands between segments.
         symbols += [number.setdefault(w, len(number) + 1) for w in words.split(b" ")]
         symbols.append(0)
     text, starts = np.array(symbols), np.array(starts)
     lengths = np.diff(np.append(starts, len(text))) - 1
-    least = np.array([ids[rows].min() for rows in uses.values()])
     index = FMIndex(text, WINDOW)
     # The smallest document id among equal windows.
     segment_of = np.maximum(np.searchsorted(starts, index.suffixes, side="right") - 1, 0)
@@ -176,18 +177,17 @@ def repeats(shard: pa.Table) -> pa.Table:
     np.minimum.at(smallest, index.run, least[segment_of])
     low, high = matched(index, text, starts, lengths)
     out = []
-    for segment, rows in enumerate(uses.values()):
+    spreads, marks = shard["spread"].to_numpy(), shard["mark"].to_numpy()
+    for segment, own in enumerate(least):
         n = int(lengths[segment]) - WINDOW + 1
         at = int(starts[segment])
         owner = smallest[index.run[low[at : at + n]]]
-        for row in rows:
-            hit = np.concatenate([[False], owner < ids[row], [False]])
-            edges = np.flatnonzero(hit[1:] != hit[:-1])
-            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                for place in places[row]:
-                    out.append((ids[row], kinds[row], place + a, place + b + WINDOW - 1))
-    columns = zip(*out) if out else ([], [], [], [])
-    names = ["doc_id", "kind", "start", "end"]
+        hit = np.concatenate([[False], owner < own, [False]])
+        edges = np.flatnonzero(hit[1:] != hit[:-1])
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            out.append((spreads[segment], marks[segment], own, a, b + WINDOW - 1))
+    columns = zip(*out) if out else ([], [], [], [], [])
+    names = ["spread", "mark", "least", "start", "end"]
     return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns)})
 
 
@@ -232,7 +232,8 @@ def repeated(docs: DataFrame, very_common: int = VERY_COMMON) -> DataFrame:
     )
     counted = counted.where(F.col("low") < F.col("high")).select("anchor", "n")
     counted = store(counted, "anchors")
-    total = counted.agg(F.sum("n")).first()[0] or 0
+    total, most = counted.agg(F.sum("n"), F.max("n")).first()
+    total, salts = total or 0, max(1, -(-(most or 0) // very_common))
     shards = max(1, -(-total * 2 * WINDOW // SHARD_WORDS))
     per_kind = (
         every.join(counted, "anchor")
@@ -245,9 +246,45 @@ def repeated(docs: DataFrame, very_common: int = VERY_COMMON) -> DataFrame:
     )
     wanted = _source(docs).join(per_kind, "doc_id")
     dealt = segments(wanted.select("doc_id", "text", "kind", "shared", "common"))
+    dealt = store(dealt, "segments")
+    return within(dealt, shards).unionAll(beyond_first(dealt, salts)).unionAll(whole)
+
+
+def within(dealt: DataFrame, shards: int) -> DataFrame:
+    """Intervals to remove under the least id of each segment."""
+    uncut = dealt.where(~F.col("cut"))
+    different = uncut.groupBy("spread", "mark", "words").agg(F.min("doc_id").alias("least"))
     shard = F.pmod(F.xxhash64("spread"), F.lit(shards))
-    found = dealt.withColumn("shard", shard).groupBy("shard").applyInArrow(repeats, REPEATS)
-    return found.unionAll(whole)
+    found = different.withColumn("shard", shard).groupBy("shard").applyInArrow(repeats, REPEATS)
+    holders = uncut.select("spread", "mark", "doc_id", "kind", "places")
+    place = F.explode("places").alias("place")
+    return (
+        holders.join(found, ["spread", "mark"])
+        .where(F.col("doc_id") == F.col("least"))
+        .select("doc_id", "kind", place, "start", "end")
+        .select("doc_id", "kind", F.col("place") + F.col("start"), F.col("place") + F.col("end"))
+        .toDF("doc_id", "kind", "start", "end")
+    )
+
+
+def beyond_first(dealt: DataFrame, salts: int) -> DataFrame:
+    """Whole segments under all ids but the least; holders of cut ones are dealt by a salt."""
+    groups = dealt.groupBy("spread", "mark", "cut").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("last")
+    )
+    groups = groups.where(F.col("least") < F.col("last"))
+    last_salt = F.when(F.col("cut"), salts - 1).otherwise(0)
+    groups = groups.select(
+        "spread", "mark", "least", F.explode(F.sequence(F.lit(0), last_salt)).alias("salt")
+    )
+    salt = F.when(F.col("cut"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(0).cast("int")
+    holders = dealt.select("spread", "mark", "doc_id", "kind", "places", "size", salt.alias("salt"))
+    return (
+        holders.join(groups, ["spread", "mark", "salt"])
+        .where(F.col("doc_id") > F.col("least"))
+        .select("doc_id", "kind", F.explode("places").alias("start"), "size")
+        .select("doc_id", "kind", "start", (F.col("start") + F.col("size")).alias("end"))
+    )
 
 
 def removed(docs: DataFrame, very_common: int = VERY_COMMON) -> DataFrame:

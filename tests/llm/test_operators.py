@@ -99,6 +99,23 @@ def test_substrings(spark, texts, very_common):
     assert Counter(map(tuple, found.collect())) == brute_repeats(texts)
 
 
+@pytest.mark.parametrize("very_common", [20_000, 2])
+def test_substrings_of_one_passage_in_many_texts(spark, monkeypatch, very_common):
+    search = substrings.repeats
+
+    def once(shard):
+        words = shard["words"].to_pylist()
+        assert len(words) == len(set(words))
+        return search(shard)
+
+    monkeypatch.setattr(substrings, "repeats", once)
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [(i, f"own{i} {passage} end{i} " + f"q{i} " * 3 + passage) for i in range(40)]
+    rows += [(7, f"other text {passage}"), (90, passage[:200])]
+    found = substrings.removed(frame(spark, rows), very_common).drop("intervals")
+    assert Counter(map(tuple, found.collect())) == brute_repeats(rows)
+
+
 def test_fm_index_finds_every_pattern():
     rng = np.random.default_rng(0)
     text = np.concatenate([[0], rng.integers(1, 4, 300), [0], rng.integers(1, 3, 80), [0]])
