@@ -1,9 +1,10 @@
 """Similarity join of shingle sets: size-aware, light sets by subsets, heavy ones by lists.
 
-A document's set is its distinct three-word shingles, in lower case; documents
-whose sets have a Jaccard similarity of 0.9 or more are linked.
+A document's set is its distinct shingles of some words, in lower case; documents whose
+sets have a Jaccard similarity of a given share or more are linked (``Rule``: three words
+and 0.9 unless said).
 
-Two linked sets of sizes m and n share at least 9 (m + n) / 19 elements. Small sets
+Two linked sets of sizes m and n share at least 9 (m + n) / 19 elements at 0.9. Small sets
 enumerate their subsets of just that size for each size a partner can have: a common
 subset is a link. For larger sets there are too many. They go into inverted lists:
 sets of similar size are cut by hash into one part more than linked sets can have
@@ -28,6 +29,7 @@ read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from math import comb
 
 import numpy as np
@@ -38,9 +40,6 @@ from clickstrata.llm.common import store
 from clickstrata.llm.components import components
 from clickstrata.llm.wordtable import Texts, mixed, shingles, texts_of, words_of
 
-SHINGLE = 3
-# Links have a similarity of at least TOP / BASE.
-TOP, BASE = 9, 10
 # What a key of an inverted list costs, in keys of subsets: lists also hold sets that
 # are not similar.
 LIST_COST = 8
@@ -51,57 +50,73 @@ SHORT_LIST = 4
 # A block of a family of lists: elements, and sets.
 BLOCK_ELEMENTS = 1 << 18
 BLOCK_SETS = 512
+# Counts in the summary of a set.
+BUCKETS = 256
 
 _ONE = np.uint64(1)
 
 
-def overlap(m: int, n: int) -> int:
-    """Fewest common elements of linked sets of sizes m and n."""
-    return -(-TOP * (m + n) // (TOP + BASE))
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle; links have a similarity of at least ``top / base``."""
 
+    shingle: int = 3
+    top: int = 9
+    base: int = 10
 
-def partner_sizes(n: int) -> range:
-    return range(-(-TOP * n // BASE), n * BASE // TOP + 1)
+    def overlap(self, m: int, n: int) -> int:
+        """Fewest common elements of linked sets of sizes m and n."""
+        return -(-self.top * (m + n) // (self.top + self.base))
+
+    def partner_sizes(self, n: int) -> range:
+        return range(-(-self.top * n // self.base), n * self.base // self.top + 1)
+
+    def parts(self, high: int) -> int:
+        """One more than the elements in which linked sets up to this size can differ."""
+        return 2 * high * (self.base - self.top) // (self.top + self.base) + 1
+
+
+RULE = Rule()
 
 
 class Classes:
     """Size classes such that linked sets are in the same or in neighbouring ones."""
 
-    def __init__(self, largest: int):
+    def __init__(self, largest: int, rule: Rule = RULE):
         self.low, self.parts = [1], []
         while self.low[-1] <= largest + 1:
-            high = self.low[-1] * BASE // TOP
-            # Linked sets of this class and the one before differ in at most so many elements.
-            self.parts.append(2 * high * (BASE - TOP) // (TOP + BASE) + 1)
+            high = self.low[-1] * rule.base // rule.top
+            # For linked sets of this class and the one before.
+            self.parts.append(rule.parts(high))
             self.low.append(high + 1)
-        self.parts.append(2 * (self.low[-1] * BASE // TOP) * (BASE - TOP) // (TOP + BASE) + 1)
+        self.parts.append(rule.parts(self.low[-1] * rule.base // rule.top))
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(np.array(self.low), sizes, side="right") - 1
 
 
-def subset_sizes(n: int, boundary: int) -> list[int]:
+def subset_sizes(n: int, boundary: int, rule: Rule = RULE) -> list[int]:
     """Sizes of the subsets that a set of n elements enumerates.
 
     Equal sets are one class already, so only common subsets with a set of another
     size, or with a different one of the same size, matter.
     """
-    sizes = {overlap(n, m) for m in partner_sizes(n) if 0 < m <= boundary and m != n}
-    if overlap(n, n) < n <= boundary:
-        sizes.add(overlap(n, n))
+    sizes = {rule.overlap(n, m) for m in rule.partner_sizes(n) if 0 < m <= boundary and m != n}
+    if rule.overlap(n, n) < n <= boundary:
+        sizes.add(rule.overlap(n, n))
     return sorted(c for c in sizes if 0 < c <= n)
 
 
-def boundary_of(histogram: dict[int, int]) -> int:
+def boundary_of(histogram: dict[int, int], rule: Rule = RULE) -> int:
     """The largest light size for which all keys of the corpus cost least."""
-    classes = Classes(2 * MOST_LIGHT)
+    classes = Classes(2 * MOST_LIGHT, rule)
     best, least = 0, None
     for boundary in range(MOST_LIGHT + 1):
         cost = 0
         for n, count in histogram.items():
             if n <= boundary:
-                cost += count * sum(comb(n, c) for c in subset_sizes(n, boundary))
-            if 0 < n <= MOST_LIGHT and partner_sizes(n)[-1] > boundary:
+                cost += count * sum(comb(n, c) for c in subset_sizes(n, boundary, rule))
+            if 0 < n <= MOST_LIGHT and rule.partner_sizes(n)[-1] > boundary:
                 at = int(classes.of(np.array([n]))[0])
                 cost += count * LIST_COST * (classes.parts[at] + classes.parts[at + 1])
         if least is None or cost < least:
@@ -112,12 +127,12 @@ def boundary_of(histogram: dict[int, int]) -> int:
 class Sets:
     """The distinct shingles of some texts, row by row."""
 
-    def __init__(self, texts: Texts):
+    def __init__(self, texts: Texts, rule: Rule = RULE):
         words = words_of(texts, lower=True)
-        hashes, first = shingles(words, SHINGLE)
+        hashes, first = shingles(words, rule.shingle)
         rows = words.rows[first]
         counts = np.diff(words.bounds)
-        for n in range(1, SHINGLE):
+        for n in range(1, rule.shingle):
             short = np.flatnonzero(counts == n)
             if len(short):
                 own, at = shingles(words, n)
@@ -137,12 +152,12 @@ class Sets:
         self.prints = mixed(self.sums ^ self.sizes.astype(np.uint64) << np.uint64(44))
 
 
-def light_keys(sets: Sets, row: int, boundary: int) -> np.ndarray:
+def light_keys(sets: Sets, row: int, boundary: int, rule: Rule = RULE) -> np.ndarray:
     """A key for each subset of the sizes that matter."""
     n = int(sets.sizes[row])
     own = sets.spread[sets.bounds[row] : sets.bounds[row + 1]]
     keys = []
-    for c in subset_sizes(n, boundary):
+    for c in subset_sizes(n, boundary, rule):
         left = np.array([sets.sums[row]])
         # Leave out n - c elements in all ways: those after the last one left out.
         last = np.array([-1])
@@ -155,11 +170,13 @@ def light_keys(sets: Sets, row: int, boundary: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-def list_keys(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def list_keys(
+    sets: Sets, rows: np.ndarray, rule: Rule = RULE
+) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of the inverted lists these rows are in: two cuts, one for each class."""
     if not len(rows):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    classes = Classes(int(sets.sizes.max()) + 1)
+    classes = Classes(int(sets.sizes.max()) + 1, rule)
     own_class = classes.of(sets.sizes)
     parts_of = np.array(classes.parts)
     chosen = np.zeros(len(sets.sizes), dtype=bool)
@@ -192,13 +209,13 @@ def _source(docs: DataFrame) -> DataFrame:
     )
 
 
-def prints(docs: DataFrame) -> DataFrame:
+def prints(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, set size, and the fingerprint of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in texts_of(batch):
-                sets = Sets(texts)
+                sets = Sets(texts, rule)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(texts.first, len(texts)),
@@ -211,7 +228,7 @@ def prints(docs: DataFrame) -> DataFrame:
     return _source(docs).mapInArrow(run, "doc_id long, n long, print long")
 
 
-def keys(docs: DataFrame, boundary: int) -> DataFrame:
+def keys(docs: DataFrame, boundary: int, rule: Rule = RULE) -> DataFrame:
     """(key, print): what sets must share to be candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +236,7 @@ def keys(docs: DataFrame, boundary: int) -> DataFrame:
         had: set[int] = set()
         for batch in batches:
             for texts in texts_of(batch):
-                sets = Sets(texts)
+                sets = Sets(texts, rule)
                 fresh = []
                 for row in np.flatnonzero(sets.sizes):
                     own = int(sets.prints[row])
@@ -229,10 +246,10 @@ def keys(docs: DataFrame, boundary: int) -> DataFrame:
                 fresh = np.array(fresh, dtype=np.int64)
                 sizes = sets.sizes[fresh]
                 light = fresh[sizes <= boundary]
-                heavy = fresh[sizes * BASE // TOP > boundary]
-                rows, found = list_keys(sets, heavy)
+                heavy = fresh[sizes * rule.base // rule.top > boundary]
+                rows, found = list_keys(sets, heavy, rule)
                 for row in light:
-                    own = light_keys(sets, row, boundary)
+                    own = light_keys(sets, row, boundary, rule)
                     rows = np.concatenate([rows, np.full(len(own), row)])
                     found = np.concatenate([found, own])
                 yield pa.RecordBatch.from_arrays(
@@ -314,16 +331,26 @@ def candidates(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key long, x long, y long")
 
 
-def whole_sets(docs: DataFrame) -> DataFrame:
-    """The fingerprint and the elements of each set."""
+def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """The fingerprint, the size, a summary and the elements of each set.
+
+    The summary counts the elements by hash, up to 255 of each: two summaries differ in
+    all by no more than the number of elements in which their sets differ.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in texts_of(batch):
-                sets = Sets(texts)
+                sets = Sets(texts, rule)
+                bucket = (sets.spread >> np.uint64(40)) % np.uint64(BUCKETS)
+                at = sets.rows * BUCKETS + bucket.astype(np.int64)
+                counts = np.minimum(np.bincount(at, minlength=len(texts) * BUCKETS), 255)
+                counts = counts.astype(np.uint8).reshape(len(texts), BUCKETS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(sets.prints.view(np.int64)),
+                        pa.array(sets.sizes.astype(np.int64)),
+                        pa.array([row.tobytes() for row in counts], pa.binary()),
                         pa.array(
                             [
                                 sets.hashes[a:b].tobytes()
@@ -332,13 +359,32 @@ def whole_sets(docs: DataFrame) -> DataFrame:
                             pa.binary(),
                         ),
                     ],
-                    ["print", "elements"],
+                    ["print", "n", "summary", "elements"],
                 )
 
-    return _source(docs).mapInArrow(run, "print long, elements binary")
+    schema = "print long, n long, summary binary, elements binary"
+    return _source(docs).mapInArrow(run, schema)
+
+
+def possible(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """The pairs (x, y) whose summaries allow a link: no link is lost, few elements are joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            sizes = zip(batch.column("m").to_pylist(), batch.column("n").to_pylist())
+            for row, (a, b, (m, n)) in enumerate(zip(batch.column("a"), batch.column("b"), sizes)):
+                a = np.frombuffer(a.as_buffer(), dtype=np.uint8).astype(np.int64)
+                b = np.frombuffer(b.as_buffer(), dtype=np.uint8)
+                keep[row] = np.abs(a - b).sum() <= m + n - 2 * rule.overlap(m, n)
+            yield batch.select(["x", "y"]).filter(pa.array(keep))
+
+    left = sets.select(F.col("print").alias("x"), F.col("n").alias("m"), F.col("summary").alias("a"))
+    right = sets.select(F.col("print").alias("y"), "n", F.col("summary").alias("b"))
+    return pairs.join(left, "x").join(right, "y").mapInArrow(run, "x long, y long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The pairs (x, y) that are similar enough, by their whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +394,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 a = np.frombuffer(a.as_buffer(), dtype=np.uint64)
                 b = np.frombuffer(b.as_buffer(), dtype=np.uint64)
                 both = len(a) + len(b) - len(np.union1d(a, b))
-                keep[row] = BASE * both >= TOP * (len(a) + len(b) - both)
+                keep[row] = rule.base * both >= rule.top * (len(a) + len(b) - both)
             yield batch.select(["x", "y"]).filter(pa.array(keep))
 
     left = sets.select(F.col("print").alias("x"), F.col("elements").alias("a"))
@@ -357,7 +403,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def settled(
-    members: DataFrame, named: DataFrame, classes: DataFrame, sets: DataFrame
+    members: DataFrame,
+    named: DataFrame,
+    classes: DataFrame,
+    sets: DataFrame,
+    rule: Rule = RULE,
 ) -> DataFrame:
     """Links (x, y) between members of one long list that are in different components.
 
@@ -397,13 +447,14 @@ def settled(
     sides = tasks.withColumn("block", F.explode(F.array_distinct(F.array("one", "two"))))
     rows = (
         sides.join(people, ["family", "block"])
-        .join(sets.withColumnRenamed("print", "x"), "x")
+        .join(sets.select(F.col("print").alias("x"), "elements"), "x")
         .select("family", "one", "two", "block", "x", "component", "elements")
     )
-    return rows.groupBy("family", "one", "two").applyInArrow(block_links, "x long, y long")
+    compared = lambda table: block_links(table, rule)
+    return rows.groupBy("family", "one", "two").applyInArrow(compared, "x long, y long")
 
 
-def block_links(table: pa.Table) -> pa.Table:
+def block_links(table: pa.Table, rule: Rule = RULE) -> pa.Table:
     """Links within a block or between two, one for each set and other component."""
     sets = [np.frombuffer(e.as_buffer(), dtype=np.uint64) for e in table["elements"]]
     sizes = np.array([len(s) for s in sets])
@@ -419,7 +470,7 @@ def block_links(table: pa.Table) -> pa.Table:
         has = np.zeros((len(sets), 2048), dtype=np.float32)
         has[owner[here], column[here] - low] = 1
         both += has @ has.T
-    similar = BASE * both >= TOP * (sizes[:, None] + sizes[None, :] - both)
+    similar = rule.base * both >= rule.top * (sizes[:, None] + sizes[None, :] - both)
     component = table["component"].to_numpy()
     block = table["block"].to_numpy()
     similar &= component[:, None] != component[None, :]
@@ -431,30 +482,32 @@ def block_links(table: pa.Table) -> pa.Table:
     return pa.table({"x": pa.array(x[a[first]], pa.int64()), "y": pa.array(x[b[first]], pa.int64())})
 
 
-def linked(docs: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, set size and component of every document."""
-    own = store(prints(docs), "prints")
+    own = store(prints(docs, rule), "prints")
     full = own.where(F.col("n") > 0)
     # One row for each different set; its least id stands for the class.
     classes = store(
         full.groupBy("print").agg(F.min("doc_id").alias("id"), F.first("n").alias("n")), "classes"
     )
     sizes = classes.groupBy(F.least("n", F.lit(MOST_LIGHT + 1)).alias("size")).count()
-    boundary = boundary_of({r["size"]: r["count"] for r in sizes.collect()})
-    found = store(candidates(keys(docs, boundary)), "candidates")
+    boundary = boundary_of({r["size"]: r["count"] for r in sizes.collect()}, rule)
+    found = store(candidates(keys(docs, boundary, rule)), "candidates")
 
-    near = lambda pairs: _near(pairs, classes)
+    near = lambda pairs: _near(pairs, classes, rule)
     pairs = store(near(found.where(F.col("y").isNotNull()).select("x", "y")), "pairs")
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
     ids = pairs.select("x").unionAll(pairs.select("y")).unionAll(members.select("x")).distinct()
     wanted = ids.join(classes, ids["x"] == classes["print"]).select(F.col("id").alias("doc_id"))
-    sets = whole_sets(docs.select("doc_id", "text").join(wanted.distinct(), "doc_id", "left_semi"))
+    held = docs.select("doc_id", "text").join(wanted.distinct(), "doc_id", "left_semi")
+    sets = whole_sets(held, rule)
     sets = store(sets.dropDuplicates(["print"]), "sets")
-    links = store(verified(pairs, sets), "similar")
+    likely = store(possible(pairs, sets, rule), "likely")
+    links = store(verified(likely, sets, rule), "similar")
 
     if not members.isEmpty():
-        links = links.unionAll(settled(members, components(links), classes, sets))
+        links = links.unionAll(settled(members, components(links), classes, sets, rule))
 
     by_print = classes.select("print", "id")
     named = (
@@ -475,7 +528,7 @@ def linked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Distinct pairs, smaller first, whose sizes allow a link."""
     size = classes.select("print", "n")
     return (
@@ -484,18 +537,19 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         .join(size.toDF("x", "m"), "x")
         .join(size.toDF("y", "n"), "y")
         .where(
-            (F.least("m", "n") * BASE >= F.greatest("m", "n") * TOP) & (F.col("x") != F.col("y"))
+            (F.least("m", "n") * rule.base >= F.greatest("m", "n") * rule.top)
+            & (F.col("x") != F.col("y"))
         )
         .select("x", "y")
     )
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One document of each component, the one with the least id, with all its columns.
 
     Of rows with one id the least stays. Rows with a null id all stay.
     """
-    found = linked(docs)
+    found = linked(docs, rule)
     spare = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
     repeated = found.groupBy("doc_id").count().where(

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from clickstrata.llm import decontamination, jaccard, pattern_packing, pii, toxicity
 from clickstrata.llm.common import store, table
 
+# Near copies: 0.8 of the shingles of five words in common.
+NEAR = jaccard.Rule(shingle=5, top=8, base=10)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the tagger scores below one half."""
@@ -23,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones."""
-    return jaccard.representatives(docs)
+    return jaccard.representatives(docs, NEAR)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

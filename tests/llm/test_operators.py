@@ -173,6 +173,39 @@ def test_jaccard_of_a_family_of_near_copies(spark):
     assert found == brute_links(family)
 
 
+@pytest.mark.parametrize("size", [(3, 40), (90, 110)])
+def test_jaccard_by_five_words(spark, size):
+    rng = random.Random(5)
+    rows = []
+    for i in range(90):
+        words = [f"f{i % 4}_{k}" for k in range(rng.randint(*size))]
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            words[rng.randrange(len(words))] = f"y{rng.random()}"
+        rows.append((i, " ".join(words)))
+    sets = {}
+    for i, text in rows:
+        words = words_of(text)
+        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or {tuple(words)}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    found = jaccard.linked(frame(spark, rows), jaccard.Rule(5, 8, 10)).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == {i: (len(sets[i]), group[i]) for i in sets}
+
+
+def test_near_copies_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    words = [f"n{k}" for k in range(100)]
+    near = [*words[:30], "changed", *words[31:70], "too", *words[71:]]
+    docs = frame(spark, [(1, " ".join(words)), (2, " ".join(near)), (3, "some other text of words")])
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3]
+
+
 def test_short_sets_by_subsets(spark):
     rng = random.Random(8)
     short = []
