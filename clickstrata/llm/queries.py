@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstrata.llm import (
+    collocations,
     decontamination,
     html_text,
     jaccard,
+    merkle,
+    mixing,
     pattern_packing,
     pii,
     quality,
@@ -94,6 +97,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -105,6 +120,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
+    "op11_manifest": op11_manifest,
+    "op12_collocations": op12_collocations,
+    "op13_mixing": op13_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_manifest": merkle.SQL,
+    "op12_collocations": collocations.SQL,
+    "op13_mixing": mixing.SQL,
+}
