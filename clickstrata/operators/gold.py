@@ -37,12 +37,12 @@ def conversion_funnel(silver: DataFrame) -> DataFrame:
     return with_rates(in_funnel.groupBy(*PRODUCT).agg(*steps))
 
 
-def revenue_by_hour(silver: DataFrame) -> DataFrame:
+def revenue_by_hour(silver: DataFrame, *keys: str) -> DataFrame:
     # Date and hour are dictionary-coded columns; grouping by them instead of by
     # text made from the timestamp reads less and formats once per group.
     return (
         silver.where(F.col("event_type") == "purchase")
-        .groupBy("event_date", "event_hour")
+        .groupBy(*keys, "event_date", "event_hour")
         .agg(F.sum("revenue").alias("total_revenue"), F.count("*").alias("purchase_count"))
         .withColumn("event_datetime", hour_label("event_date", "event_hour"))
     )

@@ -12,6 +12,7 @@ from clickstrata.schemas import (
     QUARANTINE_ZONE,
     SILVER,
     SILVER_ZONE,
+    SOURCE_FILE,
     ZONE,
 )
 
@@ -52,7 +53,7 @@ def to_lake(lines: DataFrame) -> DataFrame:
     file instead and are dated by arrival. Both come from one parse.
     """
     refused = F.col(CORRUPT_COLUMN).isNotNull()
-    located = lines.withColumn("source_file", F.when(refused, F.col("_metadata.file_path")))
+    located = lines.withColumn(SOURCE_FILE, F.when(refused, F.col(SOURCE_FILE)))
     day = {
         key: F.when(refused, F.col(key).try_cast("int")).otherwise(value)
         for key, value in _event_day().items()

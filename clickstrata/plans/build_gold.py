@@ -1,4 +1,4 @@
-"""Silver to gold: all days at once, or the days an ingest touched."""
+"""Silver to gold: everything at once, or what new batches add."""
 
 from __future__ import annotations
 
@@ -7,13 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstrata.operators import gold
-from clickstrata.operators.daily import DAILY, FROM_DAILY
+from clickstrata.operators import daily, gold
+from clickstrata.schemas import BATCH, SHARES
 from clickstrata.session import overridden, partitions_for
-from clickstrata.sources import gold_store
-from clickstrata.sources.lake import on_days
+from clickstrata.sources import catalog, gold_store
+
+# So many batches are kept one by one before they are added up into a base.
+BATCHES_KEPT = 100
 
 
 def _together(spark: SparkSession, jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
@@ -24,54 +26,84 @@ def _together(spark: SparkSession, jobs: dict[str, Callable[[], Any]]) -> dict[s
         return {name: job.result() for name, job in running.items()}
 
 
-def refresh_daily(silver: DataFrame, root: str, days: list[int | None] | None = None) -> None:
-    """Compute the daily tables, all of them or the given days: three column-pruned scans.
+def _spread(spark: SparkSession, events: DataFrame):
+    """Shuffle partitions by the amount of ids: only they make a shuffle that grows."""
+    partitions = partitions_for(events.select("event_date", "user_id", "session_id"))
+    return overridden(
+        spark, {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+    )
+
+
+def add_batches(events: DataFrame, root: str, done: int) -> None:
+    """Store the shares of the batches in ``events``, which follow batch ``done``.
 
-    The number of shuffle partitions follows the amount of data; only distinct
-    users and sessions make a shuffle that grows with it.
+    Only these rows are read, and the ids that their days had before. Done again, after a
+    crash or together with later batches, it replaces the shares by the same ones.
     """
-    ids = silver.select("event_date", "user_id", "session_id")
-    partitions = partitions_for(ids, None if days is None else len(days))
-    spread = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
-    chosen = silver if days is None else on_days(silver, days)
-    with overridden(silver.sparkSession, spread):
+    spark = events.sparkSession
+    days = events.select(F.col("event_date").cast("string").alias("day")).distinct().collect()
+    earlier = gold_store.read_day_ids(spark, root, [row.day for row in days])
+    earlier = earlier.where(F.col(BATCH) <= done)
+
+    def day_counts() -> None:
+        gold_store.write_day_ids(daily.new_ids(events, earlier), root)
+        ids = gold_store.read_day_ids(spark, root, [row.day for row in days])
+        counts = daily.day_counts(events, ids.where(F.col(BATCH) > done))
+        gold_store.write_shares("day_counts", counts, root)
+
+    with _spread(spark, events):
         _together(
-            silver.sparkSession,
+            spark,
             {
-                name: lambda name=name, build=build: gold_store.write_daily(
-                    name, build(chosen), root, only_these_days=days is not None
-                )
-                for name, build in DAILY.items()
+                "product_counts": lambda: gold_store.write_shares(
+                    "product_counts", daily.product_counts(events), root
+                ),
+                "revenue_hours": lambda: gold_store.write_shares(
+                    "revenue_hours", daily.revenue_hours(events), root
+                ),
+                "day_counts": day_counts,
             },
         )
 
 
-def publish(spark: SparkSession, root: str) -> dict[str, int]:
-    """Overwrite the five gold tables from the daily ones; returns their row counts."""
-    return _together(
+def fold(spark: SparkSession, root: str, through: int) -> None:
+    """Add up the shares up to a batch into a base, so that few folders are read."""
+    for name in SHARES:
+        shares = gold_store.read_shares(spark, name, root, through)
+        gold_store.write_base(name, daily.merged(name, shares, through), root, through)
+    gold_store.set_base(spark, root, through)
+
+
+def publish(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], database: str | None = None
+) -> dict[str, int]:
+    """Write a new version of the gold tables and let readers see it; returns row counts."""
+    version = gold_store.published(spark, root) + 1
+    counts = _together(
         spark,
         {
-            name: lambda name=name, daily=daily, build=build: gold_store.write_table(
-                name, build(gold_store.read_daily(spark, daily, root)), root
-            )
-            for name, (daily, build) in FROM_DAILY.items()
+            name: lambda name=name, table=table: gold_store.write_table(name, table, root, version)
+            for name, table in tables.items()
         },
     )
+    gold_store.set_version(spark, root, version)
+    if database:
+        catalog.register_gold(spark, root, database)
+    return counts
 
 
-def build_gold(silver: DataFrame, root: str) -> dict[str, int]:
-    """Recompute everything. Without silver rows nothing is written."""
-    if silver.isEmpty():
-        return {}
-    refresh_daily(silver, root)
-    return publish(silver.sparkSession, root)
+def from_shares(spark: SparkSession, root: str, through: int) -> dict[str, DataFrame]:
+    """The gold tables as of a batch."""
+    return {
+        name: build(gold_store.read_shares(spark, source, root, through))
+        for name, (source, build) in daily.FROM_SHARES.items()
+    }
 
 
-def build_gold_directly(silver: DataFrame, root: str) -> dict[str, int]:
-    """Recompute the five tables straight from silver, without daily tables."""
+def build_gold(silver: DataFrame, root: str, database: str | None = None) -> dict[str, int]:
+    """Recompute everything from silver. Without silver rows nothing is written."""
     if silver.isEmpty():
         return {}
-    return {
-        name: gold_store.write_table(name, build(silver), root)
-        for name, build in gold.TABLES.items()
-    }
+    with _spread(silver.sparkSession, silver):
+        tables = {name: build(silver) for name, build in gold.TABLES.items()}
+        return publish(silver.sparkSession, root, tables, database)

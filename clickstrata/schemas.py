@@ -22,6 +22,8 @@ SEARCH_PHRASES = (
 # (twelve five-minute files) makes the feed ready.
 DEFAULT_CUTOFF_YEAR = "2025"
 READY_FILES = 12
+# How many files the list of the newest shows.
+NEWEST_FILES = 10
 
 # The funnel's steps and the rates between them.
 FUNNEL_STEPS = {"views": "page_view", "add_to_cart": "add_to_cart", "purchases": "purchase"}
@@ -62,12 +64,13 @@ ARRIVAL_FIELDS = _struct(", ".join(f"{key} STRING" for key in ARRIVAL_KEYS))
 
 BRONZE = T.StructType(EVENT_FIELDS.fields + ARRIVAL_FIELDS.fields)
 
-# What the JSON reader is given: a line that does not fit lands in the extra column.
-BRONZE_READ = T.StructType(
-    EVENT_FIELDS.fields
-    + [T.StructField(CORRUPT_COLUMN, T.StringType())]
-    + ARRIVAL_FIELDS.fields
-)
+# What a line is parsed into: a line that does not fit lands in the extra column.
+RECORD = T.StructType(EVENT_FIELDS.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+
+# The lines of the feed as text, and the same parsed.
+SOURCE_FILE = "source_file"
+LINES = T.StructType([T.StructField("value", T.StringType())] + ARRIVAL_FIELDS.fields)
+BRONZE_READ = T.StructType(RECORD.fields + ARRIVAL_FIELDS.fields)
 
 DAY_KEYS = ("year", "month", "day")
 SILVER = _struct(
@@ -95,21 +98,27 @@ GOLD = {
     ),
 }
 
-# Daily partial tables, stored by event_date, from which gold is made.
-DAILY = {
+# Shares of the lake's batches in the gold tables. They add up over batches; an id stands in
+# the first batch that had it on that day.
+BATCH = "batch"
+SHARES = {
     "product_counts": _struct(
-        "product_id STRING, category STRING, event_type STRING, events BIGINT, event_date DATE"
+        "event_date DATE, product_id STRING, category STRING, event_type STRING, "
+        "events BIGINT, batch BIGINT"
     ),
     "revenue_hours": _struct(
-        "event_datetime STRING, total_revenue DOUBLE, purchase_count BIGINT, event_date DATE"
+        "event_date DATE, event_datetime STRING, total_revenue DOUBLE, purchase_count BIGINT, "
+        "batch BIGINT"
     ),
-    "user_activity": _struct(
-        "unique_users BIGINT, unique_sessions BIGINT, total_events BIGINT, event_date DATE"
+    "day_counts": _struct(
+        "event_date DATE, unique_users BIGINT, unique_sessions BIGINT, total_events BIGINT, "
+        "batch BIGINT"
     ),
 }
+DAY_IDS = _struct("kind STRING, id STRING, event_date DATE, batch BIGINT")
 
-# Where ingest writes: accepted events and refused lines share one transactional
-# sink, told apart by the leading partition column.
+# Where ingest writes: accepted events and refused lines share a folder for each batch, told
+# apart by the leading partition column there.
 ZONE = "zone"
 SILVER_ZONE = "silver"
 QUARANTINE_ZONE = "quarantine"
@@ -119,3 +128,4 @@ LAKE = T.StructType(
     + [T.StructField(ZONE, T.StringType())]
     + [field for field in SILVER.fields if field.name in DAY_KEYS]
 )
+LAKE_READ = T.StructType([*LAKE.fields, T.StructField(BATCH, T.LongType())])

@@ -78,6 +78,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def holds_only_files(spark: SparkSession, root: str) -> bool:
+    """Whether a folder has files and no folder in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    entries = [e for e in files.listStatus(folder) if e.getPath().getName()[0] not in "._"]
+    return bool(entries) and not any(entry.isDirectory() for entry in entries)
+
+
 def files_beside_folders(spark: SparkSession, root: str) -> list[str]:
     """Files directly in a folder that holds other folders too; none if it holds only files."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)

@@ -1,38 +1,69 @@
 """The ingest sink and what is read from it.
 
-One folder holds both zones: ``zone=silver/year=/month=/day=`` for events and
-``zone=quarantine/...`` for refused lines. The streaming sink keeps a log of
-committed files there, and reading the folder itself (not a zone under it)
-obeys that log: files of a batch that did not finish are not seen.
+Each batch of an ingest is a folder ``batch=N`` with both zones: ``zone=silver/year=/month=/
+day=`` for events and ``zone=quarantine/...`` for refused lines. A batch written again
+replaces its folder. Readers go by the number of the last finished batch, so they see all of
+a batch or nothing, and there is no list of files to read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from clickstrata.schemas import DAY_KEYS, LAKE, QUARANTINE_ZONE, SILVER, SILVER_ZONE, ZONE
+from clickstrata.schemas import (
+    BATCH,
+    DAY_KEYS,
+    LAKE_READ,
+    QUARANTINE_ZONE,
+    SILVER,
+    SILVER_ZONE,
+    ZONE,
+)
 from clickstrata.session import overridden
-
+from clickstrata.sources.marks import last_mark, set_mark
 
 # On this data 40 percent smaller than the default codec, at the same speed.
 CODEC = "zstd"
 
 
-def read_silver(spark: SparkSession, lake: str) -> DataFrame:
-    return spark.read.schema(LAKE).parquet(lake).where(F.col(ZONE) == SILVER_ZONE).select(
-        SILVER.names
-    )
+def committed(spark: SparkSession, lake: str) -> int:
+    """The number of the last finished batch, -1 if there is none."""
+    return last_mark(spark, f"{lake}/_committed")
+
+
+def write_batch(rows: DataFrame, lake: str, number: int) -> bool:
+    """Store a batch and count it as finished; False if it was already."""
+    spark = rows.sparkSession
+    if number <= committed(spark, lake):
+        return False
+    writer = rows.write.mode("overwrite").partitionBy(ZONE, *DAY_KEYS)
+    writer.option("compression", CODEC).parquet(f"{lake}/{BATCH}={number}")
+    set_mark(spark, f"{lake}/_committed", number)
+    return True
+
 
+def read_batches(spark: SparkSession, lake: str, after: int | None = None) -> DataFrame:
+    """All finished batches, or those after a given one, whose folders alone are listed."""
+    last = committed(spark, lake)
+    reader = spark.read.schema(LAKE_READ).option("basePath", lake)
+    if after is None:
+        return reader.parquet(lake).where(F.col(BATCH) <= last)
+    if after >= last:
+        return spark.createDataFrame([], LAKE_READ)
+    return reader.parquet(*[f"{lake}/{BATCH}={n}" for n in range(after + 1, last + 1)])
 
-def stream_silver(spark: SparkSession, lake: str) -> DataFrame:
-    """Committed silver rows as a stream, file by file."""
-    rows = spark.readStream.schema(LAKE).option("maxFileAge", "36500d").parquet(lake)
-    return rows.where(F.col(ZONE) == SILVER_ZONE).select(SILVER.names)
+
+def silver_of(rows: DataFrame, *others: str) -> DataFrame:
+    return rows.where(F.col(ZONE) == SILVER_ZONE).select(*SILVER.names, *others)
+
+
+def read_silver(spark: SparkSession, lake: str) -> DataFrame:
+    return silver_of(read_batches(spark, lake))
 
 
 def read_quarantine(spark: SparkSession, lake: str) -> DataFrame:
     """Refused lines with their file; year, month and day are those of arrival."""
-    refused = spark.read.schema(LAKE).parquet(lake).where(F.col(ZONE) == QUARANTINE_ZONE)
+    refused = read_batches(spark, lake).where(F.col(ZONE) == QUARANTINE_ZONE)
     return refused.select("raw_line", "source_file", *DAY_KEYS)
 
 

@@ -34,6 +34,10 @@ LONG_BEFORE_YEAR = "2023"
 WITHOUT_TIME = "event_id % 97 = 13"
 WITHOUT_PRICE = "event_id % 89 = 7"
 NEVER_VIEWED = "event_id % 53 = 5"
+JOINED = "event_id % 7 = 3"
+IN_ARRAY = "event_id % 7 = 4"
+WITH_TEXT = "event_id % 7 = 5"
+WITH_NESTED = "event_id % 7 = 6"
 
 # No file holds more than this many consecutive event ids, so that a crowded
 # arrival slot is written by several tasks.
@@ -90,15 +94,26 @@ def bronze_lines(feed: DataFrame) -> DataFrame:
     """The feed as text lines, plus lines a reader has to refuse.
 
     Every remove_from_cart event is followed by a copy cut off after the user
-    (a writer that died), every search by one whose quantity is text.
+    (a writer that died), every search by one whose quantity is text. Some add_to_cart
+    events are followed by two objects on a line (files joined without a line end), an
+    array, or an object with text after it; some have a field with nested values that the
+    schema does not know.
     """
     whole = F.to_json(F.struct(*EVENT_FIELDS.names), {"ignoreNullFields": "false"})
     head = F.concat(
         F.lit('{"timestamp":"'), "timestamp", F.lit('","user_id":"'), "user_id", F.lit('"')
     )
-    broken = F.when(F.col("event_type") == "remove_from_cart", head).when(
-        F.col("event_type") == "search", F.concat(head, F.lit(',"quantity":"x"}'))
+    short = F.concat(head, F.lit("}"))
+    in_cart = F.col("event_type") == "add_to_cart"
+    broken = (
+        F.when(F.col("event_type") == "remove_from_cart", head)
+        .when(F.col("event_type") == "search", F.concat(head, F.lit(',"quantity":"x"}')))
+        .when(in_cart & F.expr(JOINED), F.concat(short, short))
+        .when(in_cart & F.expr(IN_ARRAY), F.concat(F.lit("["), short, F.lit("]")))
+        .when(in_cart & F.expr(WITH_TEXT), F.concat(short, F.lit(" x")))
     )
+    nested = F.concat(F.rtrim(whole, F.lit("}")), F.lit(',"extra":{"a":[1,{"b":"}"}]}}'))
+    whole = F.when(in_cart & F.expr(WITH_NESTED), nested).otherwise(whole)
     return feed.select(
         F.explode(F.array_compact(F.array(whole, broken))).alias("value"),
         *ARRIVAL_KEYS,

@@ -4,18 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from clickstrata.operators.silver import to_lake
-from clickstrata.schemas import DAY_KEYS, DEFAULT_CUTOFF_YEAR, QUARANTINE_ZONE, ZONE
-from clickstrata.session import configure, overridden, path_exists
-from clickstrata.sources import bronze
-from clickstrata.sources.lake import CODEC
-
-_METRICS = "ingest"
-
-# Progress reports kept per run. All are: each batch has its share of the counts.
-_PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+from clickstrata.schemas import DEFAULT_CUTOFF_YEAR, QUARANTINE_ZONE, ZONE
+from clickstrata.session import configure, path_exists
+from clickstrata.sources import bronze, catalog, lake as lake_store
 
 
 @dataclass(frozen=True)
@@ -37,42 +31,43 @@ def run_ingest(
     checkpoint: str,
     cutoff: str | None = DEFAULT_CUTOFF_YEAR,
     max_files_per_trigger: int | None = None,
+    database: str | None = None,
     **source_options: str,
 ) -> IngestResult:
     """Take in all files not seen by this checkpoint, then stop.
 
-    Lines are parsed once; both zones are committed together by the file sink,
-    so a batch repeated after a crash adds nothing twice. Files that arrived
-    before the cutoff year count as seen. To read everything again, use a new
-    checkpoint together with a new lake folder.
+    Lines are parsed once. Each batch is counted while it is written and becomes visible as
+    a whole; one repeated after a crash adds nothing twice. Files that arrived before the
+    cutoff year count as seen. To read everything again, use a new checkpoint together with
+    a new lake folder. With a database, each batch is added to its registered lake table.
     """
     configure(spark)
     bronze.refuse_mixed(spark, source)
-    if path_exists(spark, f"{lake}/_spark_metadata") and not path_exists(
-        spark, f"{checkpoint}/offsets"
-    ):
-        # The sink numbers its batches and would take the new ones for old.
+    if lake_store.committed(spark, lake) >= 0 and not path_exists(spark, f"{checkpoint}/offsets"):
+        # Batches are numbered by the checkpoint; new ones would be taken for old.
         raise ValueError(f"{lake} was filled under another checkpoint; use a new lake folder")
-    with overridden(spark, {_PROGRESS_KEPT: str(2**31 - 1)}):
-        lines = bronze.stream(spark, source, cutoff, max_files_per_trigger, **source_options)
-        counted = to_lake(lines).observe(
-            _METRICS,
+    counts = {"lines": 0, "refused": 0}
+
+    def handle(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        counted = batch.observe(
+            seen,
             F.count("*").alias("lines"),
             F.count_if(F.col(ZONE) == QUARANTINE_ZONE).alias("refused"),
         )
-        query = (
-            counted.writeStream.format("parquet")
-            .outputMode("append")
-            .partitionBy(ZONE, *DAY_KEYS)
-            .option("path", lake)
-            .option("compression", CODEC)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    counts = [p.observedMetrics[_METRICS] for p in query.recentProgress
-              if _METRICS in p.observedMetrics]
-    return IngestResult(
-        lines=sum(row["lines"] for row in counts), refused=sum(row["refused"] for row in counts)
+        if lake_store.write_batch(counted, lake, number):
+            for name, own in seen.get.items():
+                counts[name] += own
+        if database:
+            catalog.add_batches(spark, lake, database)
+
+    lines = bronze.stream(spark, source, cutoff, max_files_per_trigger, **source_options)
+    query = (
+        to_lake(lines)
+        .writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()
+    return IngestResult(**counts)

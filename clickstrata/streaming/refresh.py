@@ -1,74 +1,44 @@
-"""Keep gold and compacted silver up to date: recompute the days that got new events."""
+"""Keep gold and compacted silver up to date with the batches that ingest has finished."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-from clickstrata.plans.build_gold import publish, refresh_daily
-from clickstrata.session import configure, path_exists
-from clickstrata.sources import lake as lake_store
-
-Days = list[int | None] | None
+from clickstrata.plans.build_gold import BATCHES_KEPT, add_batches, fold, from_shares, publish
+from clickstrata.schemas import BATCH
+from clickstrata.session import configure
+from clickstrata.sources import gold_store, lake as lake_store
+from clickstrata.sources.marks import last_mark, set_mark
 
 
-def touched_days(batch: DataFrame, most: int | None = None) -> Days:
-    """Day numbers in a batch; None if there are more than ``most``, where that is given.
+def touched_days(events: DataFrame) -> list[int | None]:
+    """Day numbers of some events: as many as days with news, a small number for each."""
+    return [row.day for row in events.select(lake_store.day_number().alias("day")).distinct().collect()]
 
-    There are as many as days with news, a small number for each.
-    """
-    days = batch.select(lake_store.day_number().alias("day")).distinct()
-    rows = (days if most is None else days.limit(most + 1)).collect()
-    return None if most is not None and len(rows) > most else [row.day for row in rows]
 
+def run_refresh(
+    spark: SparkSession, lake: str, gold: str, checkpoint: str, database: str | None = None
+) -> dict[str, int]:
+    """Bring gold up to date with all batches finished since the last run.
 
-def _on_news(
-    spark: SparkSession, lake: str, checkpoint: str, act: Callable[[DataFrame, Days], None]
-) -> bool:
-    """Call ``act`` with all of silver and the days that got rows since the last run.
-
-    Days is None if they are too many to list. Whatever ``act`` does is repeated
-    after a crash, so it has to replace, not add. False if there was no news.
+    The rows of these batches are read, no others; their shares are stored by batch number
+    and the tables published from all shares. A run repeated after a crash replaces what it
+    wrote. Returns the row counts of the published tables, or nothing without news. With a
+    database, its registered tables are switched to the new version.
     """
     configure(spark)
-    if not path_exists(spark, f"{lake}/_spark_metadata"):
-        return False
-    news = []
-
-    def handle(batch: DataFrame, _batch_id: int) -> None:
-        days = touched_days(batch)
-        if days == []:
-            return
-        # The caller's session, not the batch's: adaptive execution is off in the latter.
-        act(lake_store.read_silver(spark, lake), days)
-        news.append(days)
-
-    query = (
-        lake_store.stream_silver(spark, lake)
-        .writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return bool(news)
-
-
-def run_refresh(spark: SparkSession, lake: str, gold: str, checkpoint: str) -> dict[str, int]:
-    """Bring gold up to date with everything committed to the lake since the last run.
-
-    Touched days are computed anew from all their rows and replace the stored
-    ones. Returns the row counts of the published tables, or nothing if silver
-    had no news.
-    """
-    counts: dict[str, int] = {}
-
-    def refresh(silver: DataFrame, days: Days) -> None:
-        refresh_daily(silver, gold, days)
-        counts.update(publish(spark, gold))
-
-    _on_news(spark, lake, checkpoint, refresh)
+    done, last = last_mark(spark, checkpoint), lake_store.committed(spark, lake)
+    if done >= last:
+        return {}
+    news = lake_store.silver_of(lake_store.read_batches(spark, lake, after=done), BATCH)
+    if news.isEmpty():
+        set_mark(spark, checkpoint, last)
+        return {}
+    add_batches(news, gold, done)
+    if last - gold_store.base(spark, gold) > BATCHES_KEPT:
+        fold(spark, gold, last)
+    counts = publish(spark, gold, from_shares(spark, gold, last), database)
+    set_mark(spark, checkpoint, last)
     return counts
 
 
@@ -78,8 +48,12 @@ def run_compaction(spark: SparkSession, lake: str, into: str, checkpoint: str) -
     After a run the compacted copy holds all silver rows committed by then.
     False if there were no new ones.
     """
-
-    def rewrite(silver: DataFrame, days: Days) -> None:
-        lake_store.compact(silver if days is None else lake_store.on_days(silver, days), into)
-
-    return _on_news(spark, lake, checkpoint, rewrite)
+    configure(spark)
+    done, last = last_mark(spark, checkpoint), lake_store.committed(spark, lake)
+    if done >= last:
+        return False
+    days = touched_days(lake_store.silver_of(lake_store.read_batches(spark, lake, after=done)))
+    if days:
+        lake_store.compact(lake_store.on_days(lake_store.read_silver(spark, lake), days), into)
+    set_mark(spark, checkpoint, last)
+    return bool(days)

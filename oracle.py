@@ -141,7 +141,14 @@ _REFUSED = f"""
     FROM feed WHERE event_type = 'remove_from_cart'
     UNION ALL
     SELECT "year", "month", "day", "hour", "minute", {_HEAD} || ',"quantity":"x"}}', {_HEAD} || '}}'
-    FROM feed WHERE event_type = 'search'"""
+    FROM feed WHERE event_type = 'search'
+    UNION ALL
+    SELECT "year", "month", "day", "hour", "minute",
+           CASE event_id % 7 WHEN 3 THEN {_HEAD} || '}}' || {_HEAD} || '}}'
+                             WHEN 4 THEN '[' || {_HEAD} || '}}]'
+                             ELSE {_HEAD} || '}} x' END,
+           CASE event_id % 7 WHEN 4 THEN '{{}}' ELSE {_HEAD} || '}}' END
+    FROM feed WHERE event_type = 'add_to_cart' AND event_id % 7 IN (3, 4, 5)"""
 
 
 def statements() -> dict[str, str]:
@@ -162,7 +169,8 @@ def statements() -> dict[str, str]:
             SELECT "year", "month", "day", "hour",
                    COUNT(DISTINCT event_id // 600000) AS files,
                    COUNT(*) + COUNT(*) FILTER (
-                       WHERE event_type IN ('remove_from_cart', 'search')) AS lines
+                       WHERE event_type IN ('remove_from_cart', 'search')
+                             OR event_type = 'add_to_cart' AND event_id % 7 IN (3, 4, 5)) AS lines
             FROM feed GROUP BY ALL""",
         "bronze_readiness": f"""
             WITH {_FEED}, files AS (

@@ -5,6 +5,10 @@ import gzip
 import json
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
+from clickstrata.operators import daily
+
 FIELDS = ("timestamp", "user_id", "session_id", "event_type", "product_id", "category",
           "quantity", "price", "search_query")
 
@@ -74,5 +78,16 @@ def write_feed(root, slots=tuple(LINES)):
     return str(root)
 
 
+def shares(silver, batches=3):
+    """What silver adds to the gold tables, as if it had come in some batches."""
+    batch = F.pmod(F.xxhash64("user_id", "timestamp"), F.lit(batches))
+    events = silver.withColumn("batch", batch)
+    return {
+        "product_counts": daily.product_counts(events),
+        "revenue_hours": daily.revenue_hours(events),
+        "day_counts": daily.day_counts(events, daily.ids_of_days(events)),
+    }
+
+
 def rows(frame):
     return {tuple(row) for row in frame.collect()}

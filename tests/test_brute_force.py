@@ -96,7 +96,7 @@ def test_gold_equals_brute_force(spark, seed):
     for name in GOLD:
         assert golden.rows(gold.TABLES[name](silver)) == want[name], name
         assert golden.rows(gold_sql.select(spark, name, silver)) == want[name], name
-        source, build = daily.FROM_DAILY[name]
-        rolled_up = build(daily.DAILY[source](silver)).select(GOLD[name].names)
+        source, build = daily.FROM_SHARES[name]
+        rolled_up = build(golden.shares(silver)[source]).select(GOLD[name].names)
         assert golden.rows(rolled_up) == want[name], name
     silver.unpersist()

@@ -1,14 +1,16 @@
 """Bronze, silver, gold and reports on the golden feed."""
 
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickstrata.operators import daily, gold
 from clickstrata.operators.reports import REPORTS
 from clickstrata.operators.silver import to_silver
 from clickstrata.plans import gold_sql, report_sql
-from clickstrata.schemas import BRONZE, DEFAULT_CUTOFF_YEAR, GOLD, SILVER
+from clickstrata.schemas import BRONZE, DEFAULT_CUTOFF_YEAR, GOLD, RECORD, SILVER
 from clickstrata.sources import bronze
 from tests import golden
 
@@ -57,9 +59,77 @@ def test_type_mismatch_is_malformed(spark, tmp_path):
     assert good.where("quantity IS NULL").select("day").count() == 1
 
 
+WHOLE = golden.LINES[golden.DEC4][0]
+NESTED = WHOLE[:-1] + ', "more": {"a": [1, {"b": "}"}]}}'
+ACCEPTED = [
+    WHOLE,
+    f" \t{WHOLE} ",
+    NESTED,
+    "{}",
+    '{"user_id": "a}{b"}',
+    '{"user_id": "[]"}',
+    '{"user_id": {"k": 1}}',
+    "{'user_id': '}\"'}",
+    '{"user_id": "\\""}',
+]
+REFUSED = [
+    WHOLE + WHOLE,
+    f"{WHOLE},{WHOLE}",
+    f"{WHOLE} {WHOLE}",
+    f"{NESTED}{WHOLE}",
+    f"{WHOLE} x",
+    f"{NESTED}]",
+    f"{WHOLE}] x",
+    f"{WHOLE}],[{WHOLE}",
+    f"[{WHOLE}]",
+    f"[{WHOLE},{WHOLE}]",
+    "[]",
+    "5",
+    "null",
+    '"text"',
+    "{'user_id': '\"'} x {'user_id': '\"'}",
+    WHOLE[:-1],
+    '{"quantity": "x"}',
+    '{"quantity": 1.5}',
+]
+
+
+def test_a_line_is_one_object_and_nothing_else(spark, tmp_path):
+    golden.write_file(tmp_path, golden.DEC4, [*ACCEPTED, "", " \t", *REFUSED])
+    lines = bronze.scan(spark, str(tmp_path))
+    good, bad = bronze.well_formed(lines), bronze.malformed(lines)
+    assert sorted(row.raw_line for row in bad.collect()) == sorted(REFUSED)
+    assert (good.count(), bad.count()) == (len(ACCEPTED), len(REFUSED))
+    users = [row.user_id for row in good.collect()]
+    assert sorted(map(str, users)) == sorted(
+        ["u1", "u1", "u1", "None", "a}{b", "[]", '{"k":1}', '}"', '"']
+    )
+    joined = bad.where(F.col("raw_line") == WHOLE + WHOLE).first()
+    assert '"user_id":"u1"' in joined.readable_part
+
+
+def test_lines_are_parsed_once(spark, feed):
+    lines = bronze.scan(spark, feed)
+    for frame in (bronze.malformed(lines), bronze.well_formed(lines).where("user_id = 'u1'")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(RECORD.names[-1] + ",StringType") <= 1 and plan.count("Generate") == 1
+        assert "year" in plan.split("Filter")[-1]
+
+
+def test_newest_files(spark, tmp_path):
+    hour = "year=2025/month=01/day=02/hour=03"
+    for minute in range(0, 60, 5):
+        golden.write_file(tmp_path, f"{hour}/minute={minute:02d}", ["{}"])
+        os.utime(tmp_path / f"{hour}/minute={minute:02d}/events.jsonl.gz", (10**9, 10**9 + minute % 30))
+    newest = bronze.newest_files(bronze.listing(spark, str(tmp_path))).collect()
+    assert [row.minute for row in newest] == "25 55 20 50 15 45 10 40 05 35".split()
+    plan = bronze.newest_files(bronze.listing(spark, str(tmp_path)))
+    assert "TakeOrderedAndProject" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_inventory_and_readiness(spark, feed, tmp_path):
     since = bronze.listing(spark, feed, DEFAULT_CUTOFF_YEAR)
-    hours = bronze.inventory(since, bronze.scan(spark, feed)).collect()
+    hours = bronze.inventory(since, bronze.read_lines(spark, feed)).collect()
     assert {(r.day, r.hour): (r.files, r.lines) for r in hours} == {
         ("04", "09"): (1, 8),
         ("04", "23"): (1, 1),
@@ -82,7 +152,7 @@ def test_a_file_without_lines_is_a_file(spark, tmp_path):
     golden.write_file(tmp_path, f"{hour}/minute=00", ["{}", "{}"])
     golden.write_file(tmp_path, f"{hour}/minute=05", [])
     golden.write_file(tmp_path, "year=2025/month=01/day=02/hour=04/minute=00", [])
-    files, lines = bronze.listing(spark, str(tmp_path)), bronze.scan(spark, str(tmp_path), None)
+    files, lines = bronze.listing(spark, str(tmp_path)), bronze.read_lines(spark, str(tmp_path), None)
     hours = bronze.inventory(files, lines).collect()
     assert {r.hour: (r.files, r.lines) for r in hours} == {"03": (2, 2), "04": (1, 0)}
     assert bronze.readiness(files).first().files == 3
@@ -128,8 +198,8 @@ def test_gold(spark, silver, name):
     assert fields(table.schema) == fields(GOLD[name])
     assert golden.rows(table) == golden.GOLD[name]
     assert golden.rows(gold_sql.select(spark, name, silver)) == golden.GOLD[name]
-    source, build = daily.FROM_DAILY[name]
-    rolled_up = build(daily.DAILY[source](silver))
+    source, build = daily.FROM_SHARES[name]
+    rolled_up = build(golden.shares(silver)[source])
     assert golden.rows(rolled_up.select(GOLD[name].names)) == golden.GOLD[name]
     assert fields(gold_sql.select(spark, name, silver).schema) == fields(GOLD[name])
 
