@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickstrata.llm.common import shared, store
 from clickstrata.llm.hat_trie import WORD_BITS, WORD_MASK, Node
-from clickstrata.llm.wordtable import LOWERED, mixed, texts_of
+from clickstrata.llm.wordtable import LOWERED, hashes, mixed, texts_of
 
 LONGEST = 3
 LEAST_COUNT = 10
@@ -48,7 +48,7 @@ KEPT_ENTRIES = 500_000
 # Words a task knows before it spills everything and begins anew.
 MOST_WORDS = 1_000_000
 # Bytes of text counted at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 8 << 20
 # A filter has up to this many bits (16 MB), and 16 for each frequent phrase if it can.
 MOST_BITS = 1 << 27
 # Prefixes are dealt to this many parts each.
@@ -64,7 +64,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EXACT = "decimal(38,0)"
 _BUCKET = 32768
 
-_COUNTED = "lang string, first string, phrase string, code long, count long"
+_COUNTED = "prefix long, lang string, phrase string, code long, count long"
 
 
 class Bloom:
@@ -111,18 +111,11 @@ class Vocabulary:
         self.words, self.langs = [""], [""]
         self.codes = np.zeros(1024, dtype=np.uint64)
 
-    def ids_of(self, lang: str, words: list[str], frequent: Bloom | None) -> np.ndarray:
-        """The ids of different words; new ones get one if the filter has them."""
+    def ids_of(self, lang: str, words: list[str], codes: np.ndarray) -> np.ndarray:
+        """The ids of different words, new ones for those not met before."""
         known = self.ids.setdefault(lang, {})
         out = np.array([known.get(word, 0) for word in words], dtype=np.int64)
         new = np.flatnonzero(out == 0)
-        digests = [
-            blake2b(f"{lang}\0{words[at]}".encode(), digest_size=8).digest() for at in new
-        ]
-        codes = np.frombuffer(b"".join(digests), dtype="<u8")
-        if frequent is not None:
-            wanted = frequent.has(codes)
-            new, codes = new[wanted], codes[wanted]
         first = len(self.words)
         out[new] = np.arange(first, first + len(new))
         spelled = [words[at] for at in new]
@@ -131,10 +124,22 @@ class Vocabulary:
         self.langs += [lang] * len(new)
         while len(self.codes) < len(self.words):
             self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-        self.codes[first : len(self.words)] = codes
+        self.codes[first : len(self.words)] = codes[new]
         return out
 
 
+def hashes_of(words: pa.LargeStringArray) -> np.ndarray:
+    """A hash of each string, by its bytes."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    spelled = np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]]
+    return hashes(spelled, ends[:-1] - ends[0], ends[1:] - ends[0])
+
+
+def lang_code(lang: str) -> np.uint64:
+    return np.uint64(int.from_bytes(blake2b(lang.encode(), digest_size=8).digest(), "little"))
+
+
 def phrase_codes(codes: list[np.ndarray]) -> np.ndarray:
     """One hash for the hashes of a phrase's words."""
     total = codes[0]
@@ -167,7 +172,7 @@ class Counter:
         starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
         if not len(starts):
             return
-        piece = np.cumsum(cut | edge[:n])[starts]
+        piece = np.cumsum(cut | edge[:n], dtype=np.int32)[starts]
         row = np.searchsorted(offsets, starts, side="right") - 1
         lengths = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
         words = pa.LargeStringArray.from_buffers(
@@ -202,10 +207,15 @@ class Counter:
         met = np.zeros(len(names) * len(spelled), dtype=bool)
         met[both] = True
         of = np.zeros(len(met), dtype=np.int64)
+        spelled_codes = hashes_of(spelled)
         for k, name in enumerate(names):
             own = np.flatnonzero(met[k * len(spelled) : (k + 1) * len(spelled)])
+            codes = mixed(spelled_codes[own] ^ lang_code(name))
+            if self.frequent is not None:
+                wanted = self.frequent.has(codes)
+                own, codes = own[wanted], codes[wanted]
             text = spelled.take(pa.array(own)).to_pylist()
-            of[k * len(spelled) + own] = self.vocabulary.ids_of(name, text, self.frequent)
+            of[k * len(spelled) + own] = self.vocabulary.ids_of(name, text, codes)
         return of[both]
 
     def spill(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
@@ -237,26 +247,30 @@ class Counter:
         ]
         order = np.lexsort([place[own] for own in reversed(ids)])
         ids, counts = [own[order] for own in ids], counts[order]
-        codes = phrase_codes([self.vocabulary.codes[own] for own in ids]).view(np.int64)
+        codes = [self.vocabulary.codes[own] for own in ids]
+        whole = phrase_codes(codes)
+        # Language and first word, and for a crowded one a part of the hash.
+        prefixes = mixed(codes[0] * np.uint64(SPREAD) + whole % np.uint64(SPREAD)).view(np.int64)
+        whole = whole.view(np.int64)
         for low in range(0, len(counts), ROWS):
             own = [words.take(pa.array(x[low : low + ROWS])) for x in ids]
             phrase = own[0] if len(own) == 1 else pa.compute.binary_join_element_wise(*own, " ")
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(prefixes[low : low + ROWS]),
                     langs.take(pa.array(ids[0][low : low + ROWS])),
-                    own[0],
                     phrase,
-                    pa.array(codes[low : low + ROWS]),
+                    pa.array(whole[low : low + ROWS]),
                     pa.array(counts[low : low + ROWS]),
                 ],
-                ["lang", "first", "phrase", "code", "count"],
+                ["prefix", "lang", "phrase", "code", "count"],
             )
 
 
 def runs(
     docs: DataFrame, length: int, words: Bloom | None = None, pairs: Bloom | None = None
 ) -> DataFrame:
-    """Rows (lang, first word, phrase, code, count) of the tasks' sorted runs."""
+    """Rows (prefix, lang, phrase, code, count) of the tasks' sorted runs."""
     spark = docs.sparkSession
     held = shared(spark, (words, pairs))
 
@@ -282,10 +296,10 @@ def runs(
 
 def merged(rows: DataFrame) -> DataFrame:
     """Exact counts from sorted runs, prefix by prefix."""
-    part = F.pmod("code", F.lit(SPREAD)).alias("part")
-    dealt = rows.select("*", part).repartition("lang", "first", "part")
-    sums = dealt.groupBy("lang", "first", "part", "phrase").agg(
-        F.max("code").alias("code"), F.sum("count").alias("count")
+    sums = (
+        rows.repartition("prefix")
+        .groupBy("prefix", "lang", "phrase", "code")
+        .agg(F.sum("count").alias("count"))
     )
     return sums.select("lang", "phrase", "code", "count")
 

@@ -112,6 +112,15 @@ class Words:
         return b" ".join([b"", *(self.string(w) for w in range(a, b)), b""])
 
 
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each range of bytes."""
+    n = len(data)
+    up, down = _powers.to(n + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:n])])
+    own = (sums[ends] - sums[starts]) * down[starts]
+    return mixed(own ^ (ends - starts).astype(np.uint64) * _STEP)
+
+
 def words_of(texts: Texts, lower: bool = False, plain: bool = False) -> Words:
     """Words between white space; lower: A-Z as a-z; plain: lower, only letters and digits."""
     data, offsets, places = texts.data, texts.offsets, None
@@ -133,12 +142,8 @@ def words_of(texts: Texts, lower: bool = False, plain: bool = False) -> Words:
     starts = np.flatnonzero(begins)
     ends = np.flatnonzero(stops) + 1
     rows = np.searchsorted(offsets, starts, side="right") - 1
-    up, down = _powers.to(n + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:n])])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
-    hashes = mixed(hashes ^ (ends - starts).astype(np.uint64) * _STEP)
     bounds = np.searchsorted(rows, np.arange(len(texts) + 1))
-    return Words(data, starts, ends, rows, hashes, places, bounds)
+    return Words(data, starts, ends, rows, hashes(data, starts, ends), places, bounds)
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
