@@ -46,9 +46,9 @@ COVERED = 50
 MOST_ENTRIES = 1_000_000
 KEPT_ENTRIES = 500_000
 # Words a task knows before it spills everything and begins anew.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 500_000
 # Bytes of text counted at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 # A filter has up to this many bits (16 MB), and 16 for each frequent phrase if it can.
 MOST_BITS = 1 << 27
 # Prefixes are dealt to this many parts each.
@@ -197,7 +197,7 @@ class Counter:
         for k in range(self.length):
             phrases = phrases << WORD_BITS | ids[first + k]
         found, counts = np.unique(phrases, return_counts=True)
-        self.trie.add(found.tolist(), counts.tolist())
+        self.trie.add(found, counts)
 
     def ids(self, words: pa.DictionaryArray, langs: pa.DictionaryArray, row: np.ndarray):
         """The id of each word, 0 for those that are not wanted."""
@@ -227,21 +227,10 @@ class Counter:
         place = np.empty(len(words), dtype=np.int64)
         place[pa.compute.sort_indices(words).to_numpy()] = np.arange(len(words))
         langs = pa.array(self.vocabulary.langs, pa.string())
-        small: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
-        for run in self.trie.spilled(0 if everything else KEPT_ENTRIES):
-            # Small subtrees make a run together.
-            small.append(run)
-            held += len(run[0])
-            if held >= ROWS:
-                yield from self.run(small, words, place, langs)
-                small, held = [], 0
-        if held:
-            yield from self.run(small, words, place, langs)
-
-    def run(self, subtrees, words, place, langs) -> Iterator[pa.RecordBatch]:
-        phrases = np.concatenate([keys for keys, _ in subtrees])
-        counts = np.concatenate([values for _, values in subtrees])
+        for phrases, counts in self.trie.spilled(0 if everything else KEPT_ENTRIES, ROWS):
+            yield from self.run(phrases, counts, words, place, langs)
+
+    def run(self, phrases, counts, words, place, langs) -> Iterator[pa.RecordBatch]:
         ids = [
             phrases >> (WORD_BITS * (self.length - 1 - k)) & WORD_MASK for k in range(self.length)
         ]

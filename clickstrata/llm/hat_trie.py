@@ -8,7 +8,7 @@ next word. Whole subtrees can be taken out, largest first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -29,62 +29,84 @@ class Node:
         self.children: dict[int, Node] | None = None
         self.entries = 0
 
-    def add(self, rests: list[int], counts: list[int]) -> None:
+    def add(self, rests: np.ndarray, counts: np.ndarray) -> None:
         """Count rests in ascending order; equal ones may come again in later calls."""
+        if not len(rests):
+            return
         if self.children is None:
-            own = self.counts
-            for rest, count in zip(rests, counts):
-                own[rest] = own.get(rest, 0) + count
-            self.entries = len(own)
-            if self.left > 1 and self.entries > BURST:
-                self.burst()
+            self.count(rests.tolist(), counts.tolist())
             return
         shift = WORD_BITS * (self.left - 1)
-        below, at, n = (1 << shift) - 1, 0, len(rests)
-        while at < n:
-            word = rests[at] >> shift
-            end, most = at + 1, (word + 1) << shift
-            while end < n and rests[end] < most:
-                end += 1
+        words, below = rests >> shift, rests & ((1 << shift) - 1)
+        starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        ends = np.append(starts[1:], len(rests)).tolist()
+        low, own = below.tolist(), counts.tolist()
+        for word, at, end in zip(words[starts].tolist(), starts.tolist(), ends):
             child = self.children.get(word)
             if child is None:
                 child = self.children[word] = Node(self.left - 1)
             before = child.entries
-            child.add([rest & below for rest in rests[at:end]], counts[at:end])
+            if child.children is None:
+                child.count(low[at:end], own[at:end])
+            else:
+                child.add(below[at:end], counts[at:end])
             self.entries += child.entries - before
-            at = end
 
-    def burst(self) -> None:
-        own = sorted(self.counts.items())
-        self.counts, self.children, self.entries = None, {}, 0
-        self.add([rest for rest, _ in own], [count for _, count in own])
+    def count(self, rests: list[int], counts: list[int]) -> None:
+        own = self.counts
+        for rest, count in zip(rests, counts):
+            own[rest] = own.get(rest, 0) + count
+        self.entries = len(own)
+        if self.left > 1 and self.entries > BURST:
+            phrases, totals = self.arrays()
+            order = np.argsort(phrases)
+            self.counts, self.children, self.entries = None, {}, 0
+            self.add(phrases[order], totals[order])
 
-    def items(self, prefix: int = 0) -> Iterator[tuple[int, int]]:
-        """(phrase, count) of all phrases under this node, which lies under ``prefix``."""
+    def containers(self, prefix: int = 0) -> Iterator[tuple[int, dict[int, int]]]:
+        """The containers under this node, which lies under ``prefix``, with what leads there."""
         if self.children is None:
-            high = prefix << (WORD_BITS * self.left)
-            for rest, count in self.counts.items():
-                yield high | rest, count
+            yield prefix << (WORD_BITS * self.left), self.counts
         else:
             for word, child in self.children.items():
-                yield from child.items(prefix << WORD_BITS | word)
+                yield from child.containers(prefix << WORD_BITS | word)
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """All phrases under this node and their counts."""
+        return _arrays(self.containers())
+
+    def spilled(self, keep: int, at_once: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Take out subtrees of the root, largest first, until ``keep`` entries are left.
 
-    def spilled(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Take out subtrees of the root, largest first, until ``keep`` entries are left."""
+        Small ones are given together, until they have ``at_once`` entries.
+        """
         if self.children is None:
             if self.entries > keep:
-                yield _arrays(list(self.items()))
+                yield self.arrays()
                 self.counts, self.entries = {}, 0
             return
-        by_size = sorted(self.children, key=lambda word: -self.children[word].entries)
-        for word in by_size:
+        taken: list[tuple[int, dict[int, int]]] = []
+        held = 0
+        for word in sorted(self.children, key=lambda word: -self.children[word].entries):
             if self.entries <= keep:
                 break
             child = self.children.pop(word)
             self.entries -= child.entries
-            yield _arrays(list(child.items(word)))
+            held += child.entries
+            taken.extend(child.containers(word))
+            if held >= at_once:
+                yield _arrays(taken)
+                taken, held = [], 0
+        if held:
+            yield _arrays(taken)
 
 
-def _arrays(items: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    both = np.array(items, dtype=np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+def _arrays(containers: Iterable[tuple[int, dict[int, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    highs, sizes, rests, counts = [], [], [], []
+    for high, own in containers:
+        highs.append(high)
+        sizes.append(len(own))
+        rests.extend(own)
+        counts.extend(own.values())
+    leads = np.repeat(np.array(highs, dtype=np.int64), sizes)
+    return np.array(rests, dtype=np.int64) | leads, np.array(counts, dtype=np.int64)

@@ -216,8 +216,9 @@ def test_trie_counts_and_spills(monkeypatch):
             ids = [min(rng.randint(1, 8), rng.randint(1, 8)) for _ in range(3)]
             some[ids[0] << 42 | ids[1] << 21 | ids[2]] += 1
         want += some
-        trie.add(sorted(some), [some[p] for p in sorted(some)])
-        assert trie.entries == len(dict(trie.items()))
+        phrases = np.array(sorted(some))
+        trie.add(phrases, np.array([some[p] for p in sorted(some)]))
+        assert trie.entries == len(set(trie.arrays()[0].tolist()))
         if trie.entries > 100:
             spill(50)
     spill(0)
