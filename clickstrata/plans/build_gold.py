@@ -9,7 +9,7 @@ from typing import Any
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstrata.operators import daily, gold
+from clickstrata.operators import daily, gold, sketches
 from clickstrata.schemas import BATCH, SHARES
 from clickstrata.session import overridden, partitions_for
 from clickstrata.sources import catalog, gold_store
@@ -34,10 +34,10 @@ def _spread(spark: SparkSession, events: DataFrame):
     )
 
 
-def add_batches(events: DataFrame, root: str, done: int) -> None:
+def add_batches(events: DataFrame, root: str, done: int, with_sketches: bool = False) -> None:
     """Store the shares of the batches in ``events``, which follow batch ``done``.
 
-    Only these rows are read, and the ids that their days had before. Done again, after a
+    With sketches, those of the days' users and sessions are stored as well. Only these rows are read, and the ids that their days had before. Done again, after a
     crash or together with later batches, it replaces the shares by the same ones.
     """
     spark = events.sparkSession
@@ -51,10 +51,16 @@ def add_batches(events: DataFrame, root: str, done: int) -> None:
         counts = daily.day_counts(events, ids.where(F.col(BATCH) > done))
         gold_store.write_shares("day_counts", counts, root)
 
+    more = {}
+    if with_sketches:
+        more["day_sketches"] = lambda: gold_store.write_shares(
+            "day_sketches", sketches.day_sketches(events), root
+        )
     with _spread(spark, events):
         _together(
             spark,
-            {
+            more
+            | {
                 "product_counts": lambda: gold_store.write_shares(
                     "product_counts", daily.product_counts(events), root
                 ),

@@ -40,6 +40,7 @@ _TYPES = {
     "STRING": T.StringType(),
     "INT": T.IntegerType(),
     "BIGINT": T.LongType(),
+    "BINARY": T.BinaryType(),
     "DOUBLE": T.DoubleType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
@@ -115,6 +116,9 @@ SHARES = {
         "batch BIGINT"
     ),
 }
+SKETCHES = _struct(
+    "event_date DATE, users BINARY, sessions BINARY, total_events BIGINT, batch BIGINT"
+)
 DAY_IDS = _struct("kind STRING, id STRING, event_date DATE, batch BIGINT")
 
 # Where ingest writes: accepted events and refused lines share a folder for each batch, told

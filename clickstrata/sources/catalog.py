@@ -68,7 +68,12 @@ def register_bronze(
 
 # Partitions added by one statement.
 _PARTITIONS_AT_ONCE = 200
-_ADDED = "batches_added"
+_ADDED, _FOLDER = "batches_added", "lake_folder"
+
+
+def _property(spark: SparkSession, table: str, key: str) -> str | None:
+    row = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).first()
+    return None if row is None else row["value"]
 
 
 def register_silver(
@@ -81,9 +86,12 @@ def register_silver(
     """
     files = identifier(database, LAKE_TABLE)
     keys = (BATCH, ZONE, *DAY_KEYS)
+    if spark.catalog.tableExists(files) and _property(spark, files, _FOLDER) != lake:
+        spark.sql(f"DROP TABLE {files}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {files} ({_columns(LAKE_READ)}) USING PARQUET "
-        f"PARTITIONED BY ({', '.join(map(identifier, keys))}) LOCATION {text(lake)}"
+        f"PARTITIONED BY ({', '.join(map(identifier, keys))}) LOCATION {text(lake)} "
+        f"TBLPROPERTIES ('{_FOLDER}' = {text(lake)})"
     )
     add_batches(spark, lake, database)
     spark.sql(
@@ -96,8 +104,7 @@ def register_silver(
 def add_batches(spark: SparkSession, lake: str, database: str) -> None:
     """Add the partitions of the batches finished since the last call to the lake table."""
     files = identifier(database, LAKE_TABLE)
-    known = spark.sql(f"SHOW TBLPROPERTIES {files}").where(F.col("key") == _ADDED).first()
-    done, last = -1 if known is None else int(known["value"]), committed(spark, lake)
+    done, last = int(_property(spark, files, _ADDED) or -1), committed(spark, lake)
     if done >= last:
         return
     rows = read_batches(spark, lake, after=done).select(BATCH, ZONE, *DAY_KEYS).distinct().collect()
@@ -136,6 +143,7 @@ def register_gold(spark: SparkSession, root: str, database: str = "gold") -> Non
 
     They have no partitions to repair, only a place to change.
     """
+    create_databases(spark, (database,))
     for name, schema in GOLD.items():
         full, place = identifier(database, name), text(table_path(spark, name, root))
         if spark.catalog.tableExists(full):

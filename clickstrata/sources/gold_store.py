@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from clickstrata.schemas import BATCH, DAY_IDS, GOLD, SHARES
+from clickstrata.schemas import BATCH, DAY_IDS, GOLD, SHARES, SKETCHES
 from clickstrata.session import path_exists
 from clickstrata.sources.marks import children, last_mark, remove, set_mark
 
@@ -78,6 +78,12 @@ def read_day_ids(spark: SparkSession, root: str, days: list[str | None]) -> Data
     return spark.read.schema(DAY_IDS).option("basePath", folder).parquet(*found)
 
 
+def read_sketches(spark: SparkSession, root: str, through: int) -> DataFrame:
+    """The sketches of all batches up to one that were refreshed with them."""
+    rows = spark.read.schema(SKETCHES).parquet(f"{root}/shares/day_sketches")
+    return rows.where(F.col(BATCH) <= through)
+
+
 def base(spark: SparkSession, root: str) -> int:
     """The last batch whose shares are in the base, -1 without one."""
     return last_mark(spark, f"{root}/_base")

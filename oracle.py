@@ -157,6 +157,21 @@ def statements() -> dict[str, str]:
         "silver_events": silver,
         "ingest_incremental": silver,
         "silver_compacted": silver,
+        "silver_table_events": silver,
+        "bronze_table_events": f"WITH {_FEED} SELECT {_BRONZE_COLUMNS} FROM feed",
+        "streamed_hourly_revenue": f"""
+            WITH {_SILVER}, gold AS ({_GOLD["hourly_revenue"]})
+            SELECT * FROM gold
+            WHERE CAST(event_datetime AS TIMESTAMP) + INTERVAL 1 HOUR <= (
+                SELECT max(timestamp_parsed) - INTERVAL 6 HOUR FROM silver
+                WHERE event_type = 'purchase')""",
+        "sketched_monthly_activity": f"""
+            WITH {_SILVER}
+            SELECT CAST(date_trunc('month', event_date) AS DATE) AS "month",
+                   COUNT(DISTINCT user_id) AS unique_users,
+                   COUNT(DISTINCT session_id) AS unique_sessions, COUNT(*) AS total_events,
+                   TRUE AS users_near, TRUE AS sessions_near
+            FROM silver GROUP BY 1""",
         "bronze_scan": f"WITH {_FEED} SELECT {_BRONZE_COLUMNS} FROM feed",
         "bronze_quarantine": f"WITH {_FEED} {_REFUSED}",
         "ingest_quarantine": f"""
@@ -183,7 +198,9 @@ def statements() -> dict[str, str]:
             FROM files""",
     }
     for name, query in _GOLD.items():
-        for key in (f"gold_{name}", f"gold_{name}_sql", f"refresh_{name}"):
+        for key in (
+            f"gold_{name}", f"gold_{name}_sql", f"gold_{name}_ctas", f"refresh_{name}"
+        ):
             sql[key] = f"WITH {_SILVER} {query}"
     for name, (source, query) in _REPORTS.items():
         for key in (f"report_{name}", f"report_{name}_sql", f"report_{name}_stored"):

@@ -323,9 +323,9 @@ def test_refresh_reads_new_rows_only(pipe, monkeypatch):
     pipe.ingest()
     seen = []
 
-    def add_batches(events, root, done):
+    def add_batches(events, *rest):
         seen.append((events.count(), {row.batch for row in events.collect()}, events.inputFiles()))
-        builds.add_batches(events, root, done)
+        builds.add_batches(events, *rest)
 
     monkeypatch.setattr("clickstrata.streaming.refresh.add_batches", add_batches)
     # Earlier batches may be gone.

@@ -53,6 +53,41 @@ def test_reports_over_registered_tables(spark, tmp_path, capsys):
     assert spark.table("silver.events").count() == 9
 
 
+def test_jobs_over_named_tables(spark, tmp_path, capsys):
+    feed, silver, gold = (str(tmp_path / name) for name in ("feed", "lake", "gold"))
+    golden.write_feed(feed)
+
+    def job(*arguments):
+        run(spark, list(map(str, arguments)))
+        return capsys.readouterr().out
+
+    names = ("--bronze-database", "b_named", "--silver-database", "s_named", "--gold-database", "g_named")
+    job("register", "--feed", feed, *names)
+    assert "year" in job("newest", "--feed", feed)
+    into = tmp_path / "clean"
+    assert job("clean", "--table", "b_named.events_lines", "--into", into) == "9 events\n"
+    assert lake.read_silver_files(spark, str(into)).count() == 9
+    ingest = ("ingest", "--feed", feed, "--lake", silver, "--checkpoint", tmp_path / "marks")
+    job(*ingest, "--archive", tmp_path / "archive")
+    job("register", "--lake", silver, *names)
+    job("build-sql", "--events", "s_named.events", "--database", "g_named")
+    for name, rows in golden.GOLD.items():
+        assert golden.rows(spark.table(f"g_named.{name}")) == rows
+    more = "year=2025/month=12/day=06/hour=00/minute=00"
+    golden.write_file(feed, more, [golden.LINES[golden.DEC4][0]])
+    assert "1 lines" in job(*ingest, "--database", "s_named", "--archive", tmp_path / "archive")
+    assert list((tmp_path / "archive").rglob("*.gz"))
+    job("build-sql", "--events", "s_named.events", "--database", "g_named", "--refill")
+    assert golden.rows(spark.table("g_named.product_views")) == {("p_1001", "electronics", 4)}
+    job("rebuild", "--table", "s_named.events", "--gold", gold, "--database", "g_other")
+    refresh = ("refresh", "--lake", silver, "--gold", gold, "--checkpoint", tmp_path / "gm")
+    job(*refresh, "--database", "g_other", "--sketches")
+    assert golden.rows(spark.table("g_other.product_views")) == {("p_1001", "electronics", 4)}
+    assert "|2025-12-01|4" in job("activity", "--gold", gold, "--checkpoint", tmp_path / "gm")
+    hours = ("hours", "--feed", feed, "--into", tmp_path / "hours", "--checkpoint", tmp_path / "hm")
+    assert "hours closed, 0 purchases too late" in job(*hours)
+
+
 def test_unknown_report_is_refused(spark):
     with pytest.raises(SystemExit):
         run(spark, ["report", "nothing", "--gold", "x"])
