@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickstrata.session import working_dir
+from clickstrata.sources.marks import remove
 
 # Words are runs of anything but ASCII white space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -26,7 +27,15 @@ def store(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = working_dir(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    stored = spark.read.schema(frame.schema).parquet(path)
+    stored.stored_in = path
+    return stored
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete stored tables that nothing will read any more."""
+    for frame in frames:
+        remove(frame.sparkSession, frame.stored_in)
 
 
 def computed(frame: DataFrame, **columns: Column) -> DataFrame:

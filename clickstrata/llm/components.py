@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickstrata.llm.common import store
+from clickstrata.llm.common import release, store
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -42,8 +42,16 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         after = store(small, "links")
-        if after.exceptAll(links).isEmpty() and links.exceptAll(after).isEmpty():
-            break
+        seen, before = _sum(after), _sum(links)
+        release(links)
         links = after
+        if seen == before:
+            break
     nodes = links.select(F.col("x").alias("node"), F.col("y").alias("component"))
     return nodes.unionAll(links.select("y", "y").toDF("node", "component").distinct())
+
+
+def _sum(links: DataFrame) -> tuple:
+    """The number of links and the sum of their hashes, which differ if the links do."""
+    parts = [F.sum(F.xxhash64("x", "y", F.lit(k)).cast("decimal(38,0)")) for k in (0, 1)]
+    return tuple(links.agg(F.count(F.lit(1)), *parts).first())

@@ -22,13 +22,13 @@ sets. Sets and elements are compared by 64-bit hashes.
 
 Defined results: a document without words, null or empty, has an empty set and is
 linked with nothing; rows with the same id are one document; rows with a null id are
-linked, but name no component; an empty table gives no rows. Other columns are not
+linked, but name no component (null, if nothing else is in it); an empty table gives no rows. Other columns are not
 read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import comb
 
@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickstrata.llm.common import store
+from clickstrata.llm.common import release, store
 from clickstrata.llm.components import components
 from clickstrata.llm.wordtable import Texts, mixed, shingles, texts_of, words_of
 
@@ -331,8 +331,8 @@ def candidates(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key long, x long, y long")
 
 
-def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """The fingerprint, the size, a summary and the elements of each set.
+def summaries(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """The fingerprint, the size and a summary of each set.
 
     The summary counts the elements by hash, up to 255 of each: two summaries differ in
     all by no more than the number of elements in which their sets differ.
@@ -351,6 +351,23 @@ def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
                         pa.array(sets.prints.view(np.int64)),
                         pa.array(sets.sizes.astype(np.int64)),
                         pa.array([row.tobytes() for row in counts], pa.binary()),
+                    ],
+                    ["print", "n", "summary"],
+                )
+
+    return _source(docs).mapInArrow(run, "print long, n long, summary binary")
+
+
+def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """The fingerprint and the elements of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in texts_of(batch):
+                sets = Sets(texts, rule)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(sets.prints.view(np.int64)),
                         pa.array(
                             [
                                 sets.hashes[a:b].tobytes()
@@ -359,11 +376,32 @@ def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
                             pa.binary(),
                         ),
                     ],
-                    ["print", "n", "summary", "elements"],
+                    ["print", "elements"],
                 )
 
-    schema = "print long, n long, summary binary, elements binary"
-    return _source(docs).mapInArrow(run, schema)
+    return _source(docs).mapInArrow(run, "print long, elements binary")
+
+
+class Sources:
+    """The documents that stand for the classes, by which sets are computed when needed."""
+
+    def __init__(self, docs: DataFrame, own: DataFrame, classes: DataFrame, rule: Rule):
+        self.docs, self.classes, self.rule = docs.select("doc_id", "text"), classes, rule
+        # Where ids repeat, or are null, an id may stand for several sets, or rows.
+        ids = own.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
+        self.unclear = not ids.isEmpty()
+
+    def sets(self, wanted: DataFrame, of: Callable[[DataFrame, Rule], DataFrame]) -> DataFrame:
+        """What ``of`` makes of the wanted prints, a row for each."""
+        wanted = wanted.select(F.col("print").alias("own")).distinct()
+        ids = wanted.join(self.classes, F.col("own") == F.col("print")).select("id")
+        same = F.col("doc_id") == F.col("id")
+        found = of(self.docs.join(ids, same, "left_semi"), self.rule)
+        if not self.unclear:
+            return found
+        found = found.unionAll(of(self.docs.where(F.col("doc_id").isNull()), self.rule))
+        found = found.join(wanted, F.col("print") == F.col("own"), "left_semi")
+        return found.dropDuplicates(["print"])
 
 
 def possible(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -403,11 +441,7 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
 
 
 def settled(
-    members: DataFrame,
-    named: DataFrame,
-    classes: DataFrame,
-    sets: DataFrame,
-    rule: Rule = RULE,
+    members: DataFrame, named: DataFrame, sources: Sources, rule: Rule = RULE
 ) -> DataFrame:
     """Links (x, y) between members of one long list that are in different components.
 
@@ -430,7 +464,7 @@ def settled(
         open_.select("x", "component")
         .distinct()
         .join(families, "x")
-        .join(classes.select(F.col("print").alias("x"), "n"), "x")
+        .join(sources.classes.select(F.col("print").alias("x"), "n"), "x")
     )
     order = Window.partitionBy("family").orderBy("component", "n", "x")
     load = F.sum(F.greatest("n", F.lit(BLOCK_ELEMENTS // BLOCK_SETS))).over(order)
@@ -445,9 +479,10 @@ def settled(
     )
     tasks = tasks.select("family", F.col("block").alias("one"), F.col("second").alias("two"))
     sides = tasks.withColumn("block", F.explode(F.array_distinct(F.array("one", "two"))))
+    sides = store(sides.join(people, ["family", "block"]), "sides")
+    sets = store(sources.sets(sides.select(F.col("x").alias("print")), whole_sets), "members_sets")
     rows = (
-        sides.join(people, ["family", "block"])
-        .join(sets.select(F.col("print").alias("x"), "elements"), "x")
+        sides.join(sets.select(F.col("print").alias("x"), "elements"), "x")
         .select("family", "one", "two", "block", "x", "component", "elements")
     )
     compared = lambda table: block_links(table, rule)
@@ -498,27 +533,29 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     pairs = store(near(found.where(F.col("y").isNotNull()).select("x", "y")), "pairs")
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
-    ids = pairs.select("x").unionAll(pairs.select("y")).unionAll(members.select("x")).distinct()
-    wanted = ids.join(classes, ids["x"] == classes["print"]).select(F.col("id").alias("doc_id"))
-    held = docs.select("doc_id", "text").join(wanted.distinct(), "doc_id", "left_semi")
-    sets = whole_sets(held, rule)
-    sets = store(sets.dropDuplicates(["print"]), "sets")
-    likely = store(possible(pairs, sets, rule), "likely")
+    sources = Sources(docs, own, classes, rule)
+    either = lambda links: links.select(F.explode(F.array("x", "y")).alias("print"))
+    known = store(sources.sets(either(pairs), summaries), "summaries")
+    likely = store(possible(pairs, known, rule), "likely")
+    release(known, pairs)
+    sets = store(sources.sets(either(likely), whole_sets), "sets")
     links = store(verified(likely, sets, rule), "similar")
+    release(sets, likely)
 
     if not members.isEmpty():
-        links = links.unionAll(settled(members, components(links), classes, sets, rule))
+        links = links.unionAll(settled(members, components(links), sources, rule))
 
-    by_print = classes.select("print", "id")
-    named = (
-        links.join(by_print.toDF("x", "from"), "x")
-        .join(by_print.toDF("y", "to"), "y")
-        .select(F.col("from").alias("x"), F.col("to").alias("y"))
-    )
-    groups = components(named.dropna())
-    final = classes.join(groups, classes["id"] == groups["node"], "left").select(
-        "print", F.coalesce("component", "id").alias("component_id")
+    # A component is named by the least id of its classes; a class of null ids has none.
+    groups = components(links).toDF("node", "group")
+    grouped = store(
+        classes.join(groups, classes["print"] == groups["node"], "left").select(
+            "print", "id", F.coalesce("group", "print").alias("group")
+        ),
+        "grouped",
     )
+    names = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
+    final = grouped.join(names, "group").select("print", "component_id")
+    release(found)
     return (
         full.join(final, "print")
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -160,6 +160,20 @@ def test_jaccard(spark, texts):
     assert kept.columns == frame(spark, []).columns
 
 
+def test_jaccard_links_through_a_null_id(spark):
+    words = [f"j{k}" for k in range(100)]
+    change = lambda *at: " ".join("changed" if k in at else w for k, w in enumerate(words))
+    # The first and the third are linked through the second only.
+    texts = [change(), change(20), change(20, 70)]
+    for ids in ([1, None, 3], [3, None, 1], [None, 1, 3], [None, None, None]):
+        rows = [*zip(ids, texts), (9, "something else"), (None, "something else"), (None, None)]
+        found = jaccard.linked(frame(spark, rows), jaccard.Rule(3, 9, 10)).collect()
+        least = min((i for i in ids if i is not None), default=None)
+        wanted = [(i, 98, least) for i in ids] + [(9, 1, 9), (None, 1, 9), (None, 0, None)]
+        assert Counter(map(tuple, found)) == Counter(wanted)
+    assert jaccard.representatives(frame(spark, [(1, texts[0]), (None, texts[1])])).count() == 2
+
+
 def test_jaccard_of_a_family_of_near_copies(spark):
     rng = random.Random(2)
     base = [f"b{i}" for i in range(200)]
