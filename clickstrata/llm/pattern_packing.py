@@ -58,7 +58,7 @@ def cut(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(tokenizer)
+        coder = WordIds(tokenizer, special=True)
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()
             for first, texts in slices(batch):

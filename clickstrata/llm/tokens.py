@@ -6,6 +6,7 @@ ids are those of its words in a row, and each distinct word is encoded once.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterable
@@ -54,10 +55,19 @@ class PartIds(dict):
             self.clear()
 
 
+# How a tokenizer must split for its words to be encoded one by one.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordIds(dict):
-    """Encodes texts to little-endian unsigned 32-bit ids; remembers the ids of words."""
+    """Encodes texts to little-endian unsigned 32-bit ids; remembers the ids of words.
+
+    ``special``: whether the strings of special tokens in a text give those tokens' ids, as
+    the tokenizer does by itself, or are ordinary text. A tokenizer with other rules for
+    words is refused.
+    """
 
-    def __init__(self, tokenizer: str | None = None):
+    def __init__(self, tokenizer: str | None = None, special: bool = False):
         from tokenizers import Tokenizer
 
         if tokenizer is None:
@@ -65,13 +75,20 @@ class WordIds(dict):
 
             tokenizer = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        # The strings of special tokens are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        split = (json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        if split[0].get("pattern") != {"Regex": WORD_PATTERN}:
+            raise ValueError("this tokenizer does not drop white space between words")
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content for token in added] if special else []
         self.parts = PartIds(self.tokenizer.model)
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if text.isascii() and text.isprintable() or SIMPLE.fullmatch(text):
+        if any(token in text for token in self.special):
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = array("I", found).tobytes()
+        elif text.isascii() and text.isprintable() or SIMPLE.fullmatch(text):
             ids = b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
         else:
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
