@@ -2,7 +2,11 @@
 
 A record's virtual slot is a hash of its id and text into a few thousand slots
 and never changes. Bytes are summed per slot; a stored, versioned map says which
-shard each slot is in. Rebalancing edits the map and moves whole slots only.
+shard each slot is in. Rebalancing edits the map and moves whole slots only: a call
+with a folder that holds a map edits its latest version and stores the next one.
+
+Copies of a text are spread like other records, which keeps the bytes of shards near
+equal even where a third of all rows are copies; this method keeps no groups together.
 
 Defined results: a null text has 0 bytes, and the checksum of an empty one; a
 null id is hashed like any other value; repeated rows share a slot; an empty
@@ -18,7 +22,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickstrata.llm.common import text_of
-from clickstrata.session import working_dir
+from clickstrata.session import path_exists, working_dir
 
 VIRTUAL_SLOTS = 8192
 ROW_OVERHEAD = 16
@@ -62,22 +66,30 @@ def rebalanced(current: list[int], sizes: list[int], shards: int, slack: float =
     """An edit of the map for new sizes or more shards: few slots move, from heavy to light.
 
     Slots leave the heaviest shard for the lightest until no move narrows the
-    gap or all shards are within ``slack`` of the mean. Only moved slots change.
+    gap or all shards are within ``slack`` of the mean. Only moved slots change. With
+    shards the map does not know yet, slots move into these only.
     """
     edited = list(current)
+    known = max(current, default=-1) + 1
+    into = range(known, shards) if known < shards else range(shards)
     held: list[list[tuple[int, int]]] = [[] for _ in range(shards)]
     for slot, shard in enumerate(edited):
         held[shard].append((max(sizes[slot], 1), slot))
     load = [sum(size for size, _ in own) for own in held]
     mean = sum(load) / shards
     for _ in range(len(sizes)):
-        heavy = max(range(shards), key=lambda s: (load[s], -s))
-        light = min(range(shards), key=lambda s: (load[s], s))
-        gap = load[heavy] - load[light]
-        if load[heavy] <= mean * (1 + slack) and load[light] >= mean * (1 - slack):
+        light = min(into, key=lambda s: (load[s], s))
+        by_load = sorted(range(shards), key=lambda s: (-load[s], s))
+        even = known < shards or load[by_load[0]] <= mean * (1 + slack)
+        if even and load[light] >= mean * (1 - slack):
             break
-        fits = [entry for entry in held[heavy] if entry[0] < gap]
-        if not fits:
+        # The heaviest shard that has a slot whose move narrows the gap.
+        for heavy in by_load:
+            gap = load[heavy] - load[light]
+            fits = [entry for entry in held[heavy] if entry[0] < gap]
+            if fits:
+                break
+        else:
             break
         wanted = min(load[heavy] - mean, mean - load[light])
         size, slot = min(fits, key=lambda entry: (abs(entry[0] - max(wanted, 1)), entry[1]))
@@ -113,8 +125,10 @@ def map_frame(
 
 
 def store_map(slot_map: DataFrame, folder: str) -> None:
-    """Add a version to the stored map; earlier versions stay."""
-    slot_map.coalesce(1).write.mode("append").partitionBy("version").parquet(folder)
+    """Add a version to the stored map; earlier versions stay, and are not written again."""
+    version = slot_map.first()["version"]
+    place = f"{folder}/version={version}"
+    slot_map.coalesce(1).drop("version").write.mode("errorifexists").parquet(place)
 
 
 def read_map(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
@@ -145,11 +159,24 @@ def place(records: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int, folder: str | None = None) -> DataFrame:
-    """Deal the documents out; the first version of the map is kept in ``folder``."""
+    """Deal the documents out by the next version of the map in ``folder``, the first if it has none.
+
+    The next version is an edit of the latest for the documents' sizes and the number of
+    shards, which may have grown. Fewer shards than the map has are refused.
+    """
     spark = docs.sparkSession
     records = sized(docs)
     loads = slot_loads(records)
-    placed = first_map([size for size, _ in loads], shards)
+    sizes, rows = [size for size, _ in loads], [count for _, count in loads]
     folder = folder or working_dir(spark, "slot_map")
-    store_map(map_frame(spark, placed, [rows for _, rows in loads]), folder)
-    return place(records, read_map(spark, folder, 1))
+    version, placed = 1, None
+    if path_exists(spark, folder):
+        latest = read_map(spark, folder).orderBy("virtual_slot").collect()
+        version, current = latest[0]["version"] + 1, [row["shard"] for row in latest]
+        if max(current) >= shards:
+            raise ValueError(f"the map in {folder} has more than {shards} shards")
+        placed = rebalanced(current, sizes, shards)
+    if placed is None:
+        placed = first_map(sizes, shards)
+    store_map(map_frame(spark, placed, rows, version), folder)
+    return place(records, read_map(spark, folder, version))
