@@ -6,21 +6,32 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
+# A quote means something only after an equals sign.
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']?))*+)>|"
+    r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Elements whose content is no text of the page.
-RAW = frozenset("script style title noscript template textarea iframe svg math object".split())
+RAW = frozenset("script style title noscript template textarea iframe svg".split())
+# A drawing ends with its tag, or where an element begins that none can hold.
+DRAWING_END = re.compile(
+    r"</svg\b[^>]*>|(?=</?(?:p|br)\b|<(?:blockquote|body|dd|div|dl|dt|h[1-6]|hr|img|li|ol|pre|"
+    r"span|strong|table|ul)\b)",
+    re.I,
+)
+# Elements whose names say nothing of where a block is.
+WHOLE = frozenset("html body main article".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 # Elements that do not end a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s "
-    "samp small span strike strong sub sup time tt u var wbr input".split()
+    "samp small span strike strong sub sup time tt u var wbr input svg math mi mn mo ms mtext mrow "
+    "mfrac msup msub msubsup msqrt mroot mover munder mstyle semantics object".split()
 )
 # What an opening element ends, if it is open: the elements that hold only its like.
 ENDS = {
@@ -53,7 +64,7 @@ class Block:
 def names_of(tag: str, attributes: str) -> tuple[str, ...]:
     """The tag, and its class, id and role words: tag, .word, #word, =word."""
     names = [tag]
-    if "=" in attributes:
+    if "=" in attributes and tag not in WHOLE:
         for key, *values in NAMED.findall(attributes):
             sign = {"class": ".", "id": "#", "role": "="}[key.lower()]
             names += [sign + word.lower() for word in "".join(values).split()]
@@ -94,6 +105,11 @@ def blocks(page: str) -> list[Block]:
         tag = (match[2] or match[5] or "").lower()
         if not tag:
             continue
+        if not ending and tag == "svg":
+            if not (match[3] or "").endswith("/"):
+                end = DRAWING_END.search(page, at)
+                at = end.end() if end else at
+            continue
         if not ending and tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)

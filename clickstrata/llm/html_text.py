@@ -39,7 +39,7 @@ AT_ONCE = 1 << 20
 
 # Elements and names that mark what is no main text, and what is.
 OTHER_TAGS = frozenset(
-    "nav header footer aside form button menu dialog select fieldset head figcaption".split()
+    "nav header footer aside form button menu dialog select fieldset head".split()
 )
 OTHER_NAMES = re.compile(
     r"^[.#=](.*[-_])?(ad|ads|adv|advert|advertisement|banner|breadcrumbs?|comments?|contentinfo|"
@@ -146,11 +146,16 @@ def fit(pages: list[str]) -> BiLstm | None:
 
 
 def train(pages: DataFrame) -> BiLstm | None:
-    """Fit on a bounded sample of the pages."""
+    """Fit on a bounded sample of the different pages, drawn by their hashes.
+
+    The hashes are drawn first, so that only the sample's pages leave the tasks.
+    """
     html = F.col("html").cast("string")
-    drawn = pages.select(html.alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
-    drawn = drawn.select(F.xxhash64("html").alias("draw"), "html").orderBy("draw", "html")
-    return fit([row.html for row in drawn.limit(SAMPLE_PAGES).collect()])
+    own = pages.select(html.alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
+    own = own.select(F.xxhash64("html").alias("draw"), "html")
+    draws = [row.draw for row in own.select("draw").distinct().orderBy("draw").limit(SAMPLE_PAGES).collect()]
+    drawn = own.where(F.col("draw").isin(draws)).groupBy("draw").agg(F.min("html").alias("html"))
+    return fit([row.html for row in drawn.orderBy("draw").collect()])
 
 
 def texts(network: BiLstm | None, pages: list[str]) -> list[str]:

@@ -399,6 +399,38 @@ def test_map_versions(spark, tmp_path):
     assert sharding.read_map(spark, str(tmp_path / "m"), 1).first().shard == 1
 
 
+def test_sharding_again_edits_the_map(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    folder = str(tmp_path / "map")
+    dealt = []
+    for shards in (40, 40, 41):
+        rows = sharding.shard(docs, shards, folder).collect()
+        assert len(rows) == docs.count()
+        assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
+        places = defaultdict(list)
+        for r in rows:
+            places[r.shard].append(r.slot)
+        assert all(sorted(own) == list(range(len(own))) for own in places.values())
+        dealt.append({r.doc_id: r.shard for r in rows})
+    assert sharding.read_map(spark, folder).first().version == 3
+    moved = {i for i in dealt[0] if dealt[1][i] != dealt[2][i]}
+    assert moved and {dealt[2][i] for i in moved} == {40}
+    with pytest.raises(Exception, match="exists"):
+        sharding.store_map(sharding.map_frame(spark, [0], [0], 3), folder)
+    with pytest.raises(ValueError, match="more than 40"):
+        sharding.shard(docs, 40, folder)
+
+
+def test_shards_have_near_equal_bytes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hot = docs.where("doc_id < 500").withColumn("text", F.lit("the same text " * 30))
+    rows = sharding.shard(docs.unionAll(hot), 40).groupBy("shard").agg(F.sum("size"))
+    sizes = [r[1] for r in rows.collect()]
+    assert len(sizes) == 40
+    # A document is at most 34 KB here.
+    assert max(sizes) - min(sizes) <= 34_000
+
+
 def test_token_ids_are_the_tokenizers(texts):
     coder = tokens.WordIds()
     rng = random.Random(3)
@@ -409,6 +441,29 @@ def test_token_ids_are_the_tokenizers(texts):
         assert np.frombuffer(ids, "<u4").tolist() == wanted
 
 
+def test_special_strings_and_other_tokenizers():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    untouched = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = ["<|endoftext|>", "a<|endoftext|>b <|startoftext|> c", "<|ENDOFTEXT|>", "<|endo ftext|>",
+            "é<|endoftext|>é it<|endoftext|>'s", "<|endoftext|<|endoftext|>|>"]
+    for text, ids in zip(rows, tokens.WordIds(special=True).encode(rows)):
+        wanted = untouched.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == wanted
+    plain = np.frombuffer(tokens.WordIds().encode(rows[:1])[0], "<u4")
+    assert 49407 not in plain and len(plain) > 1
+    with pytest.raises(ValueError, match="white space"):
+        tokens.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_packing_gives_the_tokenizers_ids(spark):
+    rows = [(1, "x <|endoftext|> y"), (2, "<|endoftext|>"), (3, None)]
+    found = {r.doc_id: r for r in pattern_packing.pack(frame(spark, rows)).collect()}
+    assert [found[i].length for i in (1, 2, 3)] == [4, 2, 1]
+    assert found[2].ids_crc32 == zlib.crc32(np.array([49407, 1], "<u4").tobytes())
+
+
 def all_ids(texts, end):
     coder = tokens.WordIds()
     return [
@@ -493,6 +548,64 @@ def test_blocks():
         html_blocks.blocks(odd)
 
 
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        ('<p>One.</p><p>See <svg class="i" /> this</p><p>Two three.</p>',
+         ["One.", "See this", "Two three."]),
+        ('<p>One <svg class="i"><path d="M0 0"/><title>Icon</title></svg>two</p>', ["One two"]),
+        ("<p>One <svg class=i>two</p><p>Three <svg><text>no</text></svg>four</p>",
+         ["One", "Three four"]),
+        ("<p title=it's>One</p><p>Don't</p>", ["One", "Don't"]),
+        ("<p title='a>b' class=\"c>d\" 'odd\">One</p><p>Two</p>", ["One", "Two"]),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p>", ["Let x=2 be"]),
+        ("<p>See <object data=x.pdf>the file</object>.</p>", ["See the file."]),
+        ("<figure><img src=x><figcaption>A caption</figcaption></figure><p>One",
+         ["A caption", "One"]),
+    ],
+)
+def test_html_blocks_lose_no_text(page, wanted):
+    assert [b.clean for b in html_blocks.blocks(page)] == wanted
+
+
+def test_captions_and_names_of_the_whole_page():
+    page = '<body class="no-sidebar has-footer"><article class="post search"><p>One two</p>'
+    page += "<figure><figcaption>A caption</figcaption></figure></article><footer>me</footer></body>"
+    assert html_text.looked_at(html_blocks.blocks(page)).tolist() == [1, 1, 0]
+
+
+def test_html_sample_is_of_different_pages(spark, monkeypatch):
+    pages = [f"<article><p>{k} text</p></article>" for k in range(5)]
+    rows = [(k, "u", pages[0] if k < 50 else pages[k % 5]) for k in range(60)]
+    seen = []
+    monkeypatch.setattr(html_text, "fit", seen.extend)
+    html_text.train(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted(seen) == pages
+
+
+def test_slopes_of_the_network_are_its_gradient():
+    from clickstrata.llm.lstm import Batch, BiLstm
+
+    rng = np.random.default_rng(1)
+    network = BiLstm(3, 2)
+    batch = Batch.of([rng.normal(size=(n, 3)) for n in (4, 1, 2)])
+    labels = rng.integers(0, 2, 7).astype(float)
+
+    def loss():
+        p = network.probabilities(batch)
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    for name, slope in network.slopes(batch, labels).items():
+        weights = network.weights[name]
+        for at in np.ndindex(weights.shape):
+            before = weights[at]
+            weights[at] = before + 1e-6
+            high = loss()
+            weights[at] = before - 1e-6
+            assert slope[at] == pytest.approx((high - loss()) / 2e-6, abs=1e-7)
+            weights[at] = before
+
+
 def test_html_text(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     network = html_text.train(pages)
