@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clickstrata.llm.bloom import Bloom, bloom
 from clickstrata.llm.common import shared, store
 from clickstrata.llm.hat_trie import WORD_BITS, WORD_MASK, Node
 from clickstrata.llm.wordtable import LOWERED, hashes, mixed, texts_of
@@ -49,8 +50,6 @@ KEPT_ENTRIES = 500_000
 MOST_WORDS = 500_000
 # Bytes of text counted at once.
 AT_ONCE = 4 << 20
-# A filter has up to this many bits (16 MB), and 16 for each frequent phrase if it can.
-MOST_BITS = 1 << 27
 # Prefixes are dealt to this many parts each.
 SPREAD = 64
 # Rows of a batch given back.
@@ -62,47 +61,10 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(b" \t")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EXACT = "decimal(38,0)"
-_BUCKET = 32768
 
 _COUNTED = "prefix long, lang string, phrase string, code long, count long"
 
 
-class Bloom:
-    """Bits of the codes of frequent phrases; two bits for each."""
-
-    def __init__(self, bits: int, set_bytes: np.ndarray):
-        self.bits, self.set_bytes = np.uint64(bits), set_bytes
-
-    def has(self, codes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(codes), dtype=bool)
-        for shift in (0, 31):
-            at = (codes >> np.uint64(shift)) & (self.bits - np.uint64(1))
-            byte = self.set_bytes[(at >> np.uint64(3)).astype(np.int64)]
-            out &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-        return out
-
-
-def bloom(frequent: DataFrame) -> Bloom:
-    """The filter of a table's codes, put together from parts of 32768 bits."""
-    rows, bits = frequent.count(), _BUCKET
-    while bits < min(16 * rows, MOST_BITS):
-        bits *= 2
-    places = frequent.select(
-        F.explode(
-            F.array(*[F.expr(f"shiftrightunsigned(code, {s}) & {bits - 1}") for s in (0, 31)])
-        ).alias("at")
-    )
-    parts = places.groupBy(F.expr("bitmap_bucket_number(at + 1) - 1").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("part")
-    )
-    filled = np.zeros(bits // 8, dtype=np.uint8)
-    # At most MOST_BITS / 32768 rows of 4 KB, whatever the table.
-    for row in parts.collect():
-        at = row["bucket"] * (_BUCKET // 8)
-        filled[at : at + _BUCKET // 8] = np.frombuffer(row["part"], dtype=np.uint8)
-    return Bloom(bits, filled)
-
-
 class Vocabulary:
     """Ids of the words a task has met, by language, with their hashes; 0 is a word left out."""
 

@@ -7,9 +7,10 @@ and 0.9 unless said).
 Two linked sets of sizes m and n share at least 9 (m + n) / 19 elements at 0.9. Small sets
 enumerate their subsets of just that size for each size a partner can have: a common
 subset is a link. For larger sets there are too many. They go into inverted lists:
-sets of similar size are cut by hash into one part more than linked sets can have
-differences, so linked sets agree on some part; a list holds the sets with the same
-part. (Lists of single elements would hold every document with a common passage.)
+sets of similar size are cut by hash into more parts than linked sets can have
+differences, so linked sets agree on some parts; a list holds the sets with the same
+part. There are as many parts more as may be empty, so that empty ones need no list, but
+for sets that have still more of them. (Lists of single elements would hold every document with a common passage.)
 The boundary between the two is where the keys of the corpus, counted by set size,
 cost least.
 
@@ -30,13 +31,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import comb
+from math import ceil, comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickstrata.llm.common import release, store
+from clickstrata.llm.bloom import Bloom, bloom
+from clickstrata.llm.common import release, shared, store
 from clickstrata.llm.components import components
 from clickstrata.llm.wordtable import Texts, mixed, shingles, texts_of, words_of
 
@@ -46,7 +48,7 @@ LIST_COST = 8
 # The sizes up to which subsets are thought of.
 MOST_LIGHT = 40
 # Lists up to this long give all their pairs.
-SHORT_LIST = 4
+SHORT_LIST = 16
 # A block of a family of lists: elements, and sets.
 BLOCK_ELEMENTS = 1 << 18
 BLOCK_SETS = 512
@@ -80,16 +82,25 @@ RULE = Rule()
 
 
 class Classes:
-    """Size classes such that linked sets are in the same or in neighbouring ones."""
+    """Size classes such that linked sets are in the same or in neighbouring ones.
+
+    Linked sets of a class and of the one before agree on more than ``spare`` of its parts.
+    """
 
     def __init__(self, largest: int, rule: Rule = RULE):
-        self.low, self.parts = [1], []
-        while self.low[-1] <= largest + 1:
+        self.low, self.parts, self.spare = [1], [], []
+        before = 1
+        while True:
             high = self.low[-1] * rule.base // rule.top
-            # For linked sets of this class and the one before.
-            self.parts.append(rule.parts(high))
+            needed = rule.parts(high)
+            # About as many parts of the smallest set here are empty, and three deviations.
+            empty = needed * exp(-before / needed)
+            self.spare.append(ceil(empty + 3 * sqrt(empty)))
+            self.parts.append(needed + self.spare[-1])
+            if self.low[-1] > largest + 1:
+                break
+            before = self.low[-1]
             self.low.append(high + 1)
-        self.parts.append(rule.parts(self.low[-1] * rule.base // rule.top))
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(np.array(self.low), sizes, side="right") - 1
@@ -178,7 +189,7 @@ def list_keys(
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     classes = Classes(int(sets.sizes.max()) + 1, rule)
     own_class = classes.of(sets.sizes)
-    parts_of = np.array(classes.parts)
+    parts_of, spare_of = np.array(classes.parts), np.array(classes.spare)
     chosen = np.zeros(len(sets.sizes), dtype=bool)
     chosen[rows] = True
     inside = chosen[sets.rows]
@@ -198,8 +209,11 @@ def list_keys(
         row = np.repeat(np.arange(len(parts)), parts)
         number = (np.arange(n) - begin[row]).astype(np.uint64)
         tag = mixed((own_class[row] + step).astype(np.uint64) << np.uint64(32) | number)
-        out_rows.append(row)
-        out_keys.append(mixed(total ^ tag))
+        filled = np.bincount(at, minlength=n) > 0
+        empty = np.bincount(row, ~filled, len(parts))
+        needed = filled | (empty[row] > spare_of[own_class[row] + step])
+        out_rows.append(row[needed])
+        out_keys.append(mixed(total ^ tag)[needed])
     return np.concatenate(out_rows), np.concatenate(out_keys)
 
 
@@ -358,11 +372,15 @@ def summaries(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     return _source(docs).mapInArrow(run, "print long, n long, summary binary")
 
 
-def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """The fingerprint and the elements of each set."""
+def whole_sets(docs: DataFrame, wanted: Bloom, rule: Rule = RULE) -> DataFrame:
+    """The fingerprint and the elements of the sets of some documents, by hash of their ids."""
+    held = shared(docs.sparkSession, wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = held()
         for batch in batches:
+            code = batch.column("code").to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(wanted.has(code)))
             for texts in texts_of(batch):
                 sets = Sets(texts, rule)
                 yield pa.RecordBatch.from_arrays(
@@ -379,29 +397,25 @@ def whole_sets(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
                     ["print", "elements"],
                 )
 
-    return _source(docs).mapInArrow(run, "print long, elements binary")
+    coded = _source(docs).select(F.xxhash64("doc_id").alias("code"), "text")
+    return coded.mapInArrow(run, "print long, elements binary")
 
 
 class Sources:
     """The documents that stand for the classes, by which sets are computed when needed."""
 
-    def __init__(self, docs: DataFrame, own: DataFrame, classes: DataFrame, rule: Rule):
-        self.docs, self.classes, self.rule = docs.select("doc_id", "text"), classes, rule
-        # Where ids repeat, or are null, an id may stand for several sets, or rows.
-        ids = own.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
-        self.unclear = not ids.isEmpty()
+    def __init__(self, docs: DataFrame, classes: DataFrame, rule: Rule):
+        self.docs, self.classes, self.rule = docs, classes, rule
 
-    def sets(self, wanted: DataFrame, of: Callable[[DataFrame, Rule], DataFrame]) -> DataFrame:
-        """What ``of`` makes of the wanted prints, a row for each."""
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """The elements of the wanted prints, a row for each, and perhaps of some more.
+
+        Tasks pick the documents by a filter of bounded size; no text is shuffled.
+        """
         wanted = wanted.select(F.col("print").alias("own")).distinct()
-        ids = wanted.join(self.classes, F.col("own") == F.col("print")).select("id")
-        same = F.col("doc_id") == F.col("id")
-        found = of(self.docs.join(ids, same, "left_semi"), self.rule)
-        if not self.unclear:
-            return found
-        found = found.unionAll(of(self.docs.where(F.col("doc_id").isNull()), self.rule))
-        found = found.join(wanted, F.col("print") == F.col("own"), "left_semi")
-        return found.dropDuplicates(["print"])
+        ids = wanted.join(self.classes, F.col("own") == F.col("print"))
+        codes = bloom(ids.select(F.xxhash64("id").alias("code")))
+        return whole_sets(self.docs, codes, self.rule).dropDuplicates(["print"])
 
 
 def possible(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -480,7 +494,7 @@ def settled(
     tasks = tasks.select("family", F.col("block").alias("one"), F.col("second").alias("two"))
     sides = tasks.withColumn("block", F.explode(F.array_distinct(F.array("one", "two"))))
     sides = store(sides.join(people, ["family", "block"]), "sides")
-    sets = store(sources.sets(sides.select(F.col("x").alias("print")), whole_sets), "members_sets")
+    sets = sources.sets(sides.select(F.col("x").alias("print")))
     rows = (
         sides.join(sets.select(F.col("print").alias("x"), "elements"), "x")
         .select("family", "one", "two", "block", "x", "component", "elements")
@@ -533,14 +547,11 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     pairs = store(near(found.where(F.col("y").isNotNull()).select("x", "y")), "pairs")
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
-    sources = Sources(docs, own, classes, rule)
-    either = lambda links: links.select(F.explode(F.array("x", "y")).alias("print"))
-    known = store(sources.sets(either(pairs), summaries), "summaries")
+    sources = Sources(docs, classes, rule)
+    known = store(summaries(docs, rule).dropDuplicates(["print"]), "summaries")
     likely = store(possible(pairs, known, rule), "likely")
     release(known, pairs)
-    sets = store(sources.sets(either(likely), whole_sets), "sets")
-    links = store(verified(likely, sets, rule), "similar")
-    release(sets, likely)
+    links = similar(likely, sources, rule)
 
     if not members.isEmpty():
         links = links.unionAll(settled(members, components(links), sources, rule))
@@ -565,6 +576,24 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     )
 
 
+def similar(likely: DataFrame, sources: Sources, rule: Rule = RULE) -> DataFrame:
+    """Links (x, y) among the likely pairs (x < y): all that join different components.
+
+    Each y is compared with its least x first, which joins most members of a group of
+    near copies; of the other pairs only those between different components are left.
+    """
+    first = store(likely.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "first")
+    sets = store(sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print"))), "sets")
+    found = store(verified(first, sets, rule), "similar")
+    named = components(found)
+    at = lambda side: named.toDF(side, f"{side}_in")
+    rest = likely.join(first, ["x", "y"], "left_anti").join(at("x"), "x", "left").join(at("y"), "y", "left")
+    apart = F.coalesce("x_in", "x") != F.coalesce("y_in", "y")
+    more = store(verified(rest.where(apart).select("x", "y"), sets, rule), "similar")
+    release(sets, first)
+    return found.unionAll(more)
+
+
 def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Distinct pairs, smaller first, whose sizes allow a link."""
     size = classes.select("print", "n")
