@@ -131,7 +131,6 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
                 if args.refill:
                     gold_sql.refill_table(spark, name, args.events, args.database)
         case "ingest":
-            archive = {"cleanSource": "archive", "sourceArchiveDir": args.archive}
             result = run_ingest(
                 spark,
                 args.feed,
@@ -140,7 +139,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
                 args.cutoff or None,
                 args.files_per_batch,
                 args.database,
-                **(archive if args.archive else {}),
+                args.archive,
             )
             print(f"{result.lines} lines read, {result.accepted} accepted, {result.refused} refused"
                   if result.lines else "no new data")

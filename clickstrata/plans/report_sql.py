@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickstrata.operators.reports import FUNNEL_ROWS, TOP_PRODUCTS
 from clickstrata.sources.catalog import identifier
 
 # Report: the gold table it reads, and the query.
 QUERIES = {
     "conversion_funnel": (
         "conversion_funnel",
-        """
+        f"""
         SELECT product_id, category, views, add_to_cart, purchases,
-               round(100 * view_to_cart_rate, 2) AS view_to_cart_pct,
-               round(100 * cart_to_purchase_rate, 2) AS cart_to_purchase_pct,
-               round(100 * view_to_purchase_rate, 2) AS view_to_purchase_pct
-        FROM {table}
+               round(view_to_cart_rate * 100, 2) AS view_to_cart_pct,
+               round(cart_to_purchase_rate * 100, 2) AS cart_to_purchase_pct,
+               round(view_to_purchase_rate * 100, 2) AS view_to_purchase_pct
+        FROM {{table}}
         WHERE views > 0
         ORDER BY purchases DESC, views DESC, product_id, category
-        LIMIT 20
+        LIMIT {FUNNEL_ROWS}
         """,
     ),
     "hourly_revenue": (
@@ -32,11 +33,11 @@ QUERIES = {
     ),
     "top_products": (
         "product_views",
-        """
+        f"""
         SELECT product_id, category, view_count
-        FROM {table}
+        FROM {{table}}
         ORDER BY view_count DESC, product_id, category
-        LIMIT 10
+        LIMIT {TOP_PRODUCTS}
         """,
     ),
     "category_performance": (

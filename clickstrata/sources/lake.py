@@ -8,6 +8,8 @@ a batch or nothing, and there is no list of files to read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clickstrata.schemas import (
@@ -31,13 +33,17 @@ def committed(spark: SparkSession, lake: str) -> int:
     return last_mark(spark, f"{lake}/_committed")
 
 
-def write_batch(rows: DataFrame, lake: str, number: int) -> bool:
+def write_batch(
+    rows: DataFrame, lake: str, number: int, before_it_counts: Callable[[], None] | None = None
+) -> bool:
     """Store a batch and count it as finished; False if it was already."""
     spark = rows.sparkSession
     if number <= committed(spark, lake):
         return False
     writer = rows.write.mode("overwrite").partitionBy(ZONE, *DAY_KEYS)
     writer.option("compression", CODEC).parquet(f"{lake}/{BATCH}={number}")
+    if before_it_counts:
+        before_it_counts()
     set_mark(spark, f"{lake}/_committed", number)
     return True
 

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """A path and the file system it is on."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _numbers(spark: SparkSession, folder: str) -> list[int]:
-    path, files = _files(spark, folder)
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What is in a folder, but for hidden files; nothing if there is none."""
+    path, files = file_system(spark, folder)
     if not files.exists(path):
         return []
-    names = [entry.getPath().getName() for entry in files.listStatus(path)]
-    return sorted(int(name) for name in names if name.isdigit())
+    found = [entry.getPath().getName() for entry in files.listStatus(path)]
+    return [name for name in found if name[0] not in "._"]
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(int(name) for name in names(spark, folder) if name.isdigit())
 
 
 def last_mark(spark: SparkSession, folder: str) -> int:
@@ -26,7 +31,7 @@ def last_mark(spark: SparkSession, folder: str) -> int:
 
 def set_mark(spark: SparkSession, folder: str, number: int) -> None:
     """Set a number and take away lower ones, so a folder holds a file or two."""
-    path, files = _files(spark, f"{folder}/{number}")
+    path, files = file_system(spark, f"{folder}/{number}")
     files.create(path, True).close()
     for lower in _numbers(spark, folder):
         if lower < number:
@@ -35,14 +40,11 @@ def set_mark(spark: SparkSession, folder: str, number: int) -> None:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder that nothing refers to any more."""
-    hadoop_path, files = _files(spark, path)
+    hadoop_path, files = file_system(spark, path)
     files.delete(hadoop_path, True)
 
 
 def children(spark: SparkSession, folder: str, key: str) -> list[int]:
     """The numbers n of the folders ``key=n`` in a folder."""
-    path, files = _files(spark, folder)
-    if not files.exists(path):
-        return []
-    names = [entry.getPath().getName() for entry in files.listStatus(path)]
-    return sorted(int(name.removeprefix(f"{key}=")) for name in names if name.startswith(f"{key}="))
+    found = names(spark, folder)
+    return sorted(int(name.removeprefix(f"{key}=")) for name in found if name.startswith(f"{key}="))

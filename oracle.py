@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from clickstrata.schemas import CATEGORIES, SEARCH_PHRASES
+
 # The bronze feed derived from the events table, then clean events and gold tables.
-_FEED = """
+_FEED = f"""
 raw AS (
     SELECT event_id, ts, user_id, value,
            ts + CASE WHEN event_id % 4 = 3 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END
@@ -33,11 +35,10 @@ arrivals AS (
                      AND event_id % 89 <> 7
                 THEN value END AS price,
            CASE WHEN kind <> 'search'
-                THEN ['electronics', 'clothing', 'home', 'books', 'sports', 'toys'][k % 6 + 1]
+                THEN {list(CATEGORIES)}[k % 6 + 1]
            END AS category,
            CASE WHEN kind = 'search'
-                THEN ['wireless headphones', 'running shoes', 'coffee maker', 'python books',
-                      'yoga mat', 'laptop stand', 'winter jacket', 'desk lamp'][event_id % 8 + 1]
+                THEN {list(SEARCH_PHRASES)}[event_id % 8 + 1]
            END AS search_query,
            CASE WHEN event_id % 101 = 50 THEN '2023' ELSE strftime(arrived, '%Y') END AS "year",
            strftime(arrived, '%m') AS "month", strftime(arrived, '%d') AS "day",

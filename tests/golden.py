@@ -8,9 +8,11 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from clickstrata.operators import daily
+from clickstrata.schemas import EVENT_FIELDS
 
-FIELDS = ("timestamp", "user_id", "session_id", "event_type", "product_id", "category",
-          "quantity", "price", "search_query")
+# The feed's fields, the category moved to its product, which is how ``event`` is called.
+FIELDS = [name for name in EVENT_FIELDS.names if name != "category"]
+FIELDS.insert(FIELDS.index("product_id") + 1, "category")
 
 DEC4 = "year=2025/month=12/day=04/hour=09/minute=00"
 DEC4_LATE = "year=2025/month=12/day=04/hour=23/minute=55"

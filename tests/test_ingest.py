@@ -1,5 +1,6 @@
 """Incremental ingest and gold refresh: reruns, late files, crashes, resets."""
 
+import os
 import re
 import shutil
 import threading
@@ -16,6 +17,7 @@ from clickstrata.plans.build_gold import build_gold
 from clickstrata.schemas import GOLD, QUARANTINE_ZONE, SILVER, SILVER_ZONE
 from clickstrata.session import partitions_for
 from clickstrata.sources import bronze, catalog, gold_store, lake, sample_events
+from clickstrata.streaming.archive import Archive
 from clickstrata.streaming.ingest import IngestResult, run_ingest
 from clickstrata.streaming.refresh import run_compaction, run_refresh, touched_days
 from tests import golden
@@ -174,6 +176,76 @@ def test_finished_files_can_be_archived(pipe, tmp_path):
     assert list(archive.rglob("*.gz")) and pipe.silver().count() == 9
 
 
+def source_state(marks):
+    """Files of all logs of the stream."""
+    return [p for p in Path(marks).rglob("*") if p.is_file() and "offsets" in str(p) or "sources" in str(p)]
+
+
+def test_listing_and_state_do_not_grow_with_an_archive(pipe, tmp_path):
+    archive = str(tmp_path / "archive")
+    event, sizes = golden.LINES[golden.DEC4][0], []
+    golden.write_file(pipe.feed, golden.OLD, golden.LINES[golden.OLD])
+    for minute in range(12):
+        slot = f"year=2025/month=12/day=04/hour={minute:02d}/minute=00"
+        golden.write_file(pipe.feed, slot, [event, "{bad json"])
+        assert pipe.ingest(archive=archive) == IngestResult(2, 1)
+        sizes.append((len(list(Path(pipe.feed).rglob("*"))), len(source_state(pipe.marks))))
+    assert len(set(sizes)) == 1
+    # An old folder and an old time: it is new all the same.
+    golden.write_file(pipe.feed, "year=2025/month=01/day=01/hour=00/minute=05", [event])
+    late = Path(pipe.feed) / "year=2025/month=01/day=01/hour=00/minute=05/events.jsonl.gz"
+    os.utime(late, (10**9, 10**9))
+    assert pipe.ingest(archive=archive).lines == 1
+    assert pipe.ingest(archive=archive).lines == 0
+    assert pipe.silver().count() == 13
+    assert len(list(Path(archive).rglob("*.gz"))) == 13
+    assert [str(p.relative_to(pipe.feed)) for p in Path(pipe.feed).rglob("*.gz")] == [
+        f"{golden.OLD}/events.jsonl.gz"
+    ]
+    pipe.refresh()
+    assert pipe.tables()["product_views"] == {(*golden.E1, 13)}
+
+
+@pytest.mark.parametrize("step", ["note", "set_mark", "commit", "_move"])
+def test_archive_after_a_crash(pipe, tmp_path, monkeypatch, step):
+    archive = str(tmp_path / "archive")
+    golden.write_feed(pipe.feed, FIRST)
+    pipe.ingest(archive=archive)
+    golden.write_feed(pipe.feed, (golden.DEC4_LATE, golden.DEC5))
+
+    def dies(*arguments):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if step == "set_mark":
+            patch.setattr(lake, "set_mark", dies)
+        elif step == "commit":
+            # It died after the batch was finished, before the stream had noted that.
+            patch.setattr(Archive, "move", lambda *arguments: None)
+        else:
+            patch.setattr(Archive, step, dies)
+        if step == "commit":
+            pipe.ingest(archive=archive)
+            forget_last_commit(f"{pipe.marks}/epoch=1")
+        else:
+            with pytest.raises(Exception, match="lost"):
+                pipe.ingest(archive=archive)
+    for _ in range(2):
+        pipe.ingest(archive=archive)
+    assert golden.rows(pipe.silver()) == golden.rows(
+        to_silver(bronze.well_formed(bronze.scan(pipe.spark, archive)))
+    )
+    assert pipe.silver().count() == 9
+    pipe.refresh()
+    assert pipe.tables() == golden.GOLD
+
+
+def test_archive_inside_the_feed_is_refused(pipe):
+    golden.write_feed(pipe.feed)
+    with pytest.raises(ValueError, match="outside"):
+        pipe.ingest(archive=f"{pipe.feed}/archive")
+
+
 def test_reset_needs_new_marks_and_a_new_lake(spark, tmp_path, pipe):
     golden.write_feed(pipe.feed)
     pipe.ingest()
