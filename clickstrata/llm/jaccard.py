@@ -31,11 +31,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import ceil, comb, exp, sqrt
+from math import ceil, comb, exp, log, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from clickstrata.llm.bloom import Bloom, bloom
 from clickstrata.llm.common import release, shared, store
@@ -49,9 +49,9 @@ LIST_COST = 8
 MOST_LIGHT = 40
 # Lists up to this long give all their pairs.
 SHORT_LIST = 16
-# A block of a family of lists: elements, and sets.
-BLOCK_ELEMENTS = 1 << 18
+# Sets of a block of a family of lists, and the ratio of sizes in it.
 BLOCK_SETS = 512
+SIZE_STEP = 1.05
 # Counts in the summary of a set.
 BUCKETS = 256
 
@@ -455,13 +455,14 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
 
 
 def settled(
-    members: DataFrame, named: DataFrame, sources: Sources, rule: Rule = RULE
+    members: DataFrame, named: DataFrame, search: Found, rule: Rule = RULE
 ) -> DataFrame:
-    """Links (x, y) between members of one long list that are in different components.
+    """Pairs (x, y) of members of one long list, in different components, that may be links.
 
-    Lists that are not all one component are put together into families; a family is
-    compared block by block, each pair of blocks in one task of bounded size. Blocks
-    that lie in one and the same component are not compared.
+    Lists that are not all one component are put together into families. A family is cut
+    by size, and a crowded size further by hash, into blocks of bounded size; blocks whose
+    sizes allow a link are compared in one task, by summaries. Blocks that lie in one and
+    the same component are not compared.
     """
     placed = store(
         members.join(named, members["x"] == named["node"], "left").select(
@@ -478,61 +479,93 @@ def settled(
         open_.select("x", "component")
         .distinct()
         .join(families, "x")
-        .join(sources.classes.select(F.col("print").alias("x"), "n"), "x")
+        .join(search.classes.select(F.col("print").alias("x"), "n"), "x")
+        .withColumn("step", F.floor(F.log("n") / log(SIZE_STEP)))
     )
-    order = Window.partitionBy("family").orderBy("component", "n", "x")
-    load = F.sum(F.greatest("n", F.lit(BLOCK_ELEMENTS // BLOCK_SETS))).over(order)
-    people = store(people.withColumn("block", F.floor(load / BLOCK_ELEMENTS)), "families")
-    blocks = people.groupBy("family", "block").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
+    people = store(people, "families")
+    crowds = people.groupBy("family", "step").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("parts")
     )
-    other = blocks.toDF("family", "second", "low2", "high2")
+    part = F.pmod(F.xxhash64("x"), F.col("parts"))
+    blocked = people.join(crowds, ["family", "step"]).withColumn(
+        "block", F.col("step") * (1 << 40) + part
+    )
+    blocked = store(blocked.drop("parts"), "blocks")
+    blocks = blocked.groupBy("family", "step", "block").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+    )
+    reach = ceil(log(rule.base / rule.top) / log(SIZE_STEP)) + 1
+    ahead = F.explode(F.sequence(F.col("step"), F.col("step") + reach))
+    one = blocks.withColumn("step", ahead)
+    two = blocks.toDF("family", "step", "second", "low2", "high2", "least2", "most2")
     apart = (F.col("low") < F.col("high")) | (F.col("low2") < F.col("high2"))
-    tasks = blocks.join(other, "family").where(
-        (F.col("block") <= F.col("second")) & (apart | (F.col("low") != F.col("low2")))
+    tasks = one.join(two, ["family", "step"]).where(
+        (F.col("block") <= F.col("second"))
+        & (F.col("least2") * rule.top <= F.col("most") * rule.base)
+        & (apart | (F.col("low") != F.col("low2")))
     )
     tasks = tasks.select("family", F.col("block").alias("one"), F.col("second").alias("two"))
     sides = tasks.withColumn("block", F.explode(F.array_distinct(F.array("one", "two"))))
-    sides = store(sides.join(people, ["family", "block"]), "sides")
-    sets = sources.sets(sides.select(F.col("x").alias("print")))
     rows = (
-        sides.join(sets.select(F.col("print").alias("x"), "elements"), "x")
-        .select("family", "one", "two", "block", "x", "component", "elements")
+        sides.join(blocked, ["family", "block"])
+        .join(search.known.select(F.col("print").alias("x"), "summary"), "x")
+        .select("family", "one", "two", "block", "x", "component", "n", "summary")
+    )
+    compared = lambda table: block_pairs(table, rule)
+    pairs = rows.groupBy("family", "one", "two").applyInArrow(compared, "x long, y long")
+    return store(pairs.distinct(), "likely")
+
+
+def block_pairs(table: pa.Table, rule: Rule = RULE) -> pa.Table:
+    """Pairs within a block or between two whose summaries allow a link, smaller first."""
+    block, x = table["block"].to_numpy(), table["x"].to_numpy()
+    component, n = table["component"].to_numpy(), table["n"].to_numpy()
+    counts = np.stack([np.frombuffer(s.as_buffer(), np.uint8) for s in table["summary"]])
+    counts = counts.astype(np.int16)
+    one = block == table["one"][0].as_py()
+    left = np.flatnonzero(one)
+    right = left if one.all() else np.flatnonzero(~one)
+    found_x, found_y = [], []
+    for at in left:
+        other = right[right > at] if one.all() else right
+        # As many elements in common as a link needs.
+        needed = -(-rule.top * (n[at] + n[other]) // (rule.top + rule.base))
+        fits = (component[other] != component[at]) & (np.minimum(n[at], n[other]) >= needed)
+        other, needed = other[fits], needed[fits]
+        apart = np.abs(counts[other] - counts[at]).sum(axis=1, dtype=np.int64)
+        other = other[apart <= n[at] + n[other] - 2 * needed]
+        found_x.append(np.minimum(x[at], x[other]))
+        found_y.append(np.maximum(x[at], x[other]))
+    return pa.table(
+        {
+            "x": pa.array(np.concatenate(found_x), pa.int64()),
+            "y": pa.array(np.concatenate(found_y), pa.int64()),
+        }
     )
-    compared = lambda table: block_links(table, rule)
-    return rows.groupBy("family", "one", "two").applyInArrow(compared, "x long, y long")
-
-
-def block_links(table: pa.Table, rule: Rule = RULE) -> pa.Table:
-    """Links within a block or between two, one for each set and other component."""
-    sets = [np.frombuffer(e.as_buffer(), dtype=np.uint64) for e in table["elements"]]
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    # Elements of one set only are no overlap.
-    shared_column = np.cumsum(counts > 1) - 1
-    inside = counts[column] > 1
-    owner, column = owner[inside], shared_column[column[inside]]
-    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    for low in range(0, int(shared_column[-1]) + 1, 2048):
-        here = (column >= low) & (column < low + 2048)
-        has = np.zeros((len(sets), 2048), dtype=np.float32)
-        has[owner[here], column[here] - low] = 1
-        both += has @ has.T
-    similar = rule.base * both >= rule.top * (sizes[:, None] + sizes[None, :] - both)
-    component = table["component"].to_numpy()
-    block = table["block"].to_numpy()
-    similar &= component[:, None] != component[None, :]
-    if len(np.unique(block)) > 1:
-        similar &= block[:, None] != block[None, :]
-    a, b = np.nonzero(similar)
-    _, first = np.unique(np.stack([a, component[b]]), axis=1, return_index=True)
-    x = table["x"].to_numpy()
-    return pa.table({"x": pa.array(x[a[first]], pa.int64()), "y": pa.array(x[b[first]], pa.int64())})
 
 
-def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """doc_id, set size and component of every document."""
+@dataclass
+class Found:
+    """What a search has before it compares elements.
+
+    ``own``: doc_id, n, print of every row; ``classes``: print, least id, n; ``members``:
+    (key, x) of long lists; ``known``: summaries; ``likely``: pairs (x, y) of the other lists;
+    ``lists``: all lists.
+    """
+
+    own: DataFrame
+    classes: DataFrame
+    lists: DataFrame
+    members: DataFrame
+    known: DataFrame
+    likely: DataFrame
+    sources: Sources
+
+
+def searched(docs: DataFrame, rule: Rule = RULE) -> Found:
     own = store(prints(docs, rule), "prints")
     full = own.where(F.col("n") > 0)
     # One row for each different set; its least id stands for the class.
@@ -547,14 +580,56 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     pairs = store(near(found.where(F.col("y").isNotNull()).select("x", "y")), "pairs")
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
-    sources = Sources(docs, classes, rule)
     known = store(summaries(docs, rule).dropDuplicates(["print"]), "summaries")
     likely = store(possible(pairs, known, rule), "likely")
-    release(known, pairs)
-    links = similar(likely, sources, rule)
+    release(pairs)
+    return Found(own, classes, found, members, known, likely, Sources(docs, classes, rule))
+
+
+def links(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
+    """All links between classes of equal sets (x, y), and the members of the classes.
+
+    Members are (doc_id, n_shingles, class) rows; those without words have no class. The
+    copies in a class are linked with each other and with those of every linked class.
+    """
+    search = searched(docs, rule)
+    likely = search.likely
+    if not search.members.isEmpty():
+        apart = docs.sparkSession.createDataFrame([], "node long, component long")
+        likely = likely.unionAll(settled(search.members, apart, search, rule)).distinct()
+    sets = store(search.sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print"))), "sets")
+    pairs = store(verified(likely, sets, rule), "links")
+    release(sets, search.likely, search.known, search.lists)
+    own = F.when(F.col("n") > 0, F.col("print")).alias("class")
+    return pairs, search.own.select("doc_id", F.col("n").alias("n_shingles"), own)
+
+
+def link_counts(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """doc_id, set size, class and number of links of every row."""
+    pairs, members = links(docs, rule)
+    sizes = members.where(F.col("class").isNotNull()).groupBy("class").count()
+    ends = pairs.unionAll(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    others = (
+        ends.join(sizes.toDF("y", "others"), "y").groupBy("x").agg(F.sum("others").alias("others"))
+    )
+    counts = sizes.join(others, F.col("class") == F.col("x"), "left").select(
+        "class", (F.col("count") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    )
+    return members.join(counts, "class", "left").select(
+        "doc_id", "n_shingles", "class", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
+
 
+def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """doc_id, set size and component of every document."""
+    search = searched(docs, rule)
+    own, classes, found = search.own, search.classes, search.lists
+    members, sources = search.members, search.sources
+    full = own.where(F.col("n") > 0)
+    links = similar(search.likely, sources, rule)
     if not members.isEmpty():
-        links = links.unionAll(settled(members, components(links), sources, rule))
+        more = settled(members, components(links), search, rule)
+        links = links.unionAll(similar(more, sources, rule))
 
     # A component is named by the least id of its classes; a class of null ids has none.
     groups = components(links).toDF("node", "group")
@@ -566,7 +641,7 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     )
     names = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
     final = grouped.join(names, "group").select("print", "component_id")
-    release(found)
+    release(found, search.known, search.likely)
     return (
         full.join(final, "print")
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -610,6 +685,30 @@ def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is not among ``ids``.
+
+    What a filter of bounded size knows not to be among them is not shuffled.
+    """
+    held = shared(docs.sparkSession, bloom(ids.select(F.xxhash64("doc_id").alias("code"))))
+    coded = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("code"), F.struct(*docs.columns).alias("row"))
+
+    def rows(there: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            wanted = held()
+            for batch in batches:
+                inside = wanted.has(batch.column("code").to_numpy().view(np.uint64))
+                own = batch.column("row").filter(pa.array(inside == there))
+                yield pa.RecordBatch.from_arrays([own], ["row"])
+
+        kept = coded.mapInArrow(run, f"row {docs.schema.simpleString()}")
+        return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+    tested = rows(True)
+    same = tested["doc_id"].cast("long") == ids["doc_id"]
+    return rows(False).unionAll(tested.join(ids, same, "left_anti"))
+
+
 def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One document of each component, the one with the least id, with all its columns.
 
@@ -617,7 +716,7 @@ def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """
     found = linked(docs, rule)
     spare = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
+    kept = without(docs, store(spare, "spare"))
     repeated = found.groupBy("doc_id").count().where(
         (F.col("count") > 1) & F.col("doc_id").isNotNull()
     )

@@ -11,6 +11,12 @@ ids (32-bit for larger vocabularies), filled up with the pad id; ``cu_seqlens``
 the cumulative lengths of its pieces, from 0; ``position_resets`` where positions
 start again at 0; ``doc_ids``, ``pieces`` and ``starts`` say what the pieces are.
 
+``pack`` gives these rows as a table. ``write`` puts them into binary files: each block's
+matrix, the cumulative lengths of all its rows in a row, and the position resets, under
+names that no other attempt of a task has. The returned manifest names the files of the
+attempts that counted, with their shapes and checksums; other files in the folder are
+leftovers. The folder is reached through Arrow's file systems, from all executors.
+
 Defined results: a null or empty text is an end id alone; a null id stays null
 in ``doc_ids``; repeated rows are packed each for itself; an empty table gives no
 rows. Other columns are not read.
@@ -18,10 +24,14 @@ rows. Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import pyarrow.fs
 from pyspark.sql import DataFrame, functions as F
 
 from clickstrata.llm.best_fit import best_fit_decreasing, pieces
@@ -124,6 +134,83 @@ def pack(
     return source.mapInArrow(run, SCHEMA)
 
 
+MANIFEST = (
+    "file string, rows long, capacity int, id_bytes int, n_tokens long, pieces long, "
+    "first_sequence long, ids_crc32 long, cu_seqlens_crc32 long, position_resets_crc32 long"
+)
+# The three files of a block, by their endings.
+IDS, LENGTHS, RESETS = ".ids.bin", ".cu_seqlens.bin", ".position_resets.bin"
+
+
+def write(packed: DataFrame, folder: str, capacity: int = SEQUENCE) -> DataFrame:
+    """Write the rows of ``pack`` to files in a folder that all executors share.
+
+    Returns the manifest, a stored table in ``folder/manifest``: a row for each group of
+    three files. Ids are as in ``pack``; lengths and resets are little-endian unsigned
+    32-bit numbers, each row's after the other's, a row with k pieces having k + 1 and k.
+    """
+    spark = packed.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = None, ""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if files is None:
+                files, root = pa.fs.FileSystem.from_uri(folder)
+                files.create_dir(root, recursive=True)
+            name = uuid.uuid4().hex
+            width = len(batch["ids"][0].as_buffer())
+            contents = {
+                IDS: b"".join(value.as_buffer().to_pybytes() for value in batch["ids"]),
+                LENGTHS: batch["cu_seqlens"].flatten().to_numpy().astype("<u4").tobytes(),
+                RESETS: batch["position_resets"].flatten().to_numpy().astype("<u4").tobytes(),
+            }
+            for ending, content in contents.items():
+                with files.open_output_stream(f"{root}/{name}{ending}") as out:
+                    out.write(content)
+            row = [
+                name,
+                batch.num_rows,
+                capacity,
+                width // capacity,
+                pa.compute.sum(batch["n_tokens"]).as_py(),
+                len(contents[RESETS]) // 4,
+                batch["sequence_id"][0].as_py(),
+                *(zlib.crc32(content) for content in contents.values()),
+            ]
+            types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 6]
+            columns = [pa.array([value], kind) for value, kind in zip(row, types)]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in MANIFEST.split(", ")])
+
+    manifest = packed.mapInArrow(run, MANIFEST)
+    manifest.write.parquet(f"{folder}/manifest")
+    return spark.read.parquet(f"{folder}/manifest")
+
+
+def read_block(folder: str, entry) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, cumulative lengths, resets) of each row of a manifest's entry, checked."""
+    files, root = pa.fs.FileSystem.from_uri(folder)
+    parts = []
+    for ending, kind, crc in (
+        (IDS, f"<u{entry['id_bytes']}", entry["ids_crc32"]),
+        (LENGTHS, "<u4", entry["cu_seqlens_crc32"]),
+        (RESETS, "<u4", entry["position_resets_crc32"]),
+    ):
+        with files.open_input_file(f"{root}/{entry['file']}{ending}") as held:
+            content = held.read()
+        if zlib.crc32(content) != crc:
+            raise ValueError(f"{entry['file']}{ending} is not what was written")
+        parts.append(np.frombuffer(content, dtype=kind))
+    matrix = parts[0].reshape(entry["rows"], entry["capacity"])
+    starts = np.flatnonzero(parts[2] == 0)
+    ends = np.append(starts[1:], len(parts[2]))
+    return [
+        (matrix[at], parts[1][a + at : b + at + 1], parts[2][a:b])
+        for at, (a, b) in enumerate(zip(starts, ends))
+    ]
+
+
 def unpacked(sequence) -> list[tuple[int | None, int, np.ndarray]]:
     """(doc_id, start, ids) of the pieces in a row of ``pack``."""
     kind = "<u2" if len(sequence["ids"]) == 2 * SEQUENCE else "<u4"

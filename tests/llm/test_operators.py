@@ -160,6 +160,32 @@ def test_jaccard(spark, texts):
     assert kept.columns == frame(spark, []).columns
 
 
+@pytest.mark.parametrize("short", [16, 1])
+def test_all_links_of_a_join(spark, texts, monkeypatch, short):
+    monkeypatch.setattr(jaccard, "SHORT_LIST", short)
+    rng = random.Random(8)
+    words = [f"q{k}" for k in range(120)]
+    rows = list(texts)
+    for i in range(400, 430):
+        own = list(words)
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            own[rng.randrange(120)] = f"z{rng.random()}"
+        rows.append((i, " ".join(own)))
+    sets = []
+    for _, t in rows:
+        own = words_of("".join(c.lower() if c.isascii() else c for c in t or ""))
+        sets.append({tuple(own[k : k + 3]) for k in range(len(own) - 2)} or {tuple(own)} - {()})
+    wanted = Counter()
+    for a, (i, _) in enumerate(rows):
+        linked = [
+            b for b in range(len(rows))
+            if b != a and sets[a] and 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])
+        ]
+        wanted[i, len(sets[a]), len(linked)] += 1
+    found = jaccard.link_counts(frame(spark, rows)).drop("class").collect()
+    assert Counter(map(tuple, found)) == wanted and max(r.n_links for r in found) > 5
+
+
 def test_jaccard_links_through_a_null_id(spark):
     words = [f"j{k}" for k in range(100)]
     change = lambda *at: " ".join("changed" if k in at else w for k, w in enumerate(words))
@@ -487,6 +513,30 @@ def test_token_output_round_trip(spark, texts):
     assert len({r.sequence_id for r in rows}) == len(rows)
 
 
+def test_token_files_round_trip(spark, texts, tmp_path):
+    packed = token_output.pack(frame(spark, texts), block_tokens=30_000)
+    folder = f"file://{tmp_path}/files"
+    manifest = token_output.write(packed, folder).collect()
+    found = Counter()
+    for entry in manifest:
+        rows = token_output.read_block(folder, entry)
+        assert len(rows) == entry.rows and entry.id_bytes == 2
+        for ids, lengths, resets in rows:
+            assert lengths[:-1].tolist() == resets.tolist()
+            found.update(tuple(ids[a:b].tolist()) for a, b in zip(lengths, lengths[1:]))
+    wanted = Counter()
+    for _, ids in all_ids(texts, token_output.END_ID):
+        wanted.update(tuple(ids[at : at + 4096]) for at in range(0, len(ids), 4096))
+    assert found == wanted
+    assert sum(e.n_tokens for e in manifest) == sum(map(len, wanted.elements()))
+    broken = next((tmp_path / "files").glob("*.ids.bin"))
+    broken.write_bytes(b"x" + broken.read_bytes()[1:])
+    entry = next(e for e in manifest if e.file in broken.name)
+    with pytest.raises(ValueError, match="not what was written"):
+        token_output.read_block(folder, entry)
+    assert token_output.write(packed.where("false"), f"file://{tmp_path}/none").isEmpty()
+
+
 def test_pattern_packing(spark, texts):
     rows = pattern_packing.pack(frame(spark, texts)).collect()
     wanted, total = [], 0
