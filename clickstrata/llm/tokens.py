@@ -10,6 +10,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterable
+from os.path import commonprefix
 
 TOKENIZER = "word_bpe_49k.json"
 # Words, and parts of words, remembered by a worker.
@@ -81,11 +82,13 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content for token in added] if special else []
+        # What all of them begin with; without special tokens, what no word holds.
+        self.mark = commonprefix(self.special).encode() if self.special else b" "
         self.parts = PartIds(self.tokenizer.model)
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if any(token in text for token in self.special):
+        if self.mark in word and any(token in text for token in self.special):
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
             ids = array("I", found).tobytes()
         elif text.isascii() and text.isprintable() or SIMPLE.fullmatch(text):
