@@ -76,8 +76,9 @@ class WordIds(dict):
 
             tokenizer = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        split = (json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-        if split[0].get("pattern") != {"Regex": WORD_PATTERN}:
+        with open(tokenizer, encoding="utf-8") as rules:
+            known = f'"pattern":{{"Regex":{json.dumps(WORD_PATTERN)}}}' in rules.read()
+        if not known:
             raise ValueError("this tokenizer does not drop white space between words")
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values()
