@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from clickstrata.functions.expressions import event_time, hour_label, purchase_revenue
 from clickstrata.schemas import BATCH, DEFAULT_CUTOFF_YEAR, GOLD
-from clickstrata.session import configure
+from clickstrata.session import configure, overridden
 from clickstrata.sources import bronze
 from clickstrata.sources.marks import children, last_mark, set_mark
 
@@ -79,6 +79,16 @@ def hours_of(lines: DataFrame, delay: str = DELAY) -> DataFrame:
     )
 
 
+def write_hours(hours: DataFrame, path: str) -> None:
+    """Write a batch's closed hours as few files.
+
+    They are shuffled for it: coalescing would put the windows' state, which the batch has
+    in its last stage, into as few tasks as there are files.
+    """
+    with overridden(hours.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+        hours.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
 def run_hours(
     spark: SparkSession,
     feed: str,
@@ -100,8 +110,7 @@ def run_hours(
             batch.write.format("noop").mode("overwrite").save()
         else:
             path = f"{into}/{BATCH}={number}"
-            # A handful of rows.
-            batch.coalesce(1).write.mode("overwrite").parquet(path)
+            write_hours(batch, path)
             set_mark(spark, f"{into}/_committed", number)
             closed += spark.read.schema(GOLD["hourly_revenue"]).parquet(path).count()
 

@@ -3,13 +3,14 @@
 from pathlib import Path
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from clickstrata.operators import gold, sketches
 from clickstrata.operators.silver import to_silver
 from clickstrata.sources import bronze
 from clickstrata.sources import sample_events
-from clickstrata.streaming.hours import HoursResult, read_hours, run_hours
+from clickstrata.streaming.hours import HoursResult, read_hours, run_hours, write_hours
 from clickstrata.streaming.ingest import run_ingest
 from clickstrata.streaming.refresh import approximate_activity, run_refresh
 from tests import golden
@@ -90,6 +91,17 @@ def test_batch_repeated_after_a_crash(stream, noted):
     assert stream.rows() == before and len(before) == 1
 
 
+def test_closed_hours_are_written_without_gathering_the_state_in_a_task(spark, tmp_path):
+    task = F.udf(lambda at: str(TaskContext.get().partitionId()))
+    hours = spark.range(0, 40, 1, 8).select(
+        task("id").alias("event_datetime"), F.lit(1.0).alias("total_revenue"), "id"
+    )
+    write_hours(hours, str(tmp_path / "hours"))
+    written = spark.read.parquet(str(tmp_path / "hours"))
+    assert written.count() == 40 and len(list((tmp_path / "hours").glob("*.parquet"))) == 1
+    assert written.select("event_datetime").distinct().count() == 8
+
+
 def test_closed_hours_equal_the_table(spark, tmp_path):
     stream = Stream(spark, tmp_path)
     golden.write_feed(stream.feed)
