@@ -17,6 +17,8 @@ TOKENIZER = "word_bpe_49k.json"
 REMEMBERED = 200_000
 # Characters handled at once.
 AT_ONCE = 1 << 20
+# Rows whose texts become Python strings at once.
+ROWS_AT_ONCE = 128
 
 # Words of these characters are normalized and split here, which is faster; the
 # rules are the tokenizer's own. Any other word goes through the tokenizer whole.
@@ -86,24 +88,33 @@ class WordIds(dict):
         # What all of them begin with; without special tokens, what no word holds.
         self.mark = commonprefix(self.special).encode() if self.special else b" "
         self.parts = PartIds(self.tokenizer.model)
+        self.earlier: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.earlier.get(word)
+        if ids is None:
+            ids = self._encoded(word)
+        self[word] = ids
+        return ids
+
+    def _encoded(self, word: bytes) -> bytes:
         text = word.decode()
         if self.mark in word and any(token in text for token in self.special):
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = array("I", found).tobytes()
+            pass
         elif text.isascii() and text.isprintable() or SIMPLE.fullmatch(text):
-            ids = b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
-        else:
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = array("I", found).tobytes()
-        self[word] = ids
-        return ids
+            return b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
+        found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", found).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each."""
+    def trim(self) -> None:
+        """Forget what was not used lately."""
         if len(self) > REMEMBERED:
+            self.earlier = dict(self)
             self.clear()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
+        self.trim()
         self.parts.trim()
         of = self.__getitem__
         # bytes.split() cuts at ASCII white space, which the tokenizer drops.
@@ -112,13 +123,13 @@ class WordIds(dict):
 
 def slices(batch, text: str = "text", at_once: int = AT_ONCE) -> Iterable[tuple[int, list[str]]]:
     """(first row, texts) of runs of rows that hold a bounded amount of text; null as empty."""
-    texts = batch.column(text).to_pylist() if batch.num_rows else []
     first, size, some = 0, 0, []
-    for row, value in enumerate(texts):
-        some.append(value or "")
-        size += len(some[-1])
-        if size >= at_once:
-            yield first, some
-            first, size, some = row + 1, 0, []
+    for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+        for row, value in enumerate(batch.column(text).slice(at, ROWS_AT_ONCE).to_pylist(), at):
+            some.append(value or "")
+            size += len(some[-1])
+            if size >= at_once:
+                yield first, some
+                first, size, some = row + 1, 0, []
     if some:
         yield first, some

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -799,3 +800,25 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
     kept = {None: 3, 10**6: 1, 10**6 + 1: 1, 10**6 + 2: 1, 10**6 + 4: 1, 10**6 + 7: 1}
     assert {i: n for i, n in pieces.items() if i != 10**6 + 5} == kept
     assert pieces[10**6 + 5] > 10
+
+
+def test_words_used_lately_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    coder, encoded = tokens.WordIds(special=True), []
+    whole = coder._encoded
+    coder._encoded = lambda word: encoded.append(word) or whole(word)
+    often = "the common words"
+    wanted = coder.encode([often])
+    for at in range(20):
+        assert coder.encode([" ".join(f"rare{at}x{n}" for n in range(40)), often])[1:] == wanted
+        assert len(coder) <= 50 + 43 and len(coder.earlier) <= 50 + 43
+    assert encoded.count(b"common") == 1
+
+
+def test_texts_become_strings_a_few_rows_at_once(monkeypatch):
+    monkeypatch.setattr(tokens, "ROWS_AT_ONCE", 3)
+    rows = ["a", None, "bb", "", "cccc", "d", "e", None]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(rows, pa.string())})
+    found = list(tokens.slices(batch, at_once=3))
+    assert found == [(0, ["a", "", "bb"]), (3, ["", "cccc"]), (5, ["d", "e", ""])]
+    assert list(tokens.slices(batch.slice(0, 0))) == []
