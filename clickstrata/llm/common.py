@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Bytes of rows that go to Python at once. By number alone it is 10,000 rows, 30 MB and more of
+# text, held several times over by the executor and its workers.
+BATCH_BYTES = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let rows go to Python in batches of bounded size; no result depends on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def store(frame: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = frame.sparkSession

@@ -58,6 +58,8 @@ def cut(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What Arrow keeps from earlier stages of this worker.
+        pa.default_memory_pool().release_unused()
         coder = WordIds(tokenizer, special=True)
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()

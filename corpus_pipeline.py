@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickstrata.llm import decontamination, jaccard, pattern_packing, pii, toxicity
-from clickstrata.llm.common import store, table
+from clickstrata.llm.common import small_batches, store, table
 
 # Near copies: 0.8 of the shingles of five words in common.
 NEAR = jaccard.Rule(shingle=5, top=8, base=10)
@@ -20,17 +20,20 @@ NEAR = jaccard.Rule(shingle=5, top=8, base=10)
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the tagger scores below one half."""
+    small_batches(spark)
     field = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.clean(docs, field)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones."""
+    small_batches(spark)
     return jaccard.representatives(docs, NEAR)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    small_batches(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -41,6 +44,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in packed sequences."""
+    small_batches(spark)
     return pattern_packing.pack(docs)
 
 

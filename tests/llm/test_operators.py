@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickstrata.llm import (
+    common,
     decontamination,
     html_blocks,
     html_text,
@@ -822,3 +823,18 @@ def test_texts_become_strings_a_few_rows_at_once(monkeypatch):
     found = list(tokens.slices(batch, at_once=3))
     assert found == [(0, ["a", "", "bb"]), (3, ["", "cccc"]), (5, ["d", "e", ""])]
     assert list(tokens.slices(batch.slice(0, 0))) == []
+
+
+def test_rows_go_to_python_in_batches_of_bounded_size(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": pa.array([batch.nbytes])})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    common.small_batches(spark)
+    try:
+        texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('x', 5000) AS text")
+        found = [row.bytes for row in texts.mapInArrow(sizes, "bytes long").collect()]
+        assert len(found) > 3 and max(found) < 6 << 20
+    finally:
+        spark.conf.unset(key)
