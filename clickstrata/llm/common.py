@@ -32,9 +32,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def store(frame: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts lineage, survives lost executors."""
+def store(frame: DataFrame, label: str, few: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: cuts lineage, survives lost executors.
+
+    few: what many tasks return little of goes into few files, by one more shuffle. For each
+    file on a local disk an executor starts processes, which at first count with its memory.
+    """
     spark = frame.sparkSession
+    if few:
+        frame = frame.hint("rebalance")
     path = working_dir(spark, label)
     frame.write.parquet(path)
     stored = spark.read.schema(frame.schema).parquet(path)

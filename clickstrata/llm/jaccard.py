@@ -566,7 +566,7 @@ class Found:
 
 
 def searched(docs: DataFrame, rule: Rule = RULE) -> Found:
-    own = store(prints(docs, rule), "prints")
+    own = store(prints(docs, rule), "prints", few=True)
     full = own.where(F.col("n") > 0)
     # One row for each different set; its least id stands for the class.
     classes = store(
@@ -581,7 +581,7 @@ def searched(docs: DataFrame, rule: Rule = RULE) -> Found:
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
     known = store(summaries(docs, rule).dropDuplicates(["print"]), "summaries")
-    likely = store(possible(pairs, known, rule), "likely")
+    likely = store(possible(pairs, known, rule), "likely", few=True)
     release(pairs)
     return Found(own, classes, found, members, known, likely, Sources(docs, classes, rule))
 
@@ -598,7 +598,7 @@ def links(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
         apart = docs.sparkSession.createDataFrame([], "node long, component long")
         likely = likely.unionAll(settled(search.members, apart, search, rule)).distinct()
     sets = store(search.sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print"))), "sets")
-    pairs = store(verified(likely, sets, rule), "links")
+    pairs = store(verified(likely, sets, rule), "links", few=True)
     release(sets, search.likely, search.known, search.lists)
     own = F.when(F.col("n") > 0, F.col("print")).alias("class")
     return pairs, search.own.select("doc_id", F.col("n").alias("n_shingles"), own)
@@ -659,12 +659,14 @@ def similar(likely: DataFrame, sources: Sources, rule: Rule = RULE) -> DataFrame
     """
     first = store(likely.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "first")
     sets = store(sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print"))), "sets")
-    found = store(verified(first, sets, rule), "similar")
+    found = store(verified(first, sets, rule), "similar", few=True)
     named = components(found)
     at = lambda side: named.toDF(side, f"{side}_in")
     rest = likely.join(first, ["x", "y"], "left_anti").join(at("x"), "x", "left").join(at("y"), "y", "left")
     apart = F.coalesce("x_in", "x") != F.coalesce("y_in", "y")
-    more = store(verified(rest.where(apart).select("x", "y"), sets, rule), "similar")
+    more = store(
+        verified(rest.where(apart).select("x", "y"), sets, rule), "similar", few=True
+    )
     release(sets, first)
     return found.unionAll(more)
 

@@ -248,6 +248,21 @@ def test_near_copies_of_the_pipeline(spark):
     assert sorted(r.doc_id for r in kept) == [1, 3]
 
 
+def test_small_results_of_the_search_are_few_files(spark):
+    words = [f"n{k}" for k in range(100)]
+    rows = [(i, " ".join([*words[:40], f"c{i}", *words[41:]])) for i in range(12)]
+    rows += [(20 + i, f"text {i} of its own") for i in range(30)]
+    docs = frame(spark, rows).repartition(24)
+    search = jaccard.searched(docs, jaccard.Rule(5, 8, 10))
+    assert search.own.count() == len(rows) and search.likely.count() == 66
+    assert len(search.own.inputFiles()) == len(search.likely.inputFiles()) == 1
+    spread = spark.range(1000).repartition(24)
+    assert len(common.store(spread, "spread").inputFiles()) == 24
+    few = common.store(spread, "few", few=True)
+    assert len(few.inputFiles()) == 1
+    assert sorted(r.id for r in few.collect()) == list(range(1000))
+
+
 def test_short_sets_by_subsets(spark):
     rng = random.Random(8)
     short = []
