@@ -32,15 +32,27 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def store(frame: DataFrame, label: str, few: bool = False) -> DataFrame:
+# Parts that small results are dealt into, where adaptive execution cuts those that are not
+# small after all; and rows of a few numbers in a file.
+FEW = 8
+ROWS_A_FILE = 50_000
+
+
+def store(
+    frame: DataFrame, label: str, few: bool = False, rows: int | None = None, a_file: int = ROWS_A_FILE
+) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors.
 
     few: what many tasks return little of goes into few files, by one more shuffle. For each
-    file on a local disk an executor starts processes, which at first count with its memory.
+    file on a local disk an executor starts processes, which take time and at first count with
+    its memory. rows: what a last shuffle gives, that many rows at most, is written by as many
+    tasks as ``a_file`` rows a file make, without one more shuffle.
     """
     spark = frame.sparkSession
     if few:
-        frame = frame.hint("rebalance")
+        frame = frame.hint("rebalance", FEW)
+    elif rows is not None:
+        frame = frame.coalesce(max(1, -(-rows // a_file)))
     path = working_dir(spark, label)
     frame.write.parquet(path)
     stored = spark.read.schema(frame.schema).parquet(path)

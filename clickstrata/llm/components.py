@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickstrata.llm.common import release, store
 
+# Up to this many links a round's joins go by broadcast.
+BROADCAST_LINKS = 50_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of the links (x, y); a component is its least node.
@@ -13,27 +16,42 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two steps, each an aggregation and a join on single nodes: every
     node links its larger neighbours to its least one, then its smaller
     neighbours. Links shrink to stars in a number of rounds that grows with the
-    logarithm of the longest path.
+    logarithm of the longest path; they never become more.
     """
     links = store(
-        links.where(F.col("x") != F.col("y"))
-        .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-        .distinct(),
+        links.where(F.col("x") != F.col("y")).select(
+            F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
+        ),
         "links",
+        few=True,
     )
+    rows = links.count()
+    joined = F.broadcast if rows <= BROADCAST_LINKS else (lambda frame: frame)
     while True:
-        both = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        least = both.groupBy("x").agg(F.min("y").alias("low"))
-        least = least.select("x", F.least("x", "low").alias("low"))
+        # What is linked with a smaller node has one such in a star, and no larger one.
+        both = links.select("x", "y", F.col("y").alias("smaller")).unionAll(
+            links.select(F.col("y").alias("x"), F.col("x").alias("y"), F.lit(None).cast("long"))
+        )
+        nodes = both.groupBy("x").agg(
+            F.least("x", F.min("y")).alias("low"),
+            F.coalesce(
+                (F.min("smaller") < F.max("smaller")) | (F.max("y") > F.col("x")) & (F.min("y") < F.col("x")),
+                F.lit(False),
+            ).alias("open"),
+        )
+        nodes = store(nodes, "nodes", rows=2 * rows)
+        if nodes.where("open").isEmpty():
+            release(links)
+            return nodes.select(F.col("x").alias("node"), F.col("low").alias("component"))
+        least = nodes.select("x", "low")
         large = (
-            both.where(F.col("y") > F.col("x"))
-            .join(least, "x")
+            links.select(F.col("y").alias("x"), F.col("x").alias("y"))
+            .join(joined(least), "x")
             .select(F.col("y").alias("x"), F.col("low").alias("y"))
-            .distinct()
         )
         lower = large.groupBy("x").agg(F.min("y").alias("low"))
-        small = (
-            large.join(lower, "x")
+        shrunk = (
+            large.join(joined(lower), "x")
             .select(
                 F.when(F.col("y") == F.col("low"), F.col("x")).otherwise(F.col("y")).alias("x"),
                 F.col("low").alias("y"),
@@ -41,17 +59,6 @@ def components(links: DataFrame) -> DataFrame:
             .where(F.col("x") != F.col("y"))
             .distinct()
         )
-        after = store(small, "links")
-        seen, before = _sum(after), _sum(links)
-        release(links)
+        after = store(shrunk, "links", rows=rows)
+        release(links, nodes)
         links = after
-        if seen == before:
-            break
-    nodes = links.select(F.col("x").alias("node"), F.col("y").alias("component"))
-    return nodes.unionAll(links.select("y", "y").toDF("node", "component").distinct())
-
-
-def _sum(links: DataFrame) -> tuple:
-    """The number of links and the sum of their hashes, which differ if the links do."""
-    parts = [F.sum(F.xxhash64("x", "y", F.lit(k)).cast("decimal(38,0)")) for k in (0, 1)]
-    return tuple(links.agg(F.count(F.lit(1)), *parts).first())

@@ -10,7 +10,10 @@ subset is a link. For larger sets there are too many. They go into inverted list
 sets of similar size are cut by hash into more parts than linked sets can have
 differences, so linked sets agree on some parts; a list holds the sets with the same
 part. There are as many parts more as may be empty, so that empty ones need no list, but
-for sets that have still more of them. (Lists of single elements would hold every document with a common passage.)
+for sets that have still more of them, and one more again, so that linked sets share two
+lists: documents that merely have a passage in common mostly share one, and such pairs, the
+more the larger the corpus, are counted and dropped before anything is looked up for them.
+(Lists of single elements would hold every document with a common passage.)
 The boundary between the two is where the keys of the corpus, counted by set size,
 cost least.
 
@@ -47,14 +50,24 @@ from clickstrata.llm.wordtable import Texts, mixed, shingles, texts_of, words_of
 LIST_COST = 8
 # The sizes up to which subsets are thought of.
 MOST_LIGHT = 40
+# Inverted lists that linked sets share at least.
+SHARED = 2
 # Lists up to this long give all their pairs.
 SHORT_LIST = 16
 # Sets of a block of a family of lists, and the ratio of sizes in it.
 BLOCK_SETS = 512
 SIZE_STEP = 1.05
+# Whole sets, and summaries, in a file.
+SETS_A_FILE = 1000
+SUMMARIES_A_FILE = 10_000
 # Counts in the summary of a set.
 BUCKETS = 256
 
+# Keys have 48 bits: the zeros are compressed in the shuffle, and sets that meet by chance
+# are dropped later. The lowest of the bits tells subsets from lists.
+MARK = 1 << 16
+_KEPT = ~np.uint64(2 * MARK - 1)
+
 _ONE = np.uint64(1)
 
 
@@ -84,7 +97,8 @@ RULE = Rule()
 class Classes:
     """Size classes such that linked sets are in the same or in neighbouring ones.
 
-    Linked sets of a class and of the one before agree on more than ``spare`` of its parts.
+    Linked sets of a class and of the one before agree on ``spare + SHARED`` of its parts or
+    more.
     """
 
     def __init__(self, largest: int, rule: Rule = RULE):
@@ -96,7 +110,7 @@ class Classes:
             # About as many parts of the smallest set here are empty, and three deviations.
             empty = needed * exp(-before / needed)
             self.spare.append(ceil(empty + 3 * sqrt(empty)))
-            self.parts.append(needed + self.spare[-1])
+            self.parts.append(needed + self.spare[-1] + SHARED - 1)
             if self.low[-1] > largest + 1:
                 break
             before = self.low[-1]
@@ -243,7 +257,10 @@ def prints(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
 
 
 def keys(docs: DataFrame, boundary: int, rule: Rule = RULE) -> DataFrame:
-    """(key, print): what sets must share to be candidates."""
+    """(key, print): what sets must share to be candidates.
+
+    Keys of subsets have the mark, and one is enough; those of lists have not.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A set that this task has had is not given again.
@@ -262,8 +279,9 @@ def keys(docs: DataFrame, boundary: int, rule: Rule = RULE) -> DataFrame:
                 light = fresh[sizes <= boundary]
                 heavy = fresh[sizes * rule.base // rule.top > boundary]
                 rows, found = list_keys(sets, heavy, rule)
+                found = found & _KEPT
                 for row in light:
-                    own = light_keys(sets, row, boundary, rule)
+                    own = light_keys(sets, row, boundary, rule) & _KEPT | np.uint64(MARK)
                     rows = np.concatenate([rows, np.full(len(own), row)])
                     found = np.concatenate([found, own])
                 yield pa.RecordBatch.from_arrays(
@@ -340,11 +358,25 @@ def candidates(found: DataFrame) -> DataFrame:
             yield rows(np.full(k, held_key), own, np.full(k, held[k]), False)
 
     # Lists with much the same members mostly get the same centre, one of four.
-    order = F.xxhash64("print", F.pmod("key", F.lit(4)))
+    order = F.xxhash64("print", F.pmod(F.shiftright("key", 17), F.lit(4)))
     dealt = found.repartition("key").sortWithinPartitions("key", order)
     return dealt.mapInArrow(run, "key long, x long, y long")
 
 
+def sharing(found: DataFrame) -> DataFrame:
+    """Distinct pairs, smaller first, that share a subset, or as many lists as linked sets do.
+
+    Members of long lists are compared as such, so only short ones need be counted here.
+    """
+    return (
+        found.where(F.col("y").isNotNull() & (F.col("x") != F.col("y")))
+        .groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        .agg(F.sum(F.when(F.expr(f"key & {MARK} > 0"), SHARED).otherwise(1)).alias("shared"))
+        .where(F.col("shared") >= SHARED)
+        .select("x", "y")
+    )
+
+
 def summaries(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The fingerprint, the size and a summary of each set.
 
@@ -414,18 +446,21 @@ class Sources:
         """
         wanted = wanted.select(F.col("print").alias("own")).distinct()
         ids = wanted.join(self.classes, F.col("own") == F.col("print"))
-        codes = bloom(ids.select(F.xxhash64("id").alias("code")))
-        return whole_sets(self.docs, codes, self.rule).dropDuplicates(["print"])
+        codes = store(ids.select(F.xxhash64("id").alias("code")), "codes", few=True)
+        sets = whole_sets(self.docs, bloom(codes), self.rule).dropDuplicates(["print"])
+        return store(sets, "sets", rows=codes.count(), a_file=SETS_A_FILE)
 
 
 def possible(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """The pairs (x, y) whose summaries allow a link: no link is lost, few elements are joined."""
+    """The pairs (x, y) whose sizes and summaries allow a link: none is lost, few sets are joined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
             sizes = zip(batch.column("m").to_pylist(), batch.column("n").to_pylist())
             for row, (a, b, (m, n)) in enumerate(zip(batch.column("a"), batch.column("b"), sizes)):
+                if rule.base * min(m, n) < rule.top * max(m, n):
+                    continue
                 a = np.frombuffer(a.as_buffer(), dtype=np.uint8).astype(np.int64)
                 b = np.frombuffer(b.as_buffer(), dtype=np.uint8)
                 keep[row] = np.abs(a - b).sum() <= m + n - 2 * rule.overlap(m, n)
@@ -469,12 +504,13 @@ def settled(
             "key", "x", F.coalesce("component", "x").alias("component")
         ),
         "members",
+        few=True,
     )
     lists = placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("x").alias("y")
     )
     open_ = placed.join(lists.where(F.col("low") < F.col("high")), "key")
-    families = components(open_.select("x", "y")).toDF("x", "family")
+    families = components(open_.select("x", "y").distinct()).toDF("x", "family")
     people = (
         open_.select("x", "component")
         .distinct()
@@ -482,7 +518,7 @@ def settled(
         .join(search.classes.select(F.col("print").alias("x"), "n"), "x")
         .withColumn("step", F.floor(F.log("n") / log(SIZE_STEP)))
     )
-    people = store(people, "families")
+    people = store(people, "families", few=True)
     crowds = people.groupBy("family", "step").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("parts")
     )
@@ -490,7 +526,7 @@ def settled(
     blocked = people.join(crowds, ["family", "step"]).withColumn(
         "block", F.col("step") * (1 << 40) + part
     )
-    blocked = store(blocked.drop("parts"), "blocks")
+    blocked = store(blocked.drop("parts"), "blocks", few=True)
     blocks = blocked.groupBy("family", "step", "block").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
@@ -516,7 +552,7 @@ def settled(
     )
     compared = lambda table: block_pairs(table, rule)
     pairs = rows.groupBy("family", "one", "two").applyInArrow(compared, "x long, y long")
-    return store(pairs.distinct(), "likely")
+    return store(pairs.distinct(), "likely", few=True)
 
 
 def block_pairs(table: pa.Table, rule: Rule = RULE) -> pa.Table:
@@ -553,7 +589,7 @@ class Found:
 
     ``own``: doc_id, n, print of every row; ``classes``: print, least id, n; ``members``:
     (key, x) of long lists; ``known``: summaries; ``likely``: pairs (x, y) of the other lists;
-    ``lists``: all lists.
+    ``lists``: all lists; ``rows``: the number of rows.
     """
 
     own: DataFrame
@@ -563,27 +599,32 @@ class Found:
     known: DataFrame
     likely: DataFrame
     sources: Sources
+    rows: int
 
 
 def searched(docs: DataFrame, rule: Rule = RULE) -> Found:
     own = store(prints(docs, rule), "prints", few=True)
+    rows = own.count()
     full = own.where(F.col("n") > 0)
     # One row for each different set; its least id stands for the class.
     classes = store(
-        full.groupBy("print").agg(F.min("doc_id").alias("id"), F.first("n").alias("n")), "classes"
+        full.groupBy("print").agg(F.min("doc_id").alias("id"), F.first("n").alias("n")),
+        "classes",
+        rows=rows,
     )
     sizes = classes.groupBy(F.least("n", F.lit(MOST_LIGHT + 1)).alias("size")).count()
     boundary = boundary_of({r["size"]: r["count"] for r in sizes.collect()}, rule)
     found = store(candidates(keys(docs, boundary, rule)), "candidates")
-
-    near = lambda pairs: _near(pairs, classes, rule)
-    pairs = store(near(found.where(F.col("y").isNotNull()).select("x", "y")), "pairs")
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
-    known = store(summaries(docs, rule).dropDuplicates(["print"]), "summaries")
-    likely = store(possible(pairs, known, rule), "likely", few=True)
-    release(pairs)
-    return Found(own, classes, found, members, known, likely, Sources(docs, classes, rule))
+    known = store(
+        summaries(docs, rule).dropDuplicates(["print"]),
+        "summaries",
+        rows=rows,
+        a_file=SUMMARIES_A_FILE,
+    )
+    likely = store(possible(sharing(found), known, rule), "likely", few=True)
+    return Found(own, classes, found, members, known, likely, Sources(docs, classes, rule), rows)
 
 
 def links(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
@@ -597,7 +638,7 @@ def links(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
     if not search.members.isEmpty():
         apart = docs.sparkSession.createDataFrame([], "node long, component long")
         likely = likely.unionAll(settled(search.members, apart, search, rule)).distinct()
-    sets = store(search.sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print"))), "sets")
+    sets = search.sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print")))
     pairs = store(verified(likely, sets, rule), "links", few=True)
     release(sets, search.likely, search.known, search.lists)
     own = F.when(F.col("n") > 0, F.col("print")).alias("class")
@@ -626,18 +667,18 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     own, classes, found = search.own, search.classes, search.lists
     members, sources = search.members, search.sources
     full = own.where(F.col("n") > 0)
-    links = similar(search.likely, sources, rule)
+    named = similar(search.likely, sources, rule)
     if not members.isEmpty():
-        more = settled(members, components(links), search, rule)
-        links = links.unionAll(similar(more, sources, rule))
+        named = similar(settled(members, named, search, rule), sources, rule, named)
 
     # A component is named by the least id of its classes; a class of null ids has none.
-    groups = components(links).toDF("node", "group")
+    groups = named.toDF("node", "group")
     grouped = store(
         classes.join(groups, classes["print"] == groups["node"], "left").select(
             "print", "id", F.coalesce("group", "print").alias("group")
         ),
         "grouped",
+        rows=search.rows,
     )
     names = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
     final = grouped.join(names, "group").select("print", "component_id")
@@ -651,16 +692,23 @@ def linked(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     )
 
 
-def similar(likely: DataFrame, sources: Sources, rule: Rule = RULE) -> DataFrame:
-    """Links (x, y) among the likely pairs (x < y): all that join different components.
+def similar(
+    likely: DataFrame, sources: Sources, rule: Rule = RULE, before: DataFrame | None = None
+) -> DataFrame:
+    """(node, component) by the links among the likely pairs (x < y) and the components before.
 
     Each y is compared with its least x first, which joins most members of a group of
     near copies; of the other pairs only those between different components are left.
     """
-    first = store(likely.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "first")
-    sets = store(sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print"))), "sets")
+    first = store(
+        likely.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "first", rows=likely.count()
+    )
+    sets = sources.sets(likely.select(F.explode(F.array("x", "y")).alias("print")))
     found = store(verified(first, sets, rule), "similar", few=True)
-    named = components(found)
+    known = found
+    if before is not None:
+        known = found.unionAll(before.select(F.col("node").alias("x"), F.col("component").alias("y")))
+    named = components(known)
     at = lambda side: named.toDF(side, f"{side}_in")
     rest = likely.join(first, ["x", "y"], "left_anti").join(at("x"), "x", "left").join(at("y"), "y", "left")
     apart = F.coalesce("x_in", "x") != F.coalesce("y_in", "y")
@@ -668,23 +716,9 @@ def similar(likely: DataFrame, sources: Sources, rule: Rule = RULE) -> DataFrame
         verified(rest.where(apart).select("x", "y"), sets, rule), "similar", few=True
     )
     release(sets, first)
-    return found.unionAll(more)
-
-
-def _near(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Distinct pairs, smaller first, whose sizes allow a link."""
-    size = classes.select("print", "n")
-    return (
-        pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        .distinct()
-        .join(size.toDF("x", "m"), "x")
-        .join(size.toDF("y", "n"), "y")
-        .where(
-            (F.least("m", "n") * rule.base >= F.greatest("m", "n") * rule.top)
-            & (F.col("x") != F.col("y"))
-        )
-        .select("x", "y")
-    )
+    if more.isEmpty():
+        return named
+    return components(more.unionAll(named.select(F.col("node").alias("x"), F.col("component").alias("y"))))
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -718,11 +752,11 @@ def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """
     found = linked(docs, rule)
     spare = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = without(docs, store(spare, "spare"))
+    kept = without(docs, store(spare, "spare", few=True))
     repeated = found.groupBy("doc_id").count().where(
         (F.col("count") > 1) & F.col("doc_id").isNotNull()
     )
-    repeated = store(repeated.select("doc_id"), "repeated")
+    repeated = store(repeated.select("doc_id"), "repeated", few=True)
     if repeated.isEmpty():
         return kept
     row = F.min(F.struct(*docs.columns)).alias("row")
