@@ -102,7 +102,13 @@ class WordIds(dict):
         if self.mark in word and any(token in text for token in self.special):
             pass
         elif text.isascii() and text.isprintable() or SIMPLE.fullmatch(text):
-            return b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
+            low = text.lower()
+            # Most words are letters alone, or with one other character at the end.
+            if low.isalpha():
+                return self.parts[low]
+            if low[:-1].isalpha():
+                return self.parts[low[:-1]] + self.parts[low[-1]]
+            return b"".join(map(self.parts.__getitem__, PARTS.findall(low)))
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", found).tobytes()
 
