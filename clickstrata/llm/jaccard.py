@@ -614,7 +614,7 @@ def searched(docs: DataFrame, rule: Rule = RULE) -> Found:
     )
     sizes = classes.groupBy(F.least("n", F.lit(MOST_LIGHT + 1)).alias("size")).count()
     boundary = boundary_of({r["size"]: r["count"] for r in sizes.collect()}, rule)
-    found = store(candidates(keys(docs, boundary, rule)), "candidates")
+    found = store(candidates(keys(docs, boundary, rule)), "candidates", few=True)
     members = found.where(F.col("y").isNull()).select("key", "x").distinct()
 
     known = store(
