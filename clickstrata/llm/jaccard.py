@@ -296,11 +296,13 @@ _FOUND = ["key", "x", "y"]
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """Pairs (x, y) that share a key, and as (key, x, null) the members of long lists."""
+    """(mark, x, y) of pairs that share a key, and (key, x, null) of members of long lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(key, x, y, members: bool) -> pa.RecordBatch:
             empty = np.ones(len(x), dtype=bool) if members else None
+            # Of a pair's key only the mark is needed; the rest would be a third of what is written.
+            key = key if members else key & MARK
             return pa.RecordBatch.from_arrays(
                 [pa.array(key, pa.int64()), pa.array(x, pa.int64()), pa.array(y, mask=empty)],
                 _FOUND,

@@ -42,6 +42,7 @@ def test_pairs_of_one_list_are_no_candidates(spark):
     rows = [(key, x) for key, members in lists.items() for x in members]
     found = jaccard.candidates(spark.createDataFrame(rows, "key long, print long"))
     assert {tuple(r) for r in jaccard.sharing(found).collect()} == {(5, 6), (7, 8)}
+    assert {r.key for r in found.collect()} == {0, mark}
 
 
 def test_components_of_few_links_are_few_files(spark):
