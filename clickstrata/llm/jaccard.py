@@ -10,9 +10,10 @@ subset is a link. For larger sets there are too many. They go into inverted list
 sets of similar size are cut by hash into more parts than linked sets can have
 differences, so linked sets agree on some parts; a list holds the sets with the same
 part. There are as many parts more as may be empty, so that empty ones need no list, but
-for sets that have still more of them, and one more again, so that linked sets share two
-lists: documents that merely have a passage in common mostly share one, and such pairs, the
-more the larger the corpus, are counted and dropped before anything is looked up for them.
+for sets that have still more of them, and two more again, so that linked sets share three
+lists, two of them short or two of them long: documents that merely have a passage in common
+mostly share one, and such pairs, the more the larger the corpus, are dropped before anything
+is looked up for them.
 (Lists of single elements would hold every document with a common passage.)
 The boundary between the two is where the keys of the corpus, counted by set size,
 cost least.
@@ -20,7 +21,8 @@ cost least.
 Sets that are equal are one class and are searched once. Short lists give all their
 pairs. Long ones first give a star, which joins most members of a group of near
 copies; only members still in different components are then compared, so a group of
-thousands does not give all its pairs. (Those are compared in blocks of bounded size.)
+thousands does not give all its pairs. (Those that share two long lists are compared, in
+blocks of bounded size.)
 Candidates are checked against the whole
 sets. Sets and elements are compared by 64-bit hashes.
 
@@ -50,13 +52,24 @@ from clickstrata.llm.wordtable import Texts, mixed, shingles, texts_of, words_of
 LIST_COST = 8
 # The sizes up to which subsets are thought of.
 MOST_LIGHT = 40
-# Inverted lists that linked sets share at least.
-SHARED = 2
+# Inverted lists that linked sets share at least: so two short ones, or two long ones.
+SHARED = 3
+OF_A_KIND = 2
 # Lists up to this long give all their pairs.
 SHORT_LIST = 16
+# Sets in up to this many long lists are in a list for each two of them.
+NARROW = 16
+# Lists of two long lists that are made at once.
+TWOS_AT_ONCE = 1 << 18
 # Sets of a block of a family of lists, and the ratio of sizes in it.
 BLOCK_SETS = 512
 SIZE_STEP = 1.05
+# What a pair of a list costs, in pairs of a large family, where most sizes allow no link; and
+# a member of a list, in pairs of the list.
+PAIR_COST = 4
+MEMBER_COST = 256
+# Pairs whose summaries are compared at once.
+PAIRS_AT_ONCE = 1024
 # Whole sets, and summaries, in a file.
 SETS_A_FILE = 1000
 SUMMARIES_A_FILE = 10_000
@@ -366,15 +379,15 @@ def candidates(found: DataFrame) -> DataFrame:
 
 
 def sharing(found: DataFrame) -> DataFrame:
-    """Distinct pairs, smaller first, that share a subset, or as many lists as linked sets do.
+    """Distinct pairs, smaller first, that share a subset, or two lists.
 
-    Members of long lists are compared as such, so only short ones need be counted here.
+    Sets that share fewer short ones share two long ones, whose members are compared as such.
     """
     return (
         found.where(F.col("y").isNotNull() & (F.col("x") != F.col("y")))
         .groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        .agg(F.sum(F.when(F.expr(f"key & {MARK} > 0"), SHARED).otherwise(1)).alias("shared"))
-        .where(F.col("shared") >= SHARED)
+        .agg(F.sum(F.when(F.expr(f"key & {MARK} > 0"), OF_A_KIND).otherwise(1)).alias("shared"))
+        .where(F.col("shared") >= OF_A_KIND)
         .select("x", "y")
     )
 
@@ -491,36 +504,136 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").mapInArrow(run, "x long, y long")
 
 
+def twos(held: DataFrame, wanted: Bloom | None = None) -> DataFrame:
+    """(key, x, component) for each two of the ``keys`` of a set, or for those wanted of them."""
+    inside = shared(held.sparkSession, wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = inside()
+        for batch in batches:
+            named = zip(batch.column("x").to_numpy(), batch.column("component").to_numpy())
+            for (x, component), keys in zip(named, batch.column("keys")):
+                own = mixed(np.sort(keys.values.to_numpy()).view(np.uint64))
+                step = max(1, TWOS_AT_ONCE // len(own))
+                for at in range(0, len(own) - 1, step):
+                    one = np.arange(at, min(at + step, len(own) - 1))
+                    later = len(own) - 1 - one
+                    begin = np.repeat(np.cumsum(later) - later, later)
+                    one = np.repeat(one, later)
+                    two = one + 1 + np.arange(len(one)) - begin
+                    key = mixed(own[one] + own[two] * np.uint64(3))
+                    if wanted is not None:
+                        key = key[wanted.has(key)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(key.view(np.int64)),
+                            pa.array(np.full(len(key), x)),
+                            pa.array(np.full(len(key), component)),
+                        ],
+                        ["key", "x", "component"],
+                    )
+
+    rows = held.select("x", "component", "keys")
+    return rows.mapInArrow(run, "key long, x long, component long")
+
+
 def settled(
     members: DataFrame, named: DataFrame, search: Found, rule: Rule = RULE
 ) -> DataFrame:
-    """Pairs (x, y) of members of one long list, in different components, that may be links.
+    """Pairs (x, y) of members of long lists, in different components, that may be links.
+
+    Such links share a subset, or two lists at least. A list that merely holds documents with
+    a common passage grows with the corpus, but few of these meet in a second one. So sets
+    are put into a list for each two of their lists, but for lists that are all one component.
+    The short ones of these give their pairs, the others are compared as families. Sets in
+    many lists, as in groups of near copies, are only put into those that other sets are in,
+    and are compared with each other as families.
+    """
+    placed = members.join(named, members["x"] == named["node"], "left").select(
+        "key", "x", F.coalesce("component", "x").alias("component")
+    )
+    placed = store(placed, "members", few=True)
+    lists = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    lists = lists.where(F.col("low") < F.col("high")).select("key")
+    open_ = store(placed.join(lists, "key"), "open", few=True)
+    by_subset = F.expr(f"key & {MARK} > 0")
+    lists = open_.where(~by_subset).groupBy("x", "component").agg(F.collect_list("key").alias("keys"))
+    held = store(lists.where(F.size("keys") >= OF_A_KIND), "held", few=True)
+    broad = held.where(F.size("keys") > NARROW)
+    narrow = held.where(F.size("keys") <= NARROW)
+    wide = broad.select(F.explode("keys").alias("key"), "x", "component")
+    found = twos(narrow).withColumn("broad", F.lit(False))
+    if not broad.isEmpty():
+        near = narrow.select(F.explode("keys").alias("key"), "x", "component")
+        near = near.join(wide.select("key").distinct(), "key", "left_semi")
+        near = near.groupBy("x", "component").agg(F.collect_list("key").alias("keys"))
+        codes = twos(near.where(F.size("keys") >= OF_A_KIND)).select(F.col("key").alias("code"))
+        wanted = bloom(store(codes.distinct(), "codes", few=True))
+        found = found.unionAll(twos(broad, wanted).withColumn("broad", F.lit(True)))
+    found = store(found, "twos", few=True)
+    met = found.groupBy("key").agg(
+        F.count(F.lit(1)).alias("sets"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min("broad").alias("all_broad"),
+    )
+    met = met.where((F.col("low") < F.col("high")) & ~F.col("all_broad")).select("key", "sets")
+    met = store(found.join(met, "key"), "met", few=True)
+    one = met.where(F.col("sets") <= SHORT_LIST)
+    two = one.select("key", F.col("x").alias("y"), F.col("component").alias("y_in"), F.col("broad").alias("y_broad"))
+    pairs = one.join(two, "key").where(
+        (F.col("x") < F.col("y")) & (F.col("component") != F.col("y_in")) & ~(F.col("broad") & F.col("y_broad"))
+    )
+    close = store(possible(pairs.select("x", "y").distinct(), search.known, rule), "likely", few=True)
+
+    crowded = met.where(F.col("sets") > SHORT_LIST).select("key", "x", "component")
+    left = open_.where(by_subset).unionAll(crowded).withColumn("node", F.col("x"))
+    # Families of sets in many lists are kept apart from the others.
+    left = left.unionAll(wide.withColumn("node", F.xxhash64("x")))
+    left = store(left, "left", few=True)
+    release(placed, open_, held, found, met)
+    pairs = store(close.unionAll(in_families(left, search, rule)).distinct(), "likely", few=True)
+    release(close, left)
+    return pairs
+
 
-    Lists that are not all one component are put together into families. A family is cut
+def in_families(placed: DataFrame, search: Found, rule: Rule = RULE) -> DataFrame:
+    """Pairs (x, y) of members of one list (key, x, component, node) that may be links.
+
+    Lists that are not all one component are put together into families by their nodes, so that
+    a group that shares many lists is compared once. Where lists overlap so little that they
+    have fewer pairs one by one, each is a family. A large family is cut
     by size, and a crowded size further by hash, into blocks of bounded size; blocks whose
     sizes allow a link are compared in one task, by summaries. Blocks that lie in one and
     the same component are not compared.
     """
-    placed = store(
-        members.join(named, members["x"] == named["node"], "left").select(
-            "key", "x", F.coalesce("component", "x").alias("component")
-        ),
-        "members",
-        few=True,
-    )
     lists = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min("x").alias("y")
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min("node").alias("y"),
+        F.count(F.lit(1)).cast("double").alias("sets"),
     )
-    open_ = placed.join(lists.where(F.col("low") < F.col("high")), "key")
-    families = components(open_.select("x", "y").distinct()).toDF("x", "family")
+    lists = lists.where(F.col("low") < F.col("high")).select("key", "y", "sets")
+    open_ = store(placed.join(lists, "key"), "open", few=True)
+    families = components(open_.select(F.col("node").alias("x"), "y").distinct()).toDF("node", "family")
+    listed = open_.where(F.col("node") == F.col("y")).join(families, "node")
+    cost = listed.groupBy("family").agg(F.sum(F.col("sets") * (F.col("sets") + MEMBER_COST)).alias("by_list"))
+    cost = families.groupBy("family").agg(F.count(F.lit(1)).cast("double").alias("sets")).join(cost, "family")
+    one_by_one = PAIR_COST * F.col("by_list") < F.col("sets") * F.col("sets")
     people = (
-        open_.select("x", "component")
+        open_.drop("sets")
+        .join(families, "node")
+        .join(cost, "family")
+        .select(F.when(one_by_one, F.col("key")).otherwise(F.col("family")).alias("family"), "x", "component")
         .distinct()
-        .join(families, "x")
         .join(search.classes.select(F.col("print").alias("x"), "n"), "x")
-        .withColumn("step", F.floor(F.log("n") / log(SIZE_STEP)))
     )
     people = store(people, "families", few=True)
+    small = people.groupBy("family").agg((F.count(F.lit(1)) <= BLOCK_SETS).alias("small"))
+    step = F.when(F.col("small"), F.lit(0)).otherwise(F.floor(F.log("n") / log(SIZE_STEP)))
+    people = people.join(small, "family").withColumn("step", step).drop("small")
     crowds = people.groupBy("family", "step").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("parts")
     )
@@ -553,8 +666,7 @@ def settled(
         .select("family", "one", "two", "block", "x", "component", "n", "summary")
     )
     compared = lambda table: block_pairs(table, rule)
-    pairs = rows.groupBy("family", "one", "two").applyInArrow(compared, "x long, y long")
-    return store(pairs.distinct(), "likely", few=True)
+    return rows.groupBy("family", "one", "two").applyInArrow(compared, "x long, y long")
 
 
 def block_pairs(table: pa.Table, rule: Rule = RULE) -> pa.Table:
@@ -567,14 +679,19 @@ def block_pairs(table: pa.Table, rule: Rule = RULE) -> pa.Table:
     left = np.flatnonzero(one)
     right = left if one.all() else np.flatnonzero(~one)
     found_x, found_y = [], []
-    for at in left:
-        other = right[right > at] if one.all() else right
+    rows = max(1, PAIRS_AT_ONCE // max(1, len(right)))
+    for begin in range(0, len(left), rows):
+        at = left[begin : begin + rows, None]
         # As many elements in common as a link needs.
-        needed = -(-rule.top * (n[at] + n[other]) // (rule.top + rule.base))
-        fits = (component[other] != component[at]) & (np.minimum(n[at], n[other]) >= needed)
-        other, needed = other[fits], needed[fits]
+        needed = -(-rule.top * (n[at] + n[right]) // (rule.top + rule.base))
+        fits = (component[right] != component[at]) & (np.minimum(n[at], n[right]) >= needed)
+        if one.all():
+            fits &= right > at
+        row, other = np.nonzero(fits)
+        needed, at, other = needed[fits], at[row, 0], right[other]
         apart = np.abs(counts[other] - counts[at]).sum(axis=1, dtype=np.int64)
-        other = other[apart <= n[at] + n[other] - 2 * needed]
+        near = apart <= n[at] + n[other] - 2 * needed
+        at, other = at[near], other[near]
         found_x.append(np.minimum(x[at], x[other]))
         found_y.append(np.maximum(x[at], x[other]))
     return pa.table(
