@@ -557,9 +557,9 @@ def settled(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     lists = lists.where(F.col("low") < F.col("high")).select("key")
-    open_ = store(placed.join(lists, "key"), "open", few=True)
     by_subset = F.expr(f"key & {MARK} > 0")
-    lists = open_.where(~by_subset).groupBy("x", "component").agg(F.collect_list("key").alias("keys"))
+    open_ = placed.where(~by_subset).join(lists, "key")
+    lists = open_.groupBy("x", "component").agg(F.collect_list("key").alias("keys"))
     held = store(lists.where(F.size("keys") >= OF_A_KIND), "held", few=True)
     broad = held.where(F.size("keys") > NARROW)
     narrow = held.where(F.size("keys") <= NARROW)
@@ -586,16 +586,14 @@ def settled(
     pairs = one.join(two, "key").where(
         (F.col("x") < F.col("y")) & (F.col("component") != F.col("y_in")) & ~(F.col("broad") & F.col("y_broad"))
     )
-    close = store(possible(pairs.select("x", "y").distinct(), search.known, rule), "likely", few=True)
+    close = possible(pairs.select("x", "y").distinct(), search.known, rule)
 
     crowded = met.where(F.col("sets") > SHORT_LIST).select("key", "x", "component")
-    left = open_.where(by_subset).unionAll(crowded).withColumn("node", F.col("x"))
+    left = placed.where(by_subset).unionAll(crowded).withColumn("node", F.col("x"))
     # Families of sets in many lists are kept apart from the others.
     left = left.unionAll(wide.withColumn("node", F.xxhash64("x")))
-    left = store(left, "left", few=True)
-    release(placed, open_, held, found, met)
     pairs = store(close.unionAll(in_families(left, search, rule)).distinct(), "likely", few=True)
-    release(close, left)
+    release(placed, held, found, met)
     return pairs
 
 
