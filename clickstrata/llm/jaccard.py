@@ -620,12 +620,13 @@ def in_families(placed: DataFrame, search: Found, rule: Rule = RULE) -> DataFram
     cost = listed.groupBy("family").agg(F.sum(F.col("sets") * (F.col("sets") + MEMBER_COST)).alias("by_list"))
     cost = families.groupBy("family").agg(F.count(F.lit(1)).cast("double").alias("sets")).join(cost, "family")
     one_by_one = PAIR_COST * F.col("by_list") < F.col("sets") * F.col("sets")
+    families = families.join(cost, "family").select("node", "family", one_by_one.alias("by_list"))
+    whole = open_.select("node", "x", "component").distinct()
+    whole = whole.join(families.where(~F.col("by_list")).select("node", "family"), "node")
+    listed = open_.join(families.where("by_list").select("node"), "node", "left_semi")
     people = (
-        open_.drop("sets")
-        .join(families, "node")
-        .join(cost, "family")
-        .select(F.when(one_by_one, F.col("key")).otherwise(F.col("family")).alias("family"), "x", "component")
-        .distinct()
+        whole.select("family", "x", "component")
+        .unionAll(listed.select("key", "x", "component"))
         .join(search.classes.select(F.col("print").alias("x"), "n"), "x")
     )
     people = store(people, "families", few=True)
