@@ -544,8 +544,8 @@ def settled(
 
     Such links share a subset, or two lists at least. A list that merely holds documents with
     a common passage grows with the corpus, but few of these meet in a second one. So sets
-    are put into a list for each two of their lists, but for lists that are all one component.
-    The short ones of these give their pairs, the others are compared as families. Sets in
+    are put into a list for each two of their lists. Of those that are not all one component
+    the short ones give their pairs, the others are compared as families. Sets in
     many lists, as in groups of near copies, are only put into those that other sets are in,
     and are compared with each other as families.
     """
@@ -553,13 +553,9 @@ def settled(
         "key", "x", F.coalesce("component", "x").alias("component")
     )
     placed = store(placed, "members", few=True)
-    lists = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    lists = lists.where(F.col("low") < F.col("high")).select("key")
     by_subset = F.expr(f"key & {MARK} > 0")
-    open_ = placed.where(~by_subset).join(lists, "key")
-    lists = open_.groupBy("x", "component").agg(F.collect_list("key").alias("keys"))
+    lists = placed.where(~by_subset).groupBy("x", "component")
+    lists = lists.agg(F.collect_list("key").alias("keys"))
     held = store(lists.where(F.size("keys") >= OF_A_KIND), "held", few=True)
     broad = held.where(F.size("keys") > NARROW)
     narrow = held.where(F.size("keys") <= NARROW)
